@@ -7,13 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attesta.llm import bpe, packing
+from attesta.llm import bpe, line_rules, packing, pii
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False, with_text=False)
 
@@ -27,6 +35,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_line_crf": op4_line_crf,
+    "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
     "op10_packing": op10_packing,
 }
