@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from attesta.llm import bpe, line_rules, packing, pii
+from attesta.llm import bpe, conv_quality, line_rules, packing, pii
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False, with_text=False)
 
 
+def op9_conv_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return conv_quality.score(docs, conv_quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -38,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_crf": op4_line_crf,
     "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
+    "op9_conv_quality": op9_conv_quality,
     "op10_packing": op10_packing,
 }
 
