@@ -4,16 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from attesta.llm import bpe, conv_quality, line_rules, packing, pii
+from attesta.llm import bpe, conv_quality, line_rules, packing, pii, warc
+from attesta.llm.common import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write(spark, table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
+    found = warc.assemble(warc.read(spark, path, payload=False))
+    return found.select(
+        F.col("metadata.facts")["page-id"].cast("long").alias("page_id"),
+        F.coalesce("main.payload_bytes", "main.http_length").alias("payload_bytes"),
+        F.coalesce("main.payload_digest", F.substring_index("main.declared_digest", ":", -1)).alias("payload_digest"),
+        F.col("main.type").alias("record_type"),
+        F.col("metadata.facts")["refers-to-page"].cast("long").alias("refers_to"),
+    )
+
+
 def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -40,6 +57,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_warc": op3_warc,
     "op4_line_crf": op4_line_crf,
     "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
@@ -47,4 +65,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+        q AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS f FROM p)
+        SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+          CASE WHEN payload_bytes >= 100 AND f <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+          CASE WHEN payload_bytes >= 100 AND f <> page_id THEN f END AS refers_to FROM q""",
+}
