@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import bpe, conv_quality, line_rules, packing, pii, warc
+from attesta.llm import bpe, conv_quality, line_rules, packing, pii, simhash, warc
 from attesta.llm.common import shared_dir
 
 
@@ -43,6 +43,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False, with_text=False)
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.components(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_conv_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return conv_quality.score(docs, conv_quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_crf": op4_line_crf,
     "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
+    "op7_simhash": op7_simhash,
     "op9_conv_quality": op9_conv_quality,
     "op10_packing": op10_packing,
 }
