@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import bpe, conv_quality, embedding_dedup, line_rules, packing, pii, simhash, warc
+from attesta.llm import bpe, context_mixing, conv_quality, embedding_dedup, line_rules, packing, pii, simhash, warc
 from attesta.llm.common import shared_dir
 
 
@@ -51,6 +51,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(spark, table(spark, sf_dir, "documents"))
 
 
+def op8_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_conv_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return conv_quality.score(docs, conv_quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_bpe": op6_bpe,
     "op7_simhash": op7_simhash,
+    "op8_context_mixing": op8_context_mixing,
     "op9_conv_quality": op9_conv_quality,
     "op10_packing": op10_packing,
 }
