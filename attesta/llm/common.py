@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -29,15 +30,29 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
     _staged.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return out
+
+
+def drop(spark: SparkSession, table: DataFrame) -> None:
+    """Delete a staged table that nothing reads any more, and let Spark clean the shuffles that made it."""
+    _staged.remove(table.staged_path)
+    _delete(spark, table.staged_path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def release(spark: SparkSession) -> None:
     """Delete the staged tables of this session. Call it only when no result that reads them is needed any more."""
     while _staged:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _staged.pop())
 
 
 def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import bpe, context_mixing, conv_quality, embedding_dedup, line_rules, packing, pii, simhash, warc
+from attesta.llm import bpe, context_mixing, conv_quality, embedding_dedup, line_rules, packing, pii, simhash, substring_dedup, warc
 from attesta.llm.common import shared_dir
 
 
@@ -22,6 +22,10 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.components(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passages(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     warc.write(spark, table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
@@ -70,6 +74,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_warc": op3_warc,
     "op4_line_crf": op4_line_crf,
     "op5_pii": op5_pii,
