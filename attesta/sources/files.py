@@ -53,7 +53,7 @@ def scene_scores(spark: SparkSession, path: str) -> DataFrame:
 
 def term_list(spark: SparkSession, path: str) -> DataFrame:
     """pos, term of a glossary: words of the lines that are neither blank nor comments. The file is read whole, in order."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", "\n")).alias("line", "value"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line", "value"))
     own = lines.where((F.trim("value") != "") & ~F.ltrim(F.col("value")).startswith("#"))
     return own.select("line", F.posexplode(F.split(F.trim("value"), r"\s+")).alias("p", "term")).select((F.col("line") * 10000 + F.col("p")).alias("pos"), "term")
 
