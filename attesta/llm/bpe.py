@@ -151,21 +151,22 @@ class ForcedBoundaryBPE:
         return found
 
     def _words(self, text: str) -> list[str]:
-        """Words of a stretch. Tables of letters differ in what was unassigned not long ago: there the library itself splits."""
-        if text.isascii() or "Cn" not in map(unicodedata.category, text):
-            return self.words.findall(text)
+        """Normalised words of a stretch. Tables of letters differ in what was unassigned not long ago: there the library itself splits."""
+        if text.isascii():
+            return self.words.findall(text.lower())
+        if "Cn" not in map(unicodedata.category, text):
+            return self.words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
         if self.library is None:
             from tokenizers import Tokenizer
 
-            self.library = Tokenizer.from_file(self.path).pre_tokenizer
-        return [text[i:j] for _, (i, j) in self.library.pre_tokenize_str(text)]
+            self.library = Tokenizer.from_file(self.path)
+        text = self.library.normalizer.normalize_str(text)
+        return [text[i:j] for _, (i, j) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def _chunk(self, chunk: str) -> bytes:
         """Ids of a stretch without white space. Words never span white space, so stretches are independent."""
-        text = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
         out, symbols = [], self.symbols
-        # NFC and lower-casing may make white space of nothing else, but lower-casing can lengthen a character
-        for word in self._words(text.lower()):
+        for word in self._words(chunk):
             s = list(word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(symbols))
             s[-1] += self.suffix
             out += map(self._fragment, self.cut(s))
