@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: The ASCII white space that separates words everywhere in this subpackage; bytes.split() splits at exactly these.
 WHITE = " \t\n\x0b\x0c\r"
@@ -36,6 +37,18 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+#: Rows of a staged table of ids and a few numbers that may be broadcast: some tens of MB at most.
+BROADCAST_ROWS = 400_000
+
+
+def sized(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A staged table of narrow rows, marked for broadcast if it has at most `limit` rows; beyond that the join shuffles.
+
+    Joined with texts, this spares them the shuffle as long as the other side is small.
+    """
+    return F.broadcast(table) if table.count() <= limit else table
+
+
 def drop(spark: SparkSession, table: DataFrame) -> None:
     """Delete a staged table that nothing reads any more, and let Spark clean the shuffles that made it."""
     _staged.remove(table.staged_path)
