@@ -191,16 +191,19 @@ def links(spark: SparkSession, distinct: DataFrame, budget: int = BUDGET, bucket
     todo = distinct.select("fp", F.lit(0).cast("long").alias("path"), F.lit(0).cast("long").alias("key"))
     found: list[DataFrame] = []
     while True:
-        deals, below = [], {}
+        below, steps = {}, []
         for path, bits in free.items():
-            own = todo.where(F.col("path") == path)
+            own = []
             for n, block in enumerate(x.tolist() for x in np.array_split(np.array(bits), budget + 1)):
                 name = path * (budget + 1) + n + 1
                 below[name] = [x for x in bits if x not in block]
-                deals.append(own.select("fp", F.lit(name).cast("long").alias("path"), F.xxhash64("key", F.col("fp").bitwiseAND(F.lit(_mask(block)).cast("long"))).alias("key")))
-        dealt = stage(spark, functools.reduce(DataFrame.union, deals), "simhash-dealt")
+                own.append(F.struct(F.lit(name).cast("long").alias("path"), F.lit(_mask(block)).cast("long").alias("mask")))
+            steps += [F.lit(path).cast("long"), F.array(*own)]
+        # every fingerprint is dealt once for each block of what is free on its path
+        dealt = todo.withColumn("_d", F.explode(F.element_at(F.create_map(*steps), F.col("path"))))
+        dealt = stage(spark, dealt.select("fp", F.col("_d.path").alias("path"), F.xxhash64("key", F.col("fp").bitwiseAND(F.col("_d.mask"))).alias("key")), "simhash-dealt")
         large = None
-        if min(map(len, below.values())) > budget:
+        if 1 << max(map(len, below.values())) > 4 * bucket:  # else no bucket can hold more distinct values than that
             large = stage(spark, dealt.groupBy("path", "key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).drop("n"), "simhash-large")
             if large.isEmpty():
                 large = None

@@ -53,7 +53,7 @@ def captures(spark: SparkSession, pages: DataFrame) -> DataFrame:
 def write(spark: SparkSession, pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", captures_per_file: int = 2000) -> None:
     """Write pages (page_id, url, html; further columns are not read) as archives below path.
 
-    Rows equal in all three columns are one capture. Null html is an empty payload; null urls and page ids are left
+    Rows equal in all three columns give equal records, which are assembled into one capture. Null html is an empty payload; null urls and page ids are left
     out of the records. captures_per_file bounds what a reader has to hold: it reads a file at a time.
     """
     rows = captures(spark, pages)

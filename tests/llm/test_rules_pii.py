@@ -38,7 +38,7 @@ PROSE = "The old mill stood by the river, and nobody knew how long it had been t
 
 
 def test_verdicts(spark):
-    junk = "\n".join(f"{a}### {b}&&& best*** price%%% now$$$ and### more&&& for*** all%%%" for a in ("one", "two", "red", "blue") for b in ("x", "y", "z"))
+    junk = "\n".join(f"{a}{i}### {a}x{i}&&& best{i}*** price{i}%%% now{i}$$$ and{i}### more{i}&&& for{i}*** all%%%" for i, a in enumerate(("one", "two", "red", "blue") * 3))
     menu = "\n".join(f"home{i} | news{i} | about{i} | help{i} | cart{i} | search{i} | login{i}" for i in range(12))
     rows = [(1, PROSE), (2, junk), (3, menu), (4, "short"), (5, None), (6, ""), (7, "la la la " * 60), (8, PROSE), (None, PROSE), (9, PROSE + "\nAll rights reserved.")]
     df = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, kept string")
