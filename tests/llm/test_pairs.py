@@ -180,3 +180,28 @@ def test_chains_are_best():
         own = 5 * len(chain) - 0.02 * sum(x[j] - x[i] + y[j] - y[i] for i, j in zip(chain, chain[1:]))
         assert abs(own - max(score)) < 1e-9
         assert sorted(i for c in substring_dedup.chains(x, y) for i in c) == list(range(len(pts)))
+
+
+@pytest.mark.parametrize("between", [100, 500])
+def test_two_passages_of_one_pair(spark, between):
+    rng = random.Random(10 + between)
+    first, second = prose(rng, 50), prose(rng, 50)
+    texts = {i: " ".join(prose(rng, 20) + first + prose(rng, between) + second + prose(rng, 20)) for i in (1, 2)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = sorted((r["doc_id"], texts[2][r["start"] : r["end"]], texts[1][r["source_start"] : r["source_end"]]) for r in substring_dedup.passages(spark, df).collect())
+    assert got == sorted((2, " ".join(p), " ".join(p)) for p in (first, second))
+
+
+def test_chains_within_the_gap():
+    """A best predecessor that is too far away does not hide a nearer one: scores against brute force."""
+    rng = np.random.default_rng(12)
+    for _ in range(20):
+        pts = np.unique(rng.integers(0, 120, (60, 2)), axis=0)
+        x, y = pts[:, 0], pts[:, 1]
+        score = np.zeros(len(x))
+        for i in range(len(x)):  # rows of np.unique are in order of x
+            ok = (x < x[i]) & (y < y[i]) & (x[i] - x <= 9) & (y[i] - y <= 9)
+            score[i] = 5 + max(0, *(score[ok] - 0.02 * (x[i] - x[ok] + y[i] - y[ok])), 0)
+        chain = substring_dedup.chains(x, y, 5, 0.02, 9)[0]
+        got = sum(5 - (0.02 * float(x[j] - x[i] + y[j] - y[i]) if i >= 0 else 0) for i, j in zip([-1, *chain], chain))
+        assert got == pytest.approx(score.max())
