@@ -51,6 +51,15 @@ def test_mixing_is_a_distribution():
     assert np.exp(-np.logaddexp(0, z).sum(1)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_mixing_rates_span_new_and_repeated_words():
+    """New words cost hardly more than their spelling, and a word over and over hardly more than half a bit of its cache's share."""
+    n = 400
+    new = M.refined(np.full(n, -9.0), np.zeros(n), [np.arange(n)])[0]
+    assert new > n * (-9.0 + math.log(0.98 * 0.999)) - math.log(30) - 1e-3
+    same = M.refined(np.full(1, -40.0), np.zeros(1), [np.zeros(n, np.int64)])[0]
+    assert same > -41 + (n - 1) * math.log(0.5) - math.log(30)
+
+
 def test_contexts():
     """Slots depend on the word so far only."""
     a, _ = M.bit_slots(*M._spell([b"other", b"hello", M.END]))
