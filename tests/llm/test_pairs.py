@@ -205,3 +205,21 @@ def test_chains_within_the_gap():
         chain = substring_dedup.chains(x, y, 5, 0.02, 9)[0]
         got = sum(5 - (0.02 * float(x[j] - x[i] + y[j] - y[i]) if i >= 0 else 0) for i, j in zip([-1, *chain], chain))
         assert got == pytest.approx(score.max())
+
+
+@pytest.mark.parametrize("period", [1, 2, 5, 12])
+def test_periodic_text(spark, period):
+    rng = random.Random(14)
+    line = prose(rng, period)
+    head, tail = prose(rng, 12), prose(rng, 12)
+    n = 400 // period
+    texts = {1: line * n, 2: line * n, 3: prose(rng, 30) + line * (n // 2) + prose(rng, 30), 4: head + line * 60 + tail, 5: prose(rng, 9) + head + line * 60 + tail}
+    texts = {i: " ".join(t) for i, t in texts.items()}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = substring_dedup.passages(spark, df).collect()
+    assert (2, 0, len(texts[2])) in {(r["doc_id"], r["start"], r["end"]) for r in got}
+    repeat = " ".join(line * (n // 2))
+    at = texts[3].index(repeat)
+    assert any(r["doc_id"] == 3 and r["start"] <= at and r["end"] >= at + len(repeat) for r in got)
+    cut = {r["doc_id"]: r["text"] for r in substring_dedup.without_passages(spark, df).collect()}
+    assert 2 not in cut and not any(w in (cut[3] + cut[5]).split() for w in line)
