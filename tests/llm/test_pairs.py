@@ -223,3 +223,16 @@ def test_periodic_text(spark, period):
     assert any(r["doc_id"] == 3 and r["start"] <= at and r["end"] >= at + len(repeat) for r in got)
     cut = {r["doc_id"]: r["text"] for r in substring_dedup.without_passages(spark, df).collect()}
     assert 2 not in cut and not any(w in (cut[3] + cut[5]).split() for w in line)
+
+
+def test_fragments_in_earlier_documents(spark):
+    """A passage is found though earlier documents hold its seeds, each in a part too short for a passage."""
+    rng = random.Random(16)
+    for a, b in ((25, 25), (39, 30), (32, 38)):
+        passage = prose(rng, 50)
+        texts = {1: prose(rng, 40) + passage[:a] + prose(rng, 40), 2: prose(rng, 40) + passage[-b:] + prose(rng, 40)}
+        texts |= {i: prose(rng, 10 * i) + passage + prose(rng, 40) for i in (3, 4, 5)}
+        texts = {i: " ".join(t) for i, t in texts.items()}
+        df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        got = sorted((r["doc_id"], r["source_id"], texts[r["doc_id"]][r["start"] : r["end"]]) for r in substring_dedup.passages(spark, df).collect())
+        assert got == [(4, 3, " ".join(passage)), (5, 3, " ".join(passage))]
