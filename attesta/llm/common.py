@@ -6,6 +6,7 @@ import gc
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,24 +38,30 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-#: Rows of a staged table of ids and a few numbers that may be broadcast: some tens of MB at most.
-BROADCAST_ROWS = 400_000
+#: Bytes that a staged table may have, as rows in memory, to be broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
-def sized(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A staged table of narrow rows, marked for broadcast if it has at most `limit` rows; beyond that the join shuffles.
+def sized(table: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A staged table, marked for broadcast if it is small, counted in bytes: its rows by their width, lists and texts as long as they are.
 
-    Joined with texts, this spares them the shuffle as long as the other side is small.
+    Beyond the limit the join shuffles both sides. The result is the same.
     """
-    return F.broadcast(table) if table.count() <= limit else table
+    fixed = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "float": 4}
+    width = 16 + sum(fixed.get(t, 8) for _, t in table.dtypes)
+    long = [F.length(F.to_json(F.struct(c))) if "<" in t else F.octet_length(c) for c, t in table.dtypes if "<" in t or t in ("string", "binary")]
+    size = table.agg(F.count("*") * width + F.coalesce(F.sum(sum(map(lambda c: F.coalesce(c, F.lit(0)), long), F.lit(0))), F.lit(0))).first()[0]
+    return F.broadcast(table) if size <= limit else table
 
 
-def drop(spark: SparkSession, table: DataFrame) -> None:
-    """Delete a staged table that nothing reads any more, and let Spark clean the shuffles that made it."""
-    _staged.remove(table.staged_path)
-    _delete(spark, table.staged_path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def drop(spark: SparkSession, *tables: DataFrame, shuffles: bool = False) -> None:
+    """Delete staged tables that nothing reads any more; with shuffles, also let Spark clean the shuffles that made them."""
+    for table in tables:
+        _staged.remove(table.staged_path)
+        _delete(spark, table.staged_path)
+    if shuffles:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -68,6 +75,28 @@ def release(spark: SparkSession) -> None:
         _delete(spark, _staged.pop())
 
 
+def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[pa.RecordBatch]]:
+    """Rows of each value of the first `keys` (integer) columns together, from batches sorted by them: slices of batches."""
+    last, held = None, []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [c.to_numpy(zero_copy_only=False) for c in b.columns[:keys]]
+        new = np.zeros(b.num_rows, bool)
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        starts = [0, *np.flatnonzero(new).tolist(), b.num_rows]
+        for i, j in zip(starts, starts[1:]):
+            key = tuple(c[i] for c in cols)
+            if held and key != last:
+                yield held
+                held = []
+            last = key
+            held.append(b.slice(i, j - i))
+    if held:
+        yield held
+
+
 def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that none holds much more than max_bytes (one row at least): bounds the Python objects made of a batch."""
     for b in batches:
@@ -77,5 +106,38 @@ def slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) -> Itera
             yield b.slice(at, step)
 
 
+UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def word_hashes(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
+    """XXH64 of each word; `known` keeps those of short words, and is emptied when it gets large."""
+    from xxhash import xxh64_intdigest
+
+    if len(known) > 500_000:
+        known.clear()
+    get = known.get
+    out = [get(w) for w in words]
+    if None in out:
+        for i, (w, h) in enumerate(zip(words, out)):
+            if h is None:
+                h = out[i] = xxh64_intdigest(w)
+                if len(w) < 64:
+                    known[w] = h
+    return np.array(out, np.uint64)
+
+
+def kmers(hashes: np.ndarray, k: int) -> np.ndarray:
+    """A hash of every k consecutive words."""
+    n = len(hashes) - k + 1
+    out = np.zeros(max(n, 0), np.uint64)
+    if n > 0:
+        with np.errstate(over="ignore"):
+            for i in range(k):
+                out = (out ^ hashes[i : i + n]) * MIX
+                out ^= out >> np.uint64(29)
+    return out
+
+
 def batch(schema: pa.Schema, columns: dict[str, list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm.common import stage
+from attesta.llm.common import drop, stage
 
 
 def connected(spark: SparkSession, links: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -26,11 +26,13 @@ def connected(spark: SparkSession, links: DataFrame, max_rounds: int = 50) -> Da
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = stage(spark, both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "cc-large")
         large = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        edges = stage(spark, large, "cc-edges")
+        old, edges = [edges, low], stage(spark, large, "cc-edges")
+        drop(spark, *old)
         # small star: every smaller neighbour of u, and u itself, goes to the smallest of them
         low = stage(spark, edges.groupBy("u").agg(F.min("v").alias("m")), "cc-small")
         small = edges.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
-        edges = stage(spark, small, "cc-edges")
+        old, edges = [edges, low], stage(spark, small, "cc-edges")
+        drop(spark, *old)
         now = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.count_distinct("u").alias("d")).first()
         if now["n"] == now["d"] and before == (now["n"], now["x"]):
             break

@@ -1,10 +1,19 @@
 """SimHash near-duplicates: fingerprints of word shingles, and a self-join of them in binary tries.
 
-Two fingerprints that differ in at most k bits agree wholly in one of k + 1 blocks of bits. Fingerprints are dealt by
-block value; within a block value, all of them form a binary trie over the other bits, which is joined with itself:
-pairs of nodes are walked down together, their differing bits are counted, and a pair is pruned when it has more than
-the budget. A block value that many fingerprints share is dealt again by blocks of its other bits, so no task gets an
-unbounded group; this loses nothing, since the budget holds for the other bits as well.
+Fingerprints are dealt into buckets of which two near ones share at least one; the fingerprints of a bucket form a
+binary trie, which is joined with itself: pairs of nodes are walked down together, their differing bits are counted,
+and a pair is pruned when it has more than the budget, or when all that lies below both is linked already. Pairs are
+folded into a forest as they are found, so a worker holds a bounded stretch of the walk, however dense the bucket is.
+
+Two ways to deal:
+
+* `links`, exact, for short fingerprints and a small budget: two that differ in at most k bits agree wholly in one of
+  k + 1 blocks of bits. A block value that many fingerprints share is dealt again by blocks of its other bits; this
+  loses nothing, since the budget holds for the other bits as well.
+* `copy_links`, for five-word shingles and a similarity of 0.8, where 256 bits may differ in 44: blocks of some 20 bits
+  are dealt under their own value and under those with the least certain bits (whose sums over the shingles are
+  nearest to a tie) turned over. Nearly all bits in which near copies differ are such bits. A large bucket is cut into
+  parts, and every pair of parts is joined.
 """
 
 from __future__ import annotations
@@ -17,20 +26,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm.common import slices, stage
+from attesta.llm.common import MIX, UPPER, kmers, sized, slices, stage, word_hashes
 from attesta.llm.components import connected
 
 SHINGLE, BITS, BUDGET, SEED = 3, 64, 2, 42
-#: Distinct fingerprints of one block value that one task joins; larger values are dealt again.
-BUCKET = 4096
-_UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+#: Near copies: words of a shingle, bits of a fingerprint, and bits that may differ. Of sets with a Jaccard similarity of
+#: 0.8, 39 bits differ on average, with a standard deviation of 6.
+COPY_SHINGLE, COPY_BITS, COPY_BUDGET = 5, 256, 44
+#: Distinct fingerprints of one bucket that one task joins; larger buckets are dealt again.
+BUCKET = 2048
+#: Fingerprints that are joined at a time, and node pairs of the walk that are held at a time.
+BATCH, FRONTIER = 1 << 15, 1 << 14
+#: Node pairs with no more pairs of fingerprints than this are settled at once.
+SETTLE = 16
 
 
 def fingerprint(text: str | None) -> int:
     """The 64-bit SimHash of a whole text: a bit is 1 if it is set in over half the hashes of its shingles."""
     from xxhash import xxh64_intdigest
 
-    words = (text or "").encode().translate(_UPPER).split()
+    words = (text or "").encode().translate(UPPER).split()
     n = len(words) - SHINGLE + 1
     if not words:
         return 0
@@ -62,80 +77,161 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, fp bigint")
 
 
-def trie_join(values: np.ndarray, bounds: np.ndarray, budget: int = BUDGET, frontier: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i < j) of values that lie in the same group and differ in at most `budget` bits.
+class Forest:
+    """Union-find over array indices, by minimum. parent: the smallest index linked with each; ends: where the run of indices of one component ends."""
+
+    def __init__(self, n: int):
+        self.parent, self.ends = np.arange(n), np.arange(1, n + 1)
+
+    def roots(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Link i[k] with j[k]: vectorised hooking and pointer jumping. Returns parent."""
+        p = self.parent
+        while len(i):
+            x, y = p[i], p[j]
+            np.minimum.at(p, np.maximum(x, y), np.minimum(x, y))
+            while not np.array_equal(q := p[p], p):
+                p = q
+            alive = p[i] != p[j]
+            i, j = i[alive], j[alive]
+        self.parent = p
+        return p
 
-    values: distinct uint64 within each group, each group sorted; bounds: where groups start, and the end. Each group
-    is a binary trie whose nodes are ranges of the sorted values. The walk keeps a stack of chunks of node pairs, so
-    memory stays bounded by the frontier, whatever the data.
+    def link(self, i: np.ndarray, j: np.ndarray) -> None:
+        p = self.roots(i, j)
+        last = np.concatenate([np.flatnonzero(p[1:] != p[:-1]) + 1, [len(p)]])
+        self.ends = last[np.searchsorted(last, np.arange(len(p)), "right")]
+
+
+def trie_pairs(values: np.ndarray, bounds: np.ndarray, budget: int = BUDGET, frontier: int = FRONTIER, forest: Forest | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i < j) of values that lie in the same group and differ in at most `budget` bits, a stretch at a time.
+
+    values: uint64 [n] or [n, words], distinct and sorted within each group; bounds: where groups start, and the end.
+    Each group is a binary trie whose nodes are ranges of the sorted values. The walk keeps a stack of chunks of node
+    pairs, so memory stays bounded by the frontier, whatever the data. With a forest, into which the caller links the
+    pairs as they come, pairs of nodes that lie in one component are passed over, so a dense group costs little more
+    than its size.
     """
+    values = values.reshape(len(values), -1)
+    bits = 64 * values.shape[1]
     bit_sums: dict[int, np.ndarray] = {}
 
     def ones(level: int) -> np.ndarray:
         """Running sums of the bit that a trie level tests."""
         if level not in bit_sums:
-            bit = (values >> np.uint64(BITS - 1 - level)) & np.uint64(1)
-            bit_sums[level] = np.concatenate([[0], np.cumsum(bit.astype(np.int64))])
+            bit = (values[:, level >> 6] >> np.uint64(63 - (level & 63))) & np.uint64(1)
+            bit_sums[level] = np.concatenate([[0], np.cumsum(bit, dtype=np.int32)])
         return bit_sums[level]
 
+    def near(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs below small node pairs that are near enough."""
+        wide = d - c
+        sizes = (b - a) * wide
+        which = np.repeat(np.arange(len(a)), sizes)
+        k = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        i, j = a[which] + k // wide[which], c[which] + k % wide[which]
+        ok = i < j
+        if forest is not None:
+            ok &= forest.parent[i] != forest.parent[j]
+        i, j = i[ok], j[ok]
+        ok = np.bitwise_count(values[i] ^ values[j]).sum(1, dtype=np.int64) <= budget
+        return i[ok], j[ok]
+
     lo, hi = bounds[:-1], bounds[1:]
     some = hi - lo > 1
     lo, hi = lo[some], hi[some]
-    stack = [(0, lo, hi, lo, hi, np.zeros(len(lo), np.int8))]
-    left, right = [], []
+    stack = [(0, (lo, hi, lo, hi, np.zeros(len(lo), np.int16)))]
     while stack:
-        level, a, b, c, d, errors = stack.pop()
-        if not len(a):
-            continue
-        if len(a) > frontier:
-            half = len(a) // 2
-            stack += [(level, *(x[:half] for x in (a, b, c, d, errors))), (level, *(x[half:] for x in (a, b, c, d, errors)))]
+        level, nodes = stack.pop()
+        if len(nodes[0]) > frontier:
+            half = len(nodes[0]) // 2
+            stack += [(level, tuple(x[half:] for x in nodes)), (level, tuple(x[:half] for x in nodes))]
             continue
-        # pairs of single leaves are settled at once
-        leaf = (b - a == 1) & (d - c == 1) & (a != c)
-        if leaf.any():
-            i, j = a[leaf], c[leaf]
-            near = np.bitwise_count(values[i] ^ values[j]) <= budget
-            left.append(i[near])
-            right.append(j[near])
-            a, b, c, d, errors = (x[~leaf] for x in (a, b, c, d, errors))
-        if level == BITS or not len(a):
+        a, b, c, d, errors = nodes
+        if forest is not None:
+            open_ = (forest.ends[a] < b) | (forest.ends[c] < d) | (forest.parent[a] != forest.parent[c])
+            a, b, c, d, errors = (x[open_] for x in (a, b, c, d, errors))
+        few = (b - a) * (d - c) <= (SETTLE if level < bits else len(values) ** 2)
+        if few.any():
+            i, j = near(a[few], b[few], c[few], d[few])
+            if len(i):
+                yield i, j
+            a, b, c, d, errors = (x[~few] for x in (a, b, c, d, errors))
+        if not len(a):
             continue
         sums = ones(level)
         m, n = b - (sums[b] - sums[a]), d - (sums[d] - sums[c])  # where the ones begin
         same = a == c  # a node with itself: its two children meet once
         parts = []
-        for p, q, r, s, more, keep in ((a, m, c, n, 0, None), (m, b, n, d, 0, None), (a, m, n, d, 1, None), (m, b, c, n, 1, ~same)):
-            own = same if more == 0 else np.zeros(len(a), bool)
+        for p, q, r, s, more in ((a, m, c, n, 0), (m, b, n, d, 0), (a, m, n, d, 1), (m, b, c, n, 1)):
             ok = (q > p) & (s > r) & (errors + more <= budget)
-            ok &= ~(own & (q - p < 2))  # one value alone
-            if keep is not None:
-                ok &= keep
-            parts.append((p[ok], q[ok], r[ok], s[ok], errors[ok] + np.int8(more)))
-        stack.append((level + 1, *(np.concatenate(x) for x in zip(*parts))))
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(left), np.concatenate(right)
+            if not more:
+                ok &= ~(same & (q - p < 2))  # one value alone
+            elif p is m:
+                ok &= ~same
+            parts.append((p[ok], q[ok], r[ok], s[ok], errors[ok] + np.int16(more)))
+        stack.append((level + 1, tuple(np.concatenate(x) for x in zip(*parts))))
 
 
-class Forest:
-    """Union-find over array indices, by minimum."""
+def trie_join(values: np.ndarray, bounds: np.ndarray, budget: int = BUDGET, frontier: int = FRONTIER) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of trie_pairs at once."""
+    found = [*trie_pairs(values, bounds, budget, frontier)]
+    return tuple(np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
 
-    def __init__(self, n: int):
-        self.parent = np.arange(n)
 
-    def roots(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """The smallest index that each index reaches over the links i - j: vectorised hooking and pointer jumping."""
-        p = self.parent
-        while len(i):
-            x, y = p[i], p[j]
-            np.minimum.at(p, np.maximum(x, y), np.minimum(x, y))
-            while not np.array_equal(q := p[p], p):
-                p = q
-            alive = p[i] != p[j]
-            i, j = i[alive], j[alive]
-        self.parent = p
-        return p
+def bucket_links(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
+    """Links a, b of fingerprints of one bucket, from batches (key, fp) sorted by key; fp is a long or a binary of longs.
+
+    Whole buckets are joined, many at a time; they give a spanning forest of their links: enough for components, and
+    never more rows than the bucket has.
+    """
+    keys_held, fps_held, size, kind = [], [], 0, pa.int64()
+
+    def joined(keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+        same = keys[1:] == keys[:-1]
+        some = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+        keys, fps = keys[some], fps[some]
+        group = np.cumsum(np.concatenate([[0], keys[1:] != keys[:-1]])) if len(keys) else keys
+        order = np.lexsort((*fps.T[::-1], group))
+        group, fps = group[order], fps[order]
+        new = np.ones(len(group), bool)
+        new[1:] = (group[1:] != group[:-1]) | (fps[1:] != fps[:-1]).any(1)
+        group, fps = group[new], fps[new]
+        forest = Forest(len(group))
+        bounds = np.concatenate([np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])), [len(group)]]) if len(group) else np.zeros(1, np.int64)
+        for i, j in trie_pairs(fps, bounds, budget, FRONTIER, forest):
+            forest.link(i, j)
+        far = np.flatnonzero(forest.parent != np.arange(len(group)))
+        return pa.RecordBatch.from_arrays([written(fps[far], kind), written(fps[forest.parent[far]], kind)], ["a", "b"])
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        kind = b.column(1).type
+        keys_held.append(b.column(0).to_numpy())
+        fps_held.append(words_of(b.column(1)))
+        size += b.num_rows
+        if size >= BATCH:
+            keys, fps = np.concatenate(keys_held), np.concatenate(fps_held)
+            cut = len(keys) - int(np.argmax(keys[::-1] != keys[-1])) if keys[0] != keys[-1] else 0
+            if cut:
+                yield joined(keys[:cut], fps[:cut])
+            keys_held, fps_held, size = [keys[cut:]], [fps[cut:]], len(keys) - cut
+    if size:
+        yield joined(np.concatenate(keys_held), np.concatenate(fps_held))
+
+
+def words_of(fps: pa.Array) -> np.ndarray:
+    """Fingerprints as rows of uint64."""
+    if pa.types.is_integer(fps.type):
+        return fps.to_numpy().view(np.uint64)[:, None]
+    return np.frombuffer(b"".join(fps.to_pylist()), ">u8").astype(np.uint64).reshape(len(fps), -1)
+
+
+def written(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    if pa.types.is_integer(kind):
+        return pa.array(values[:, 0].view(np.int64))
+    raw, size = values.astype(">u8").tobytes(), 8 * values.shape[1]
+    return pa.array([raw[i : i + size] for i in range(0, len(raw), size)], pa.binary())
 
 
 def _mask(bits: list[int]) -> int:
@@ -144,51 +240,13 @@ def _mask(bits: list[int]) -> int:
 
 
 def links(spark: SparkSession, distinct: DataFrame, budget: int = BUDGET, bucket: int = BUCKET) -> DataFrame:
-    """Links a, b between distinct fingerprints (column fp) that connect all that differ in at most `budget` bits.
+    """Links a, b between distinct fingerprints (column fp, a long) that connect all that differ in at most `budget` bits.
 
-    Every task joins whole buckets and gives a spanning forest of each bucket's links: enough for components, and never
-    more rows than the bucket has.
+    Null fingerprints link with nothing; repeated ones do no harm; an empty table gives an empty result.
     """
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held = None, []
-
-        def run(groups: list[np.ndarray]) -> pa.RecordBatch:
-            values = np.concatenate(groups)
-            bounds = np.cumsum([0, *map(len, groups)])
-            i, j = trie_join(values, bounds, budget)
-            root = Forest(len(values)).roots(i, j)
-            far = np.flatnonzero(root != np.arange(len(values)))
-            return pa.RecordBatch.from_arrays([pa.array(values[far].view(np.int64)), pa.array(values[root[far]].view(np.int64))], ["a", "b"])
-
-        ready, size = [], 0
-        for b in batches:
-            keys, path = b.column(0).to_numpy(), b.column(1).to_numpy()
-            fps = b.column(2).to_numpy()
-            cut = np.flatnonzero((keys[1:] != keys[:-1]) | (path[1:] != path[:-1])) + 1
-            for part in np.split(np.arange(len(keys)), cut):
-                if not len(part):
-                    continue
-                key = (keys[part[0]], path[part[0]])
-                if key != held_key and held:
-                    group = np.sort(np.concatenate(held).view(np.uint64))
-                    if len(group) > 1:
-                        ready.append(group)
-                        size += len(group)
-                    held = []
-                held_key = key
-                held.append(fps[part])
-                if size >= 1 << 16:
-                    yield run(ready)
-                    ready, size = [], 0
-        if held and sum(map(len, held)) > 1:
-            ready.append(np.sort(np.concatenate(held).view(np.uint64)))
-        if ready:
-            yield run(ready)
-
     # A path names the blocks that were fixed so far, key their values: a bucket is (path, key)
     free = {0: list(range(BITS))}
-    todo = distinct.select("fp", F.lit(0).cast("long").alias("path"), F.lit(0).cast("long").alias("key"))
+    todo = distinct.where("fp IS NOT NULL").select("fp", F.lit(0).cast("long").alias("path"), F.lit(0).cast("long").alias("key"))
     found: list[DataFrame] = []
     while True:
         below, steps = {}, []
@@ -201,17 +259,18 @@ def links(spark: SparkSession, distinct: DataFrame, budget: int = BUDGET, bucket
             steps += [F.lit(path).cast("long"), F.array(*own)]
         # every fingerprint is dealt once for each block of what is free on its path
         dealt = todo.withColumn("_d", F.explode(F.element_at(F.create_map(*steps), F.col("path"))))
-        dealt = stage(spark, dealt.select("fp", F.col("_d.path").alias("path"), F.xxhash64("key", F.col("fp").bitwiseAND(F.col("_d.mask"))).alias("key")), "simhash-dealt")
+        dealt = stage(spark, dealt.select("fp", F.col("_d.path").alias("path"), F.xxhash64("_d.path", "key", F.col("fp").bitwiseAND(F.col("_d.mask"))).alias("key")), "simhash-dealt")
         large = None
         if 1 << max(map(len, below.values())) > 4 * bucket:  # else no bucket can hold more distinct values than that
-            large = stage(spark, dealt.groupBy("path", "key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).drop("n"), "simhash-large")
+            large = stage(spark, dealt.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket).drop("n"), "simhash-large")
             if large.isEmpty():
                 large = None
-        small = dealt if large is None else dealt.join(large, ["path", "key"], "left_anti")
-        found.append(small.select("key", "path", "fp").repartition("key", "path").sortWithinPartitions("key", "path").mapInArrow(join, "a bigint, b bigint"))
+        small = dealt if large is None else dealt.join(large, "key", "left_anti")
+        found.append(small.select("key", "fp"))
         if large is None:
-            return functools.reduce(DataFrame.union, found)
-        todo = stage(spark, dealt.join(large, ["path", "key"]).select("fp", "path", "key"), "simhash-again")
+            every = functools.reduce(DataFrame.union, found)
+            return every.repartition("key").sortWithinPartitions("key").mapInArrow(functools.partial(bucket_links, budget=budget), "a bigint, b bigint")
+        todo = stage(spark, dealt.join(large, "key").select("fp", "path", "key"), "simhash-again")
         free = below
 
 
@@ -224,9 +283,95 @@ def components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", tex
     """
     own = stage(spark, fingerprints(docs, id_col, text_col), "simhash-docs")
     classes = stage(spark, own.groupBy("fp").agg(F.min(id_col).alias("first")), "simhash-classes")
-    found = connected(spark, links(spark, classes.select("fp")))
-    # component of fingerprints, then the smallest document of each
-    grouped = classes.join(found.select(F.col("node").alias("fp"), F.col("component")), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    label = stage(spark, grouped.join(least, "component").select("fp", "component_id"), "simhash-labels")
+    label = labelled(spark, classes, links(spark, classes.select("fp")))
     return own.join(label, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def labelled(spark: SparkSession, classes: DataFrame, found: DataFrame) -> DataFrame:
+    """fp, component_id: the smallest `first` of all classes (fp, first) that links reach."""
+    comp = connected(spark, found)
+    grouped = classes.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
+    return stage(spark, grouped.join(least, "component").select("fp", "component_id"), "simhash-labels")
+
+
+def copy_print(codes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the distinct hashes of a text's shingles: the fingerprint's bits, and how far the sum behind each is from a tie."""
+    total, words = np.zeros(bits, np.int64), bits // 64
+    seeds = MIX * (2 * np.arange(words, dtype=np.uint64) + np.uint64(1))
+    for at in range(0, len(codes), 1 << 14):
+        with np.errstate(over="ignore"):
+            y = codes[at : at + (1 << 14), None] * seeds
+            y = (y ^ (y >> np.uint64(32))) * MIX
+            y ^= y >> np.uint64(29)
+        total += np.unpackbits(y.view(np.uint8), axis=1).sum(0, dtype=np.int64)
+    margin = 2 * total - len(codes)
+    return margin > 0, np.abs(margin)
+
+
+def block_size(rows: int) -> tuple[int, int]:
+    """Bits of a block, and how many of them are turned over, for a table of so many rows.
+
+    A block grows with the logarithm of the table, so that buckets of unlike texts stay small; the bits turned over
+    grow with it, so that near copies are found alike at any size (measured: tests, README).
+    """
+    extra = max(0, int(rows).bit_length() - 20)
+    bits = min(40, 20 + 4 * -(-extra // 4))
+    return bits, bits // 4 - 3
+
+
+def copy_prints(docs: DataFrame, id_col: str, text_col: str, block: int, turned: int, shingle: int = COPY_SHINGLE, bits: int = COPY_BITS) -> DataFrame:
+    """id, fp (binary) and keys (of the buckets) of every whole text, by its distinct shingles; fewer words are one shingle."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    number = bits // block
+    place = np.uint64(1) << np.arange(block, dtype=np.uint64)
+    subsets = (np.arange(1 << turned)[:, None] >> np.arange(turned)) & 1
+
+    def keys_of(ones: np.ndarray, sure: np.ndarray) -> np.ndarray:
+        own, sure = ones[: number * block].reshape(number, block), sure[: number * block].reshape(number, block)
+        value = (own * place).sum(1, dtype=np.uint64)
+        flips = place[np.argsort(sure, axis=1, kind="stable")[:, :turned]] @ subsets.T.astype(np.uint64)
+        with np.errstate(over="ignore"):
+            return (((value[:, None] ^ flips) * MIX ^ np.arange(number, dtype=np.uint64)[:, None]) * MIX).view(np.int64).ravel()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        for b in slices(batches):
+            fps, keys = [], []
+            for text in b.column(1).to_pylist():
+                words = word_hashes((text or "").encode().translate(UPPER).split(), known)
+                codes = np.unique(kmers(words, min(shingle, max(1, len(words)))))
+                ones, sure = copy_print(codes, bits)
+                fps.append(np.packbits(ones).tobytes())
+                keys.append(keys_of(ones, sure) if len(codes) else [])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], [id_col, "fp", "keys"])
+
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, fp binary, keys array<bigint>")
+
+
+def copy_links(spark: SparkSession, classes: DataFrame, budget: int = COPY_BUDGET, bucket: int = BUCKET) -> DataFrame:
+    """Links a, b between classes (fp, keys) that share a bucket and differ in at most `budget` bits."""
+    dealt = stage(spark, classes.select(F.explode("keys").alias("key"), "fp"), "simhash-copies-dealt")
+    large = stage(spark, dealt.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket), "simhash-copies-large")
+    if not large.isEmpty():
+        near = sized(large)
+        # every pair of parts of a large bucket is a bucket of its own
+        cut = dealt.join(near, "key").withColumn("parts", F.ceil(F.col("n") / (bucket // 2)).cast("long")).withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")))
+        pairs = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        again = pairs.select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("key"), "fp")
+        dealt = dealt.join(near, "key", "left_anti").union(again)
+    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(functools.partial(bucket_links, budget=budget), "a binary, b binary")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = COPY_BUDGET, bucket: int = BUCKET) -> DataFrame:
+    """One row per input row: id, component_id: the smallest id reachable over near copies, itself included.
+
+    Texts are near copies if their sets of five-word shingles have a similarity of about 0.8 or more, as 256-bit
+    fingerprints tell it. Equal fingerprints are one class. Null texts and texts without words are one class that links
+    with no other; rows with a null id get the component of their class; repeated rows share it; further columns are
+    not read; an empty table gives an empty result.
+    """
+    own = stage(spark, copy_prints(docs, id_col, text_col, *block_size(docs.count())), "simhash-copies")
+    classes = stage(spark, own.groupBy("fp").agg(F.min(id_col).alias("first"), F.min("keys").alias("keys")), "simhash-copy-classes")
+    label = labelled(spark, classes.select("fp", "first"), copy_links(spark, classes, budget, bucket))
+    return own.select(id_col, "fp").join(label, "fp").select(id_col, "component_id")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from xxhash import xxh64_intdigest
 
@@ -125,6 +127,57 @@ def test_trie_join_gives_pairs():
         i, j = simhash.trie_join(v, np.array([0, len(v)]), 2, frontier=16)
         got = sorted((min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist()))
         assert got == [(a, b) for a, b in itertools.combinations(range(len(v)), 2) if bin(int(v[a] ^ v[b])).count("1") <= 2]
+    wide = rng.integers(0, 4, (60, 3)).astype(np.uint64)
+    wide = np.unique(wide, axis=0)
+    i, j = simhash.trie_join(wide, np.array([0, 20, len(wide)]), 3)
+    bits = lambda a, b: sum(bin(int(x)).count("1") for x in wide[a] ^ wide[b])
+    assert sorted(zip(i.tolist(), j.tolist())) == [(a, b) for a, b in itertools.combinations(range(len(wide)), 2) if (a < 20) == (b < 20) and bits(a, b) <= 3]
+
+
+def test_dense_fingerprints_take_bounded_memory():
+    """8,192 near copies in one bucket: all become one component, and the walk holds a few MB."""
+    rng = np.random.default_rng(7)
+    values = {0}
+    while len(values) < 8192:
+        values.add(int(np.bitwise_xor.reduce(np.uint64(1) << rng.choice(64, rng.integers(1, 5), replace=False).astype(np.uint64))))
+    keys = pa.array(np.zeros(len(values), np.int64))
+    fps = pa.array(np.array(sorted(values), np.uint64).view(np.int64))
+    tracemalloc.start()
+    out = list(simhash.bucket_links(iter([pa.RecordBatch.from_arrays([keys, fps], ["key", "fp"])]), 2))
+    assert tracemalloc.get_traced_memory()[1] < 64 << 20
+    tracemalloc.stop()
+    sets = Sets(values)
+    for a, b in zip(*(np.concatenate([b.column(k).to_numpy() for b in out]).view(np.uint64).tolist() for k in (0, 1))):
+        sets.join(a, b)
+    assert len({sets.find(v) for v in values}) == 1
+
+
+def shingles(text, k=5):
+    words = text.lower().split()
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))}
+
+
+@pytest.mark.parametrize("bucket", [2048, 16])
+def test_near_copies(spark, bucket):
+    """Five-word shingles: pairs of a Jaccard similarity of 0.8 or more, by brute force, share a component; unlike texts do not."""
+    rng = random.Random(17)
+    rows, base = [], {}
+    for g in range(60):
+        text = prose(rng, rng.randrange(80, 400))
+        for _ in range(40 if g == 5 else rng.choice([1, 2, 2, 3])):
+            own = [w if rng.random() > 0.012 else "edit" + str(rng.randrange(10**6)) for w in text]
+            base[len(rows)] = g
+            rows.append((len(rows), " ".join(own)))
+    extra = [(10_000, rows[3][1].upper()), (10_001, None), (10_002, ""), (10_003, "two words"), (10_004, "two  WORDS"), (None, rows[3][1])]
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows + extra], "doc_id long, text string, component_id int").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(spark, df, bucket=bucket).collect()}
+    assert len(got) == len(rows) + len(extra)
+    sets = [shingles(t) for _, t in rows]
+    near = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if base[a] == base[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert len(near) > 60 and np.mean([got[a] == got[b] for a, b in near]) >= 0.95
+    assert all(base[got[i]] == base[i] for i in base)
+    assert got[10_000] == got[3] == got[None] and got[10_001] == got[10_002] == 10_001 and got[10_003] == got[10_004] == 10_003
+    assert simhash.near_copies(spark, df.limit(0)).count() == 0
 
 
 def test_simhash_components(spark):
