@@ -289,3 +289,59 @@ def test_fragments_in_earlier_documents(spark):
         df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
         got = sorted((r["doc_id"], r["source_id"], texts[r["doc_id"]][r["start"] : r["end"]]) for r in substring_dedup.passages(spark, df).collect())
         assert got == [(4, 3, " ".join(passage)), (5, 3, " ".join(passage))]
+
+
+def edited(rng, passage, rate):
+    """The passage with words changed, left out or put in, and where its first and last equal words lie in either version."""
+    out, equal = [], []
+    for i, w in enumerate(passage):
+        kind = rng.random() / rate
+        if kind < 0.15:
+            continue
+        if kind < 0.3:
+            out.append("new" + str(rng.randrange(10**6)))
+        if 0.3 <= kind < 1:
+            out.append("new" + str(rng.randrange(10**6)))
+        else:
+            equal.append((i, len(out)))
+            out.append(w)
+    return out, equal
+
+
+def test_recall_of_fuzzy_passages(spark):
+    """Passages of 40 to 100 words between their first and last equal words, with an identity down to 0.8: at least 0.9 are found."""
+    rng = random.Random(18)
+    rows, want = [], {}
+    while len(want) < 300:
+        passage = prose(rng, rng.randrange(40, 106))
+        copy, equal = edited(rng, passage, rng.choice([0.05, 0.1, 0.15, 0.2]))
+        long = [max(e[k] for e in equal) - min(e[k] for e in equal) + 1 for k in (0, 1)]
+        if min(long) < 40 or max(long) > 100 or len(equal) < 0.8 * max(long):
+            continue
+        n = len(rows)
+        rows += [(n, " ".join(prose(rng, 60) + passage + prose(rng, 60))), (n + 1, " ".join(prose(rng, 30) + copy + prose(rng, 90)))]
+        want[n + 1] = n
+    got = substring_dedup.passages(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(want.get(r["doc_id"]) == r["source_id"] for r in got)
+    assert len({r["doc_id"] for r in got}) >= 0.9 * len(want)
+    assert all(r["identity"] >= 0.8 and r["n_words"] >= 40 for r in got)
+
+
+def test_extension_beyond_the_margin(spark):
+    """A long passage of which the chain to its source has only the beginning: the rest was seen earlier, in fragments."""
+    rng = random.Random(19)
+    passage = prose(rng, 900)
+    texts = {1: " ".join(w for i in range(0, 900, 30) for w in passage[100 + i : 100 + i + 8] + prose(rng, 8))}
+    texts |= {i: " ".join(prose(rng, 20) + passage + prose(rng, 20)) for i in (2, 3)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for margin in (64, 1024):
+        got = [r for r in substring_dedup.passages(spark, df, margin=margin).collect() if (r["doc_id"], r["source_id"]) == (3, 2)]
+        assert {texts[3][r["start"] : r["end"]] for r in got} == {" ".join(passage)}
+
+
+def test_long_text(spark):
+    rng = random.Random(20)
+    long = " ".join(prose(rng, 60_000))
+    df = spark.createDataFrame([(1, long), (2, "x " + long)], "doc_id long, text string")
+    got = substring_dedup.passages(spark, df).collect()
+    assert [(r["doc_id"], r["start"], r["end"], r["n_words"]) for r in got] == [(2, 2, len(long) + 2, 60_000)]
