@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -59,9 +60,10 @@ def drop(spark: SparkSession, *tables: DataFrame, shuffles: bool = False) -> Non
     for table in tables:
         _staged.remove(table.staged_path)
         _delete(spark, table.staged_path)
-    if shuffles:
+    for _ in range(2 * shuffles):  # the first round finds what the second can clean
         gc.collect()
         spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
