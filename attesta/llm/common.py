@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import gc
 import time
 import uuid
@@ -112,21 +113,37 @@ UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_hashes(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    """XXH64 of each word; `known` keeps those of short words, and is emptied when it gets large."""
-    from xxhash import xxh64_intdigest
-
-    if len(known) > 500_000:
-        known.clear()
-    get = known.get
-    out = [get(w) for w in words]
-    if None in out:
-        for i, (w, h) in enumerate(zip(words, out)):
-            if h is None:
-                h = out[i] = xxh64_intdigest(w)
-                if len(w) < 64:
-                    known[w] = h
-    return np.array(out, np.uint64)
+_BYTES = (np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) ^ np.uint64(0xA0761D6478BD642F)
+
+
+@functools.cache
+def _powers(size: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, MIX)]))
+
+
+def hashed_words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the words of a text: hashes (A-Z lower-cased), starts and ends in code points. No loop over words: a word is hashed as a polynomial in its bytes."""
+    raw = text.encode()
+    x = np.frombuffer(raw.translate(UPPER), np.uint8)
+    inside = np.empty(len(x) + 1, bool)
+    inside[-1] = False
+    np.logical_and(x != 32, (x < 9) | (x > 13), out=inside[:-1])
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if inside[0]:
+        edge = np.concatenate([[0], edge])
+    first, last = edge[::2], edge[1::2]
+    if not len(first):
+        return np.zeros(0, np.uint64), first, last
+    sizes = last - first
+    begin = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(begin, sizes)
+    h = np.add.reduceat(_BYTES[x[inside[:-1]]] * _powers(1 << int(sizes.max()).bit_length())[place], begin)
+    h = (h ^ (h >> np.uint64(29)) ^ sizes.astype(np.uint64)) * MIX
+    h ^= h >> np.uint64(32)
+    if len(raw) > len(text):
+        inner = np.concatenate([[0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) == 0x80)])
+        first, last = first - inner[first], last - inner[last]
+    return h, first, last
 
 
 def kmers(hashes: np.ndarray, k: int) -> np.ndarray:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm.common import MIX, UPPER, kmers, sized, slices, stage, word_hashes
+from attesta.llm.common import MIX, UPPER, hashed_words, kmers, sized, slices, stage
 from attesta.llm.components import connected
 
 SHINGLE, BITS, BUDGET, SEED = 3, 64, 2, 42
@@ -335,11 +335,10 @@ def copy_prints(docs: DataFrame, id_col: str, text_col: str, block: int, turned:
             return (((value[:, None] ^ flips) * MIX ^ np.arange(number, dtype=np.uint64)[:, None]) * MIX).view(np.int64).ravel()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
         for b in slices(batches):
             fps, keys = [], []
             for text in b.column(1).to_pylist():
-                words = word_hashes((text or "").encode().translate(UPPER).split(), known)
+                words = hashed_words(text or "")[0]
                 codes = np.unique(kmers(words, min(shingle, max(1, len(words)))))
                 ones, sure = copy_print(codes, bits)
                 fps.append(np.packbits(ones).tobytes())
