@@ -29,14 +29,16 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     warc.write(spark, table(spark, sf_dir, "pages").select("page_id", "url", "html"), path)
-    found = warc.assemble(warc.read(spark, path, payload=False))
-    return found.select(
+    found = warc.assemble(warc.read(spark, path, payload=False)).where("main IS NOT NULL")
+    pages = found.select(
         F.col("metadata.facts")["page-id"].cast("long").alias("page_id"),
         F.coalesce("main.payload_bytes", "main.http_length").alias("payload_bytes"),
         F.coalesce("main.payload_digest", F.substring_index("main.declared_digest", ":", -1)).alias("payload_digest"),
         F.col("main.type").alias("record_type"),
-        F.col("metadata.facts")["refers-to-page"].cast("long").alias("refers_to"),
+        F.col("main.record_id").alias("record_id"),
+        F.col("main.refers_to").alias("refers_to_record"),
     )
+    return warc.with_referred(spark, pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op4_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
