@@ -10,6 +10,7 @@ NFC-normalised text whose white space is dropped. Its path is a parameter.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import json
@@ -196,6 +197,12 @@ class ForcedBoundaryBPE:
         return " ".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+@functools.cache
+def encoder(path: str) -> ForcedBoundaryBPE:
+    """One encoder per vocabulary file and Python worker, whose caches go on from task to task."""
+    return ForcedBoundaryBPE(path)
+
+
 def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, with_text: bool = True) -> DataFrame:
     """Encode every whole text and decode the ids again: one row per input row, with no shuffle.
 
@@ -209,7 +216,7 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     out_schema = f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string{extra}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ForcedBoundaryBPE(path)
+        bpe = encoder(path)
         for b in slices(batches):
             rows: dict[str, list] = {k: [] for k in ("n", "h", "d", "ids", "text")}
             for text in b.column(1).to_pylist():

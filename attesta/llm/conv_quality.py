@@ -57,11 +57,17 @@ class Network:
                 for i in order[at : at + size]:
                     raw = data[i]
                     n = (len(raw) - WIDTH) // STRIDE + 1
-                    a = sum(kernel[j][raw[j : j + STRIDE * n : STRIDE]] for j in range(WIDTH)) + bias
                     starts = np.arange(0, n, STRETCH)
-                    tops = [s + a[s : s + STRETCH].argmax(0) for s in starts]
+                    tops, peaks = [], []
+                    for first in range(0, n, BLOCK):
+                        k = min(BLOCK, n - first)
+                        at0 = STRIDE * first
+                        a = sum(kernel[j][raw[at0 + j : at0 + j + STRIDE * k : STRIDE]] for j in range(WIDTH)) + bias
+                        own = [s + a[s : s + STRETCH].argmax(0) for s in range(0, k, STRETCH)]
+                        tops += [first + x for x in own]
+                        peaks += [a[x, np.arange(FILTERS)] for x in own]
                     where = np.array(tops)
-                    pooled = np.take_along_axis(a, where, 0)
+                    pooled = np.array(peaks)
                     live = pooled > 0
                     pooled = pooled * live
                     best = pooled.argmax(0)
@@ -112,20 +118,28 @@ def held_out(id_col: str) -> F.Column:
     return F.crc32(F.col(id_col).cast("string")) % 5 == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 2500, crop_chars: int = 4096, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Network:
-    """Train on a bounded sample of the labelled rows that are not held out.
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 2500, max_chars: int = 48_000_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Network:
+    """Train on a bounded sample of the labelled rows that are not held out and have a text.
 
-    max_rows bounds the sample (rows in the order of a hash of the id, so it does not depend on the layout of the
-    tables) and crop_chars what is learned from one text: a stretch at a place that the hash picks. Both bound only
-    training; scoring reads whole texts. The sampled labels are few by construction, so their join can be broadcast.
+    The sample is the first rows in the order of a hash of the id, so it does not depend on the layout of the tables:
+    max_rows at most, and no more than max_chars characters in all. Each is learned from as a whole. Of labels repeated
+    for an id the greatest counts; repeated documents are rows like any other; further columns are not read.
     """
     pick = F.xxhash64(F.col(id_col))
-    few = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label_col).alias("_label")).orderBy(pick, id_col).limit(max_rows)
-    length = F.length(text_col)
-    start = F.when(length > crop_chars, F.pmod(F.shiftright(pick, 7), length - crop_chars) + 1).otherwise(F.lit(1))
-    rows = docs.select(id_col, text_col).join(F.broadcast(few), id_col).where(F.col(text_col).isNotNull()).select(F.col(text_col).substr(start.cast("int"), F.lit(crop_chars)).alias("t"), "_label", pick.alias("p"), id_col)
-    found = rows.orderBy("p", id_col).limit(max_rows).collect()
-    return Network.fit([r["t"] for r in found], [int(r["_label"]) for r in found])
+    own = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col)).groupBy(id_col).agg(F.max(label_col).alias("_label"))
+    facts = docs.where(F.col(text_col).isNotNull()).select(id_col, F.length(text_col).alias("_n")).join(own, id_col).orderBy(pick, id_col).limit(max_rows)
+    total, few = 0, []
+    for r in facts.collect():  # max_rows numbers
+        total += r["_n"]
+        if total > max_chars and few:
+            break
+        few.append((r[id_col], int(r["_label"])))
+    if not few:
+        return Network.fit([], [])
+    # broadcast: max_rows ids at most
+    chosen = docs.sparkSession.createDataFrame(sorted(set(few)), f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, _label int")
+    found = docs.where(F.col(text_col).isNotNull()).select(id_col, F.col(text_col).alias("t")).join(F.broadcast(chosen), id_col).orderBy(pick, id_col, "t").collect()
+    return Network.fit([r["t"] for r in found], [r["_label"] for r in found])
 
 
 def score(docs: DataFrame, network: Network, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:

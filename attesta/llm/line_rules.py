@@ -116,6 +116,8 @@ TRAINING = """
 """
 
 _LEGAL = re.compile(r"licen[sc]e|all rights reserved|copyright|cookie|subscribe|privacy policy|click here|share this|sign up|log ?in\b|terms of", re.I)
+#: One of these is in every match.
+_LEGAL_PARTS = ("licen", "reserved", "copyright", "cookie", "subscribe", "privacy", "click", "share", "sign", "log", "terms")
 _FEATURES = 18
 
 
@@ -146,7 +148,9 @@ def line_features(line: str, words: list[bytes], seen: bool) -> list[int]:
         out.append(12)
     last = line.rstrip(WHITE)[-1:]
     out.append(13 if last in ".!?…" else 14)
-    if chars < 400 and _LEGAL.search(line):
+    # a line of ordinary length is about law or the site if it says so once, a longer one if it goes on saying so
+    low = line.lower()
+    if any(map(low.__contains__, _LEGAL_PARTS)) and 60 * len(_LEGAL.findall(low)) >= n:
         out.append(15)
     if n >= 4 and sum(map(line.count, ",;:.")):
         out.append(16)

@@ -8,6 +8,7 @@ limits, have the largest dot product with what is left; what is left can then be
 from __future__ import annotations
 
 import base64
+import functools
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -135,11 +136,16 @@ class VectorPacker:
         return found
 
 
+#: White space in a row from which on the library itself encodes: the pattern of the fast one recurses over it.
+LONG_WHITE = 256
+
+
+@functools.cache
 def tokenizer(json_path: str, ranks_path: str, pattern: str) -> Callable[[str], np.ndarray]:
     """Text to ids, equal to those of the tokenizers library for json_path.
 
     The ranks file holds the same vocabulary for tiktoken, which is several times faster. Special tokens of json_path
-    that a text spells out become their ids.
+    that a text spells out become their ids. Made once in a Python worker.
     """
     import json
     import re
@@ -153,7 +159,18 @@ def tokenizer(json_path: str, ranks_path: str, pattern: str) -> Callable[[str],
         special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
     marks = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
 
+    white = re.compile(r"\s{%d}" % LONG_WHITE)
+    library = []
+
     def encode(text: str) -> np.ndarray:
+        if white.search(text):
+            if not library:
+                from tokenizers import Tokenizer
+
+                library.append(Tokenizer.from_file(json_path))
+                library[0].no_padding()
+                library[0].no_truncation()
+            return np.array(library[0].encode(text, add_special_tokens=False).ids, "<u4")
         if not marks.search(text):
             return np.array(fast.encode_ordinary(text), "<u4")
         out, at = [], 0

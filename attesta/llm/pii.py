@@ -137,24 +137,15 @@ The quick brown fox, she said; then (perhaps) it ran!
 """
 
 
-def shape(word: str) -> str:
-    """The class of a word: its characters as x, X, d or themselves, runs joined, long ones folded."""
-    if word.lower() in SIGNS:
-        return "=" + word.lower().strip("([{)]}") + ("!" if word[0] in "([{" else "")
-    out = []
-    for c in word[:64]:
-        k = "d" if "0" <= c <= "9" else "x" if c.isalpha() else c
-        if not out or out[-1] != k:
-            out.append(k)
-    return "".join(out)[:24]
+def features(word: str) -> tuple[str, ...]:
+    """What the field sees of one whole word."""
+    return _kept_features(word) if len(word) <= 64 else _features(word)
 
 
-@functools.lru_cache(maxsize=65536)
-def features(word: str) -> tuple[str, ...]:
-    """What the field sees of one word. Words of letters and marks only all give the same single feature."""
-    s = shape(word)
-    if s[0] == "=":
-        return (s,)
+def _features(word: str) -> tuple[str, ...]:
+    """Spelled-out signs give a feature of their own; words of letters and marks only all give the same single one."""
+    if word.lower() in SIGNS:
+        return ("=" + word.lower().strip("([{)]}") + ("!" if word[0] in "([{" else ""),)
     digits = "".join(c for c in word if "0" <= c <= "9")
     if not digits and "@" not in word:
         return ("plain",)
@@ -179,6 +170,11 @@ def features(word: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+@functools.lru_cache(maxsize=65536)
+def _kept_features(word: str) -> tuple[str, ...]:
+    return _features(word)
+
+
 def _window_features(words: list[str]) -> list[set[str]]:
     own = [features(w) for w in words]
     edge = ("edge",)
@@ -248,7 +244,7 @@ def find_all(texts: list[str]) -> list[tuple[list[tuple[int, int, int]], list[tu
         if m.certain and "@" not in text and not _DIGIT.search(text) and not _SIGN.search(text.lower()):
             continue
         spots = [w.span() for w in _WORD.finditer(text)]
-        hot = [i for i, (s, e) in enumerate(spots) if not m.certain or (f := features(text[s:e] if e - s <= 256 else text[s : s + 256]))[0] == "digits" or f[0][0] == "="]
+        hot = [i for i, (s, e) in enumerate(spots) if not m.certain or (f := features(text[s:e]))[0] == "digits" or f[0][0] == "="]
         last = -1
         for i in hot:
             lo, hi = max(0, i - 4), min(len(spots), i + 5)
@@ -261,7 +257,7 @@ def find_all(texts: list[str]) -> list[tuple[list[tuple[int, int, int]], list[tu
             last = hi
     spans = [list(b) for b in base]
     if windows:
-        scores = [m.scores([texts[k][s : min(e, s + 256)] for s, e in w]) for k, w in windows]
+        scores = [m.scores([texts[k][s:e] for s, e in w]) for k, w in windows]
         for x, (first, last) in zip(scores, ends):  # quiet words at either end keep label 0
             x[0, 1:] -= 0 if first else 1e9
             x[-1, 1:] -= 0 if last else 1e9

@@ -129,3 +129,15 @@ def test_window_bounds_what_is_held():
 def test_column_names_survive(spark):
     df = spark.createDataFrame([(1, "a b")], "doc_id long, text string").withColumn("ids_sha256", F.lit("clash"))
     assert bpe.encode_decode(df, WORDS).columns.count("ids_sha256") == 1
+
+
+def test_long_white_space():
+    """Runs of white space, letters and marks of any length: ids as of the library."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode = packing.tokenizer(path, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    library = Tokenizer.from_file(path)
+    for text in (" " * 300_000 + "a", " " * 255 + "a", "a b" + " \n" * 200 + "c", "x" * 50_000, "!" * 50_000, "\n" * 255 + " " * 200 + "b<|endoftext|>" + "\t" * 900):
+        assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids

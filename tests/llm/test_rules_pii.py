@@ -127,3 +127,21 @@ def test_find_and_mask(spark):
 def test_linear_in_long_texts():
     for text in ("1" * 200_000, "1." * 100_000, "a" * 300_000 + "@", "a@" * 100_000, "+1" + "." * 200_000, "7 " * 100_000):
         pii.find_all([text])
+
+
+def test_long_words_are_read_to_their_end():
+    """A digit after hundreds of letters, and an address at the end of a long word, are seen."""
+    assert pii.features("a" * 5000 + "7")[0] == "digits"
+    text = "word " * 50 + "x" * 3000 + "@example.com and (555) 123-4567 " + "y" * 4000
+    base, every = pii.find_all([text])[0]
+    assert [k for _, k, _ in base] == [0] and base[0][0] == 250
+    assert set(base) <= set(every)
+
+
+def test_long_lines_about_law():
+    """What a line says of licences counts by its share of the words, at any length."""
+    legal = "This work is licensed under the terms of its licence; all rights reserved. Copyright by the authors. "
+    prose = "The old mill stood by the river for more than two hundred years before the flood came. "
+    feature = lambda t: 15 in line_rules.line_features(t, t.encode().split(), False)
+    assert feature(legal) and feature(legal * 40)
+    assert not feature(prose * 40) and not feature(prose * 40 + legal.split(".")[0])
