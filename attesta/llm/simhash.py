@@ -111,7 +111,7 @@ def trie_pairs(values: np.ndarray, bounds: np.ndarray, budget: int = BUDGET, fro
     pairs as they come, pairs of nodes that lie in one component are passed over, so a dense group costs little more
     than its size.
     """
-    values = values.reshape(len(values), -1)
+    values = values[:, None] if values.ndim == 1 else values
     bits = 64 * values.shape[1]
     bit_sums: dict[int, np.ndarray] = {}
 

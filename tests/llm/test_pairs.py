@@ -178,6 +178,8 @@ def test_near_copies(spark, bucket):
     assert all(base[got[i]] == base[i] for i in base)
     assert got[10_000] == got[3] == got[None] and got[10_001] == got[10_002] == 10_001 and got[10_003] == got[10_004] == 10_003
     assert simhash.near_copies(spark, df.limit(0)).count() == 0
+    alone = df.where("doc_id IN (10001, 10003)")
+    assert sorted(r["component_id"] for r in simhash.near_copies(spark, alone).collect()) == [10_001, 10_003]
 
 
 def test_simhash_components(spark):
