@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.functions import text as T
+from attesta.sources.tables import staged
 
 
 def by_id(claims: DataFrame, claim_id: int) -> DataFrame:
@@ -84,8 +85,12 @@ def add(claims: DataFrame, new: DataFrame, order: list[str]) -> DataFrame:
 
 
 def number(rows: DataFrame, order: list[str]) -> DataFrame:
-    """_n: the row's place from 1 in the whole order, without a single-partition window."""
-    placed = rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    """_n: the row's place from 1 in the whole order, without a single-partition window.
+
+    The rows are written once with the partition they were dealt to. Counts and places are both taken from what was
+    written, so that the two cannot disagree, however often and however differently the ranges would be planned again.
+    """
+    placed = staged(rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "numbered")
     counts = placed.groupBy("_p").agg(F.count("*").alias("_c"))
     # one row for each partition: the size is bounded by the number of partitions
     before = counts.withColumn("_before", F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).select("_p", "_before")
@@ -109,6 +114,20 @@ def citation_rows(verified: DataFrame) -> DataFrame:
     return verified.select("chapter_id", F.col("index").alias("sentence_index"), F.col("text").alias("sentence_text"), F.col("type").alias("sentence_type"), F.explode_outer("cited_claim_ids").alias("_ref"), "status", "reason").withColumn("claim_id", T.claim_ref(F.col("_ref"))).drop("_ref")
 
 
+def merge_extra(claims: DataFrame, updates: DataFrame) -> DataFrame:
+    """Claims (id, extra: map of JSON texts) with the entries of updates (id, extra) put in; entries of other names stay."""
+    fresh = updates.select("id", F.col("extra").alias("_e"))
+    old = F.coalesce("extra", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
+    merged = F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(F.col("_e"), k)), F.col("_e"))
+    return claims.join(fresh, "id", "left").withColumn("extra", F.when(F.col("_e").isNotNull(), merged).otherwise(F.col("extra"))).drop("_e")
+
+
+def extra_json(extra: Column) -> Column:
+    """A map of JSON texts as one JSON object, its names in order: equal contents give equal texts."""
+    items = F.transform(F.array_sort(F.map_entries(extra)), lambda e: F.concat(F.to_json(F.struct(e["key"].alias("k"))).substr(F.lit(6), F.length(F.to_json(F.struct(e["key"].alias("k")))) - 6), F.lit(":"), e["value"]))
+    return F.concat(F.lit("{"), F.array_join(items, ","), F.lit("}"))
+
+
 def set_extra(claims: DataFrame, updates: DataFrame) -> DataFrame:
     """Replace the column extra of the claims (id) that updates (id, extra) names."""
     fresh = updates.select("id", F.col("extra").alias("_e"), F.lit(True).alias("_hit"))

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,11 +10,11 @@ from attesta.functions import text as T
 STATUSES = ("grounded", "unsupported", "contradicted", "needs_external_check", "narrative_ok")
 
 
-def sentences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per sentence: id, index, type, text, cited_claim_ids."""
-    rows = docs.select(F.col(id_col), F.posexplode(T.typed_sentences(F.col(text_col))).alias("index", "_s"))
+def sentences(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per sentence: id, index, type, text, cited_claim_ids, and the columns to keep."""
+    rows = docs.select(F.col(id_col), *keep, F.posexplode(T.typed_sentences(F.col(text_col))).alias("index", "_s"))
     cited = F.when(F.col("_s.type").isin("factual", "narrative") & ~F.col("_s.text").startswith("#"), T.citations(F.col("_s.text"))).otherwise(F.array().cast("array<int>"))
-    return rows.select(id_col, "index", F.col("_s.type").alias("type"), F.col("_s.text").alias("text"), cited.alias("cited_claim_ids"))
+    return rows.select(id_col, *keep, "index", F.col("_s.type").alias("type"), F.col("_s.text").alias("text"), cited.alias("cited_claim_ids"))
 
 
 def rule(kind: Column, cited: Column, missing: Column) -> tuple[Column, Column]:
@@ -38,21 +34,31 @@ def verify_with_list(rows: DataFrame, available: str = "available") -> DataFrame
 
 
 def verify(rows: DataFrame, claims: DataFrame, keys: list[str], scope: list[str]) -> DataFrame:
-    """Status and reason where the claims are a table (scope columns, claim_id) of any size.
+    """Status and reason where the claims are a table (scope columns, claim_id) of any size; keys name a sentence.
 
-    Only citations are joined, as (keys, position, claim): sentences without one never leave their partition but for
-    the join back on the keys.
+    Citations are exploded with their sentence, joined once, and gathered again by sentence, so the sentences are made
+    once. A claim that very many sentences cite is a hot key of the join only, which splits.
     """
-    by = list(dict.fromkeys([*keys, *scope]))
-    cites = rows.select(*by, F.posexplode("cited_claim_ids").alias("_pos", "claim_id"))
-    known = claims.select(*scope, F.col("claim_id").cast("int").alias("claim_id")).distinct()
-    lost = cites.join(known, [*scope, "claim_id"], "left_anti").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_pos", "claim_id"))).alias("_m"))
-    joined = rows.join(lost, keys, "left")
-    missing = F.coalesce(F.transform("_m", lambda x: x["claim_id"]), F.array().cast("array<int>"))
-    status, reason = rule(F.col("type"), F.col("cited_claim_ids"), missing)
+    known = claims.select(*scope, F.col("claim_id").cast("int").alias("_claim")).distinct().withColumn("_known", F.lit(True))
+    cites = rows.select(*rows.columns, F.posexplode_outer("cited_claim_ids").alias("_pos", "_claim")).join(known, [*scope, "_claim"], "left")
+    lost = F.array_sort(F.collect_list(F.when(F.col("_claim").isNotNull() & F.col("_known").isNull(), F.struct("_pos", "_claim"))))
+    joined = cites.groupBy(*keys).agg(*[F.first(c).alias(c) for c in rows.columns if c not in keys], lost.alias("_m")).select(*rows.columns, "_m")
+    status, reason = rule(F.col("type"), F.col("cited_claim_ids"), F.transform("_m", lambda x: x["_claim"]))
     return joined.withColumn("status", status).withColumn("reason", reason).drop("_m")
 
 
+def verify_documents(docs: DataFrame, claims: DataFrame, id_col: str, text_col: str, scope: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The sentences of every document with status and reason, and the zero-filled summary of each document."""
+    rows = verify(sentences(docs, id_col, text_col, tuple(c for c in scope if c != id_col)), claims, [id_col, "index"], scope)
+    return rows, zero_filled(summary(rows, [id_col]), [id_col])
+
+
+def recounted(verified: DataFrame, own: DataFrame, by: list[str]) -> DataFrame:
+    """Summaries (by, status, n) after demotion: counted anew where a sentence was demoted, else those given (own) as they are."""
+    changed = verified.groupBy(*by).agg(F.bool_or("demoted").alias("_d")).where("_d").select(*by)
+    return summary(verified.join(changed, by, "left_semi"), by).unionByName(own.join(changed, by, "left_anti").select(*by, "status", "n"))
+
+
 def demote(verified: DataFrame, claims: DataFrame, keys: list[str], scope: list[str]) -> DataFrame:
     """Grounded sentences that cite what is no claim of their chapter, or cite nothing readable, become unsupported.
 
@@ -98,33 +104,21 @@ def stripped_text(verified: DataFrame, keys: list[str]) -> DataFrame:
 def strip_in_place(docs: DataFrame, text_col: str, remove_col: str, out_col: str = "verified") -> DataFrame:
     """Remove given sentences (array<string>, in document order) from a text: each at its first place from where the one before was.
 
-    Where a sentence is not found to the letter, any white space matches its blanks. This depends on the order of the
-    removals within a text, so it runs in Python over Arrow batches.
+    Where a sentence is not found to the letter, any white space matches its blanks. A fold over the sentences carries
+    the text that is settled and the text that is still to be searched.
     """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", `{out_col}` string"
-
-    def without(text: str, removals: list[str]) -> str:
-        at = 0
-        for s in removals:
-            s = s.strip()
-            if not s:
-                continue
-            found = text.find(s, at)
-            end = found + len(s)
-            if found < 0:
-                m = re.compile(r"\s+".join(map(re.escape, s.split(" ")))).search(text, at)
-                if not m:
-                    continue
-                found, end = m.span()
-            text = text[:found] + text[end:]
-            at = found
-        return text
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield b.assign(**{out_col: [None if t is None else without(t, list(r) if r is not None else []) for t, r in zip(b[text_col], b[remove_col])]})
-
-    return docs.mapInPandas(run, schema)
+    start = F.struct(F.lit("").alias("done"), F.col(text_col).alias("rest"))
+
+    def step(s: Column, sentence: Column) -> Column:
+        own, rest = T.strip(sentence), s["rest"]
+        quoted = F.concat(F.lit(r"\Q"), F.replace(F.replace(own, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(" "), F.lit(r"\E\s+\Q")), F.lit(r"\E"))
+        found = F.when(rest.contains(own), own).otherwise(F.call_function("regexp_extract", rest, quoted, F.lit(0)))
+        at = F.call_function("locate", found, rest)
+        cut = F.struct(F.concat(s["done"], rest.substr(F.lit(1), at - 1)).alias("done"), rest.substr(at + F.length(found), F.length(rest)).alias("rest"))
+        return F.when((own == "") | (found == ""), s).otherwise(cut)
+
+    out = F.aggregate(F.filter(F.coalesce(F.col(remove_col), F.array().cast("array<string>")), lambda x: x.isNotNull()), start, step, lambda s: F.concat(s["done"], s["rest"]))
+    return docs.withColumn(out_col, out)
 
 
 def external_queue(verified: DataFrame) -> DataFrame:

@@ -2,32 +2,91 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.functions.text import identifiers
-from attesta.functions.vectors import dot, jaccard
+from attesta.functions.vectors import jaccard
+
+
+#: Claims of a tile.
+TILE = 2048
+
+
+def near_vectors(own: DataFrame, least: dict[str, float], other: float, tile: int = TILE) -> DataFrame:
+    """older_id, newer_id, type, similarity: pairs of one type, of different videos and ranks, whose vectors have a dot product of at least least[type], or other.
+
+    Claims of a type are dealt into tiles, and every pair of tiles is one product of two matrices: a type that holds
+    most claims is spread over as many tasks as it has pairs of tiles, and a claim travels once for each tile of its
+    type. Only pairs that are near enough leave a task. A claim without a type pairs with none; a null vector is near nothing but by a threshold of 0 or less.
+    """
+    kind = own.schema["id"].dataType.simpleString()
+    sizes = own.groupBy("type").agg(F.ceil(F.count("*") / tile).cast("int").alias("_tiles"))
+    dealt = own.select("id", "type", "video_id", "rank", "embedding").join(F.broadcast(sizes), "type")  # a row for each type
+    dealt = dealt.withColumn("_t", F.pmod(F.xxhash64("id"), F.col("_tiles")).cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
+    dealt = dealt.withColumn("_lo", F.least("_t", "_o")).withColumn("_hi", F.greatest("_t", "_o"))
+
+    def product(rows: pd.DataFrame) -> pd.DataFrame:
+        t = rows["type"].iloc[0]
+        limit = least.get(t, other)
+        dim = max((len(v) for v in rows["embedding"] if v is not None), default=1)
+        x = np.array([np.zeros(dim) if v is None else np.asarray(v, float) for v in rows["embedding"]])
+        side, ranks, videos = rows["_t"].to_numpy(), rows["rank"].to_numpy(), pd.factorize(rows["video_id"])[0]
+        ids, lo, hi = rows["id"].to_numpy(), rows["_lo"].iloc[0], rows["_hi"].iloc[0]
+        a, b = np.flatnonzero(side == lo), np.flatnonzero(side == hi)
+        found = []
+        for at in range(0, len(a), 512):  # bounds the product
+            part = a[at : at + 512]
+            s = x[part] @ x[b].T
+            i, j = np.nonzero((s >= limit) & (ranks[part][:, None] != ranks[b]) & (videos[part][:, None] != videos[b]))
+            p, q = part[i], b[j]
+            once = p < q if lo == hi else slice(None)
+            p, q, v = p[once], q[once], s[i, j][once]
+            older = ranks[p] < ranks[q]
+            found.append(pd.DataFrame({"older_id": ids[np.where(older, p, q)], "newer_id": ids[np.where(older, q, p)], "type": t, "similarity": v}))
+        return pd.concat(found) if found else pd.DataFrame({"older_id": [], "newer_id": [], "type": [], "similarity": []})
+
+    return dealt.groupBy("type", "_lo", "_hi").applyInPandas(product, f"older_id {kind}, newer_id {kind}, type string, similarity double")
 
 
 def links(claims: DataFrame, ranks: DataFrame, other_cosine: float = 0.88, code_jaccard: float = 0.75, code_cosine: float = 0.75) -> DataFrame:
-    """older_id, newer_id, similarity, reason for every pair of claims of one type from different videos that match.
+    """older_id, newer_id, similarity, jaccard, reason for every pair of claims of one type from different videos that match.
 
     claims: id, type, content, video_id, embedding (null: similarity 0). ranks: video_id, rank; unknown videos have
-    rank 0, and equal ranks never pair. Code needs both likenesses, other types the cosine. The join is on the type;
-    the cheap comparisons are part of its condition, tokens are made before it, and the vectors' product comes after.
-    A type that holds most claims is a hot key: adaptive execution splits both sides of the join.
+    rank 0, and equal ranks never pair. Code needs both likenesses, other types the cosine. Vectors come first; tokens
+    are compared only for the pairs of code that are left.
     """
     ranked = claims.join(ranks.select("video_id", "rank"), "video_id", "left").withColumn("rank", F.coalesce("rank", F.lit(0)))
-    own = ranked.select("id", "type", "video_id", "rank", "embedding", F.when(F.col("type") == "code", F.array_distinct(identifiers(F.col("content")))).alias("tokens"))
-    a, b = own.alias("a"), own.alias("b")
-    pairs = a.join(b, (F.col("a.type") == F.col("b.type")) & (F.col("a.rank") < F.col("b.rank")) & (F.col("a.video_id") != F.col("b.video_id")))
-    similarity = F.coalesce(dot(F.col("a.embedding"), F.col("b.embedding")), F.lit(0.0))
-    scored = pairs.select(F.col("a.id").alias("older_id"), F.col("b.id").alias("newer_id"), F.col("a.type").alias("type"), similarity.alias("similarity"), F.col("a.tokens").alias("_x"), F.col("b.tokens").alias("_y"))
-    code = F.col("type") == "code"
-    near = scored.where(F.when(code, F.col("similarity") >= code_cosine).otherwise(F.col("similarity") >= other_cosine))
-    found = near.withColumn("jaccard", F.when(code, jaccard(F.col("_x"), F.col("_y")))).where(~code | (F.col("jaccard") >= code_jaccard))
-    reason = F.when(code, F.format_string("code refactor (jaccard=%.2f, embed=%.2f)", "jaccard", "similarity")).otherwise(F.format_string("semantic overlap (embed=%.2f)", "similarity"))
-    return found.select("older_id", "newer_id", "similarity", "jaccard", reason.alias("reason"))
+    near = near_vectors(ranked, {"code": code_cosine}, other_cosine)
+    tokens = claims.where("type = 'code'").select("id", F.array_distinct(identifiers(F.col("content"))).alias("t"))
+    code = near.where("type = 'code'").join(tokens.select(F.col("id").alias("older_id"), F.col("t").alias("_x")), "older_id").join(tokens.select(F.col("id").alias("newer_id"), F.col("t").alias("_y")), "newer_id")
+    code = code.withColumn("jaccard", jaccard(F.col("_x"), F.col("_y"))).where(F.col("jaccard") >= code_jaccard)
+    code = code.select("older_id", "newer_id", "similarity", "jaccard", F.format_string("code refactor (jaccard=%.2f, embed=%.2f)", "jaccard", "similarity").alias("reason"))
+    rest = near.where("type <> 'code'").select("older_id", "newer_id", "similarity", F.lit(None).cast("double").alias("jaccard"), F.format_string("semantic overlap (embed=%.2f)", "similarity").alias("reason"))
+    return code.unionByName(rest)
+
+
+def alike_sets(rows: DataFrame, id_col: str, group_col: str, set_col: str, least: float) -> DataFrame:
+    """a < b: ids of rows of one group whose sets (arrays without repeats) have a Jaccard similarity of at least `least`.
+
+    Prefix filter: with elements in one order, the rarest first, two sets that are alike share one of their first
+    n - ceil(least * n) + 1 elements. Only these are joined, and only sets of fit sizes are compared.
+    """
+    n = F.size(set_col)
+    items = rows.select(id_col, F.explode(set_col).alias("_e"))
+    counts = items.groupBy("_e").agg(F.count("*").alias("_c"))
+    ordered = items.join(counts, "_e").groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("_c", "_e"))).alias("_o"))
+    own = rows.where(n > 0).join(ordered, id_col).select(id_col, group_col, set_col, n.alias("_n"), F.slice("_o", F.lit(1), (n - F.ceil(n * least - 1e-9) + 1).cast("int")).alias("_p"))
+    prefix = own.select(group_col, F.col(id_col).alias("_id"), "_n", F.explode("_p._e").alias("_e"))
+    x, y = prefix.alias("x"), prefix.alias("y")
+    fit = (F.col("x._id") < F.col("y._id")) & (F.least("x._n", "y._n") >= F.greatest("x._n", "y._n") * (least - 1e-9))
+    on = (F.col(f"x.{group_col}") == F.col(f"y.{group_col}")) & (F.col("x._e") == F.col("y._e"))
+    pairs = x.join(y, on & fit).select(F.col("x._id").alias("a"), F.col("y._id").alias("b")).distinct()
+    sets = own.select(F.col(id_col).alias("a"), F.col(set_col).alias("_x"))
+    both = pairs.join(sets, "a").join(sets.select(F.col("a").alias("b"), F.col("_x").alias("_y")), "b")
+    return both.where(jaccard(F.col("_x"), F.col("_y")) >= least).select("a", "b")
 
 
 def apply(found: DataFrame, claims: DataFrame) -> DataFrame:
@@ -43,6 +102,11 @@ def superseded(claims: DataFrame) -> DataFrame:
     return claims.where(F.col("extra.superseded_by").isNotNull()).select("id")
 
 
+def superseded_like(extras: DataFrame, extra: str = "extra") -> DataFrame:
+    """n: rows whose extra, as JSON text, looks as if it named a successor; `_` matches any character here."""
+    return extras.agg(F.count_if(F.col(extra).like("%superseded_by%")).alias("n"))
+
+
 def current(claims: DataFrame, applied: DataFrame) -> DataFrame:
     """Claims without those superseded."""
     return claims.join(applied.select(F.col("older_id").alias("id")), "id", "left_anti")

@@ -85,20 +85,23 @@ def greedy_frames(df: DataFrame, keys: list[str], order: list[str], ts: str, den
     """verdict of every frame in order of time: density, spacing (too soon after the last kept one), hamming (too like any kept one) or kept."""
 
     def step(state, rows):
-        last, kept = state or (None, [])
+        last, kept, n = state or (None, np.empty(64, np.uint64), 0)
         out = []
         for t, d, b in zip(rows[ts].tolist(), rows[density].tolist(), rows[bits].tolist()):
             if d < min_density:
                 out.append("density")
             elif last is not None and t - last < min_gap:
                 out.append("spacing")
-            elif kept and (np.bitwise_count(np.array(kept, np.int64).view(np.uint64) ^ np.int64(b).view(np.uint64)) <= max_distance).any():
+            elif (np.bitwise_count(kept[:n] ^ np.int64(b).view(np.uint64)) <= max_distance).any():
                 out.append("hamming")
             else:
                 out.append("kept")
                 last = t
-                kept.append(b)
-        return (last, kept), pd.Series(out, dtype=object)
+                if n == len(kept):
+                    kept = np.concatenate([kept, np.empty_like(kept)])
+                kept[n] = np.int64(b).view(np.uint64)
+                n += 1
+        return (last, kept, n), pd.Series(out, dtype=object)
 
     return fold(df, keys, order, step, "verdict", "string")
 

@@ -32,7 +32,7 @@ CITED_SQL = SENTENCES_SQL + """,
 
 
 def sentences(read):
-    return G.sentences(read("documents"), "doc_id", "text").join(read("documents").select("doc_id", "lang"), "doc_id")
+    return G.sentences(read("documents"), "doc_id", "text", ("lang",))
 
 
 def verified(read):
@@ -67,14 +67,17 @@ def strip_unsupported(read, spark):
 
 @query("""SELECT doc_id, CASE WHEN doc_id % 5 = 4 AND doc_id % 2 = 0 THEN 'unsupported' WHEN doc_id % 2 = 0 AND (doc_id % 5 IN (1, 2) AND (doc_id NOT IN (SELECT doc_id FROM labels) OR doc_id % 5 = 2)) THEN 'unsupported'
     WHEN doc_id % 2 = 0 THEN 'grounded' ELSE 'needs_external_check' END AS status,
-    doc_id % 2 = 0 AND (doc_id % 5 = 4 OR doc_id % 5 = 2 OR (doc_id % 5 = 1 AND doc_id NOT IN (SELECT doc_id FROM labels))) AS demoted FROM documents""")
+    doc_id % 2 = 0 AND (doc_id % 5 = 4 OR doc_id % 5 = 2 OR (doc_id % 5 = 1 AND doc_id NOT IN (SELECT doc_id FROM labels))) AS demoted,
+    CASE WHEN doc_id % 2 = 1 OR doc_id % 5 IN (0, 3) OR doc_id % 5 = 1 AND doc_id IN (SELECT doc_id FROM labels) THEN 'ok' WHEN doc_id % 5 = 4 THEN 'ok | cited refs unparseable'
+      WHEN doc_id % 5 = 1 THEN 'ok | cited claim ids not in chapter: [' || doc_id || ']'
+      ELSE 'ok | cited claim ids not in chapter: [-1, ' || CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN '' ELSE doc_id || ', ' END || '99999999]' END AS reason FROM documents""")
 def demote_phantom(read, spark):
     own = F.concat(F.lit("c"), F.col("doc_id"))
     kind = F.col("doc_id") % 5
     refs = F.when(kind == 4, F.array(F.lit("cxyz"))).when(kind == 1, F.array(own)).when(kind == 2, F.array(own, F.lit("c-1"), F.lit("c99999999"))).otherwise(F.array().cast("array<string>"))
     rows = read("documents").select("doc_id", F.lit(0).alias("index"), refs.alias("cited_claim_ids"), F.when(F.col("doc_id") % 2 == 0, "grounded").otherwise("needs_external_check").alias("status"), F.lit("ok").alias("reason"))
     out = G.demote(rows, read("labels").select(F.col("doc_id").alias("claim_id")), ["doc_id", "index"], [])
-    return out.select("doc_id", "status", "demoted")
+    return out.select("doc_id", "status", "demoted", "reason")
 
 
 @query("WITH s AS (SELECT unnest(['grounded','unsupported','contradicted','needs_external_check','narrative_ok']) AS status), l AS (SELECT DISTINCT lang FROM documents), " + CITED_SQL.strip() + """
@@ -136,7 +139,7 @@ def chapter_status_counts(read, spark):
     return R.chapter_counts(citation_rows(read))
 
 
-@query("SELECT chapter_id, sentence_index, any_value(status) AS status, count(claim_id) AS n_claims, min(substr(text, 1, 240)) AS sentence_text FROM (" + CITATION_ROWS_SQL + ") JOIN documents ON doc_id = sentence_index WHERE chapter_id IN ('en', 'fr') GROUP BY ALL")
+@query("SELECT chapter_id, sentence_index, any_value(status) AS status, count(claim_id) AS n_claims, min(substr(text, 1, 240)) AS sentence_text, '' AS reason FROM (" + CITATION_ROWS_SQL + ") JOIN documents ON doc_id = sentence_index WHERE chapter_id IN ('en', 'fr') GROUP BY ALL")
 def audit_report(read, spark):
     chapters = spark.createDataFrame([("en",), ("fr",), ("xx",)], "chapter_id string")
-    return R.audit_rows(citation_rows(read), chapters).select("chapter_id", "sentence_index", "status", F.size("claim_ids").cast("long").alias("n_claims"), "sentence_text")
+    return R.audit_rows(citation_rows(read), chapters).select("chapter_id", "sentence_index", "status", F.size("claim_ids").cast("long").alias("n_claims"), "sentence_text", "reason")

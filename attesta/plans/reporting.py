@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from attesta.functions import code as C
 from attesta.operators import budget as B
 from attesta.operators import reports as R
 from attesta.plans.registry import query
@@ -67,25 +68,35 @@ def budget_check(read, spark):
     return B.check(log, 1.0, 1000.0, "A", 1e12).withColumns({c: F.round(c, 2) for c in ("total", "chapter_total")})
 
 
-@query()
-def code_check(read, spark):
-    """Rows only: the check of Python code needs a parser."""
-    from attesta.functions.code import check_code
+#: Snippets made by rule, so that SQL can say what their check finds: by doc_id mod 6.
+SNIPPETS_SQL = """s AS (SELECT doc_id, source, CASE WHEN doc_id % 6 = 5 THEN lang || ')' END AS code FROM documents)"""
 
-    return read("documents").select("doc_id", check_code(F.col("text"), F.lit(None).cast("string")).alias("c")).select("doc_id", "c.*")
 
+def snippets(read):
+    d, k = F.col("doc_id"), F.col("doc_id") % 6
+    code = F.when(k == 0, F.concat(F.lit("x = "), d, F.lit("\nprint(x)"))).when(k == 1, F.lit("def f(:\n  pass")).when(k == 2, F.concat(F.lit("```c\nint main() { return "), d, F.lit("; }\n```")))
+    code = code.when(k == 3, F.concat(F.lit('f("(", ['), d)).when(k == 4, F.repeat(F.lit(" "), (d % 9).cast("int"))).otherwise(F.concat("lang", F.lit(")")))
+    return read("documents").select("doc_id", "source", code.alias("code"), F.when(k == 0, "py").when(k == 1, " Python ").when(k == 3, "js").alias("hint"))
 
-@query()
-def bad_code_by_source(read, spark):
-    """Rows only, as code_check."""
-    from attesta.functions.code import check_code
 
-    return R.bad_code(read("documents").select("source", check_code(F.col("text"), F.lit("c")).alias("c")).select("source", "c.parseable"), "source")
+@query("WITH " + SNIPPETS_SQL + """ SELECT doc_id, doc_id % 6 IN (0, 2) AS parseable, CASE WHEN doc_id % 6 IN (0, 1) THEN 'python' WHEN doc_id % 6 = 4 THEN 'unknown' ELSE 'generic' END AS language,
+    CASE doc_id % 6 WHEN 1 THEN 'SyntaxError line 1: invalid syntax' WHEN 3 THEN 'Unclosed: [' || chr(39) || ')' || chr(39) || ', ' || chr(39) || ']' || chr(39) || ']' WHEN 4 THEN 'empty'
+      WHEN 5 THEN 'Unmatched bracket ' || chr(39) || ')' || chr(39) || ' at offset ' || (length(code) - 1) ELSE '' END AS reason FROM s""")
+def code_check(read, spark):
+    return snippets(read).select("doc_id", C.check_code("code", "hint").alias("c")).select("doc_id", "c.*")
 
 
-@query("SELECT doc_id, length(replace(replace(x, '(', ''), ')', '')) = length(x) AS balanced FROM (SELECT doc_id, regexp_replace(text, '[^()]', '', 'g') AS x FROM documents WHERE NOT contains(text, '(') OR NOT contains(text, ')')) WHERE length(x) = 0 OR true")
-def bracket_balance(read, spark):
-    from attesta.functions.code import balance_column
+@query("WITH " + SNIPPETS_SQL + " SELECT source, count(*) FILTER (doc_id % 6 NOT IN (0, 2)) AS bad FROM s GROUP BY source")
+def bad_code_by_source(read, spark):
+    return R.bad_code(snippets(read).select("source", C.check_code("code", "hint").alias("c")).select("source", "c.parseable"), "source")
+
 
-    d = read("documents").where("NOT contains(text, '(') OR NOT contains(text, ')')")
-    return d.select("doc_id", balance_column(F.regexp_replace("text", r"[^()]", "")).alias("balanced"))
+@query(r"""WITH b AS (SELECT doc_id, string_split(regexp_replace(text || CASE doc_id % 5 WHEN 0 THEN '([{' WHEN 1 THEN ')' WHEN 2 THEN '{[()]}' ELSE '' END, '[^()\[\]{}]', '', 'g'), '') AS x FROM (SELECT doc_id, regexp_replace(text, '["''`\\]', '', 'g') AS text FROM documents)),
+    f AS (SELECT doc_id, list_reduce(list_prepend('', x), lambda s, c: CASE WHEN s = '!' THEN s WHEN c IN ('(', '[', '{') THEN c || s WHEN c = '' THEN s WHEN left(s, 1) = translate(c, ')]}', '([{') THEN substr(s, 2) ELSE '!' END) AS s FROM b)
+    SELECT doc_id, coalesce(s, '') = '' AS balanced FROM f""")
+def bracket_balance(read, spark):
+    """Whole texts without their quotes, a tail of brackets, and strings, with escapes, whose brackets do not count."""
+    k = F.col("doc_id") % 5
+    tail = F.when(k == 0, "([{").when(k == 1, ")").when(k == 2, "{[()]}").otherwise("")
+    code = F.concat(F.regexp_replace("text", r"[\"'`\\]", ""), tail, F.lit("\"(\\\"[\"'}'`{"))
+    return read("documents").select("doc_id", C.balance_column(code).alias("balanced"))

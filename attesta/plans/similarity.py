@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from attesta.functions.text import identifiers
-from attesta.functions.vectors import dot, hamming, hash_bits, jaccard
+from attesta.functions.vectors import dot, hamming, hash_bits
 from attesta.operators import lineage as L
 from attesta.operators import retrieval as R
 from attesta.operators import sequence as S
@@ -37,9 +37,19 @@ def supersession_links(read, spark):
     return links(read).select("older_id", "newer_id", F.round("similarity", 6).alias("similarity"))
 
 
-@query("WITH " + LINKS_SQL + ", n AS (SELECT older_id, newer_id, source FROM links JOIN documents ON newer_id = doc_id) SELECT older_id, arg_max(newer_id, struct_pack(a := source, b := newer_id)) AS superseded_by, count(*) AS n_links FROM n GROUP BY older_id")
+@query("WITH " + LINKS_SQL + ", n AS (SELECT older_id, newer_id, source, CASE WHEN type = 'code' THEN 'code refactor' ELSE 'semantic overlap' END AS kind FROM links JOIN documents ON newer_id = doc_id) SELECT older_id, arg_max(newer_id, struct_pack(a := source, b := newer_id)) AS superseded_by, count(*) AS n_links, md5(string_agg(kind, '|' ORDER BY source, newer_id)) AS kinds_md5 FROM n GROUP BY older_id")
 def supersession_apply(read, spark):
-    return L.apply(links(read), claims(read)).select("older_id", "superseded_by", "n_links")
+    kinds = F.transform("supersession_reasons", lambda r: F.substring_index(r, " (", 1))
+    return L.apply(links(read), claims(read)).select("older_id", "superseded_by", "n_links", F.md5(F.array_join(kinds, "|")).alias("kinds_md5"))
+
+
+@query("WITH " + LINKS_SQL + " SELECT id, id IN (SELECT older_id FROM links) AS gone FROM claims")
+def superseded_ids(read, spark):
+    """Claims whose extra names a successor, found again after a merge into the store."""
+    c = claims(read)
+    extra = L.apply(links(read), c).select(F.col("older_id").alias("id"), F.struct("superseded_by").alias("extra"))
+    gone = L.superseded(c.join(extra, "id", "left")).select("id", F.lit(True).alias("gone"))
+    return c.join(gone, "id", "left").select("id", F.coalesce("gone", F.lit(False)).alias("gone"))
 
 
 @query("WITH " + LINKS_SQL + " SELECT id, video_id FROM claims WHERE id NOT IN (SELECT older_id FROM links)")
@@ -92,23 +102,43 @@ def hybrid_topk(read, spark):
     return R.top_k(both, 80, ties="doc_id", digits=9).select("doc_id", F.col("place").cast("long").alias("place"))
 
 
-SELECT_SQL = "WITH c AS (SELECT doc_id AS id, CASE WHEN label = 0 THEN 'code' ELSE 'fact' END AS type FROM documents JOIN embeddings ON doc_id = vec_id) SELECT count(*) FILTER (type = 'code') AS n_must, 80::BIGINT AS n_all FROM c"
+TYPED_SQL = "c AS (SELECT doc_id AS id, CASE WHEN label = 0 THEN 'code' ELSE 'fact' END AS type FROM documents JOIN embeddings ON doc_id = vec_id)"
 
 
-@query(SELECT_SQL)
-def claim_selection(read, spark):
+def chosen(read, cap):
     c = claims(read).withColumn("pos", F.col("id"))
-    out = R.select_claims(c, topic(read), 80)
-    return out.agg(F.count_if(F.col("type") == "code").alias("n_must"), F.count("*").alias("n_all"))
+    return R.select_claims(c, topic(read), cap).select("id", F.col("place").cast("long").alias("place"))
+
+
+@query("WITH " + BM25_SQL + ", " + TYPED_SQL + """, g2 AS (SELECT count(*) AS n FROM c WHERE type <> 'code'), a2 AS (SELECT avg(len(t)) AS a FROM tok JOIN c ON id = doc_id WHERE type <> 'code'),
+    df2 AS (SELECT term, count(*) AS df FROM tf JOIN c ON id = doc_id WHERE type <> 'code' GROUP BY term),
+    sc2 AS (SELECT tf.doc_id, sum(m * ln((g2.n - df2.df + 0.5) / (df2.df + 0.5) + 1) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * greatest(len(t), 1) / a2.a))) AS score FROM tf JOIN c ON id = tf.doc_id AND type <> 'code' JOIN df2 USING (term) JOIN q USING (term) JOIN tok ON tok.doc_id = tf.doc_id, g2, a2 GROUP BY tf.doc_id),
+    must AS (SELECT id, row_number() OVER (ORDER BY id) AS place FROM c WHERE type = 'code'),
+    rest AS (SELECT id, row_number() OVER (ORDER BY round(coalesce(score, 0), 9) DESC, id) + (SELECT count(*) FROM must) AS place FROM c LEFT JOIN sc2 ON id = doc_id WHERE type <> 'code')
+    SELECT id, place FROM (SELECT * FROM must UNION ALL SELECT * FROM rest) WHERE place <= 80 + (SELECT count(*) FROM must)""")
+def claim_selection(read, spark):
+    """The claims chosen with room for 80 beside those that are always kept, in order."""
+    return chosen(read, 80 + claims(read).where("type = 'code'").count())
+
+
+@query("WITH " + TYPED_SQL + " SELECT id, row_number() OVER (ORDER BY id DESC) AS place FROM c WHERE type = 'code' QUALIFY place <= 5")
+def claim_selection_newest(read, spark):
+    """Where the kinds that are always kept reach the cap alone, the largest ids stay."""
+    return chosen(read, 5)
+
+
+@query("WITH " + TYPED_SQL + " SELECT id, row_number() OVER (ORDER BY id) AS place FROM c")
+def claim_selection_whole(read, spark):
+    """At a cap that nothing exceeds, all claims in input order."""
+    return chosen(read, 1 << 40)
 
 
-@query("""WITH t AS (SELECT doc_id, source, list_distinct(regexp_extract_all(lower(text), '([a-z_][a-z0-9_]*)')) AS t FROM documents WHERE n_chars < 400)
-    SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.source = b.source AND a.doc_id < b.doc_id WHERE len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) >= 0.75""")
+@query("""WITH t AS (SELECT doc_id, source, list_distinct(regexp_extract_all(lower(text), '([a-z_][a-z0-9_]*)')) AS t FROM documents)
+    SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.source = b.source AND a.doc_id < b.doc_id AND least(len(a.t), len(b.t)) >= 0.75 * greatest(len(a.t), len(b.t))
+    WHERE len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) >= 0.75""")
 def jaccard_pairs(read, spark):
-    d = read("documents").where("n_chars < 400").select("doc_id", "source", F.array_distinct(identifiers(F.col("text"))).alias("t"))
-    a, b = d.alias("a"), d.alias("b")
-    pairs = a.join(b, (F.col("a.source") == F.col("b.source")) & (F.col("a.doc_id") < F.col("b.doc_id")))
-    return pairs.where(jaccard(F.col("a.t"), F.col("b.t")) >= 0.75).select(F.col("a.doc_id").alias("a"), F.col("b.doc_id").alias("b"))
+    d = read("documents").select("doc_id", "source", F.array_distinct(identifiers(F.col("text"))).alias("t"))
+    return L.alike_sets(d, "doc_id", "source", "t", 0.75)
 
 
 @query("SELECT vec_id, round(list_dot_product(embedding::DOUBLE[], (SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = 0)), 6) AS cosine FROM embeddings")

@@ -58,10 +58,13 @@ def code_fence_blocks(read, spark):
     return read("documents").select("doc_id", fenced.alias("t")).select("doc_id", F.size(F.filter(kinds, lambda s: s["type"] == "code_block")).cast("long").alias("n_code"))
 
 
-@query("""SELECT source, string_agg(replace(regexp_replace(text, '\\s*\\[@?c\\d+(?:,\\s*@?c\\d+)*\\]', '', 'g'), '−', '-'), chr(10) || chr(10) ORDER BY doc_id) AS text FROM documents WHERE n_chars < 300 GROUP BY source""")
+@query("""WITH t AS (SELECT source, doc_id // 50 AS part, doc_id, text || ' [c' || doc_id || ', @c7] end [@c1].' AS t FROM documents)
+    SELECT source, part, string_agg(replace(regexp_replace(t, '\\s*\\[@?c\\d+(?:,\\s*@?c\\d+)*\\]', '', 'g'), '−', '-'), chr(10) || chr(10) ORDER BY doc_id) AS text FROM t GROUP BY source, part""")
 def manuscript_assembly(read, spark):
-    parts = read("documents").where("n_chars < 300").select("source", "doc_id", T.plain_minus(T.drop_citations(F.col("text"))).alias("t"))
-    return A.joined_texts(parts, ["source"], "doc_id", "t")
+    """A manuscript of each source and fifty documents: an outline bounds what is joined into one text."""
+    cited = F.concat("text", F.lit(" [c"), "doc_id", F.lit(", @c7] end [@c1]."))
+    parts = read("documents").select("source", F.floor(F.col("doc_id") / 50).alias("part"), "doc_id", T.plain_minus(T.drop_citations(cited)).alias("t"))
+    return A.joined_texts(parts, ["source", "part"], "doc_id", "t")
 
 
 @query("""SELECT d.doc_id, CASE WHEN doc_id % 4 = 0 AND doc_id % 3 <> 0 THEN 'fig' || doc_id || '.mmd' WHEN doc_id % 4 = 1 AND doc_id % 3 <> 0 THEN 'fig' || doc_id || '.tex' WHEN url IS NOT NULL THEN 'fig' || doc_id || '.jpg' END AS artifact FROM documents d LEFT JOIN pages ON doc_id = page_id""")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Columns of the claim store's tables.
@@ -28,3 +30,20 @@ def jdbc(spark: SparkSession, url: str, table: str, key: str | None = None, low:
     if key:
         reader = reader.option("partitionColumn", key).option("lowerBound", low).option("upperBound", high).option("numPartitions", parts)
     return reader.load()
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or, where that is unset, one below the warehouse."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    return (found or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged").rstrip("/")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """df, written as Parquet in the shared folder and read back: all that reads it sees the same rows, and a lost executor costs a re-read."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -67,6 +67,27 @@ def test_numbering_over_partitions(spark):
     assert all(r["x"] + 1 == r["_n"] for r in got)
 
 
+def test_numbering_loses_no_row(spark):
+    """Wide rows in small partitions: ranges are coalesced differently with and without the wide column, numbers stay 1 to n."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        df = spark.range(20_000).select((F.col("id") * 7919 % 20_011).alias("x"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 20).alias("wide"))
+        got = C.number(df, ["x"]).select("x", "_n").collect()
+        assert sorted(r["_n"] for r in got) == list(range(1, 20_001))
+        assert [r["_n"] for r in sorted(got, key=lambda r: r["x"])] == list(range(1, 20_001))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_extra(spark):
+    rows = spark.createDataFrame([(1, {"b": "1", "a": '"x"'}), (2, None), (3, {"k": "true"})], "id long, extra map<string,string>")
+    new = spark.createDataFrame([(1, {"b": "2"}), (2, {'q"': "[1]"})], "id long, extra map<string,string>")
+    got = {r["id"]: r["j"] for r in C.merge_extra(rows, new).select("id", C.extra_json(F.col("extra")).alias("j")).collect()}
+    assert got == {1: '{"a":"x","b":2}', 2: '{"q\\"":[1]}', 3: '{"k":true}'}
+
+
 def test_lookup(spark):
     r = C.lookup(store(spark, [(1, "fact", "a", "vid", 125.9)])).first()
     assert r["starts"] == "2m5s" and r["url"].endswith("v=vid&t=125s")
