@@ -210,6 +210,19 @@ def stage_parts(stage: Column) -> tuple[Column, Column]:
     return F.when(at > 0, F.substring_index(stage, ":", 1)).otherwise(stage), F.when(at > 0, stage.substr(at + 1, F.length(stage)))
 
 
+def month_and_year(c: Column) -> Column:
+    return F.date_format(c, "MMMM yyyy")
+
+
+def iso_seconds(c: Column) -> Column:
+    return F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+
+
+def joined_prompt(terms: Column, most: int = 200, between: str = ", ") -> Column:
+    """The first terms of a list as a prompt."""
+    return F.array_join(F.slice(terms, 1, most), between)
+
+
 def content_hash(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 

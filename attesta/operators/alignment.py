@@ -49,9 +49,11 @@ def frame_totals(aligned: DataFrame) -> DataFrame:
 def chapters_of_segments(segments: DataFrame, chapters: DataFrame, bin_size: float) -> DataFrame:
     """Segments in the chapter (video_id, chapter_pos, title, start_time, end_time) that contains them wholly.
 
-    Segments over a boundary are dropped. Chapters without a segment are dropped before numbering: topic_id is
+    Segments over a boundary are dropped. A missing end_time is the video's duration, if that is a column and known, else 0. Chapters without a segment are dropped before numbering: topic_id is
     `<video>_<three digits>`, without gaps, in order of chapter_pos.
     """
+    chapters = chapters.withColumn("end_time", F.coalesce("end_time", F.col("duration") if "duration" in chapters.columns else F.lit(None).cast("double"), F.lit(0.0))).drop("duration")
+    chapters = chapters.where("end_time >= start_time")
     inside = points_in_intervals(chapters, segments, "video_id", "start_time", "end_time", "ts_start", bin_size, "inner").where(F.col("ts_end") <= F.col("end_time"))
     number = F.dense_rank().over(Window.partitionBy("video_id").orderBy("chapter_pos")) - 1
     return inside.withColumn("topic_id", F.format_string("%s_%03d", F.col("video_id").cast("string"), number))

@@ -55,7 +55,50 @@ def term_list(spark: SparkSession, path: str) -> DataFrame:
     """pos, term of a glossary: words of the lines that are neither blank nor comments. The file is read whole, in order."""
     lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line", "value"))
     own = lines.where((F.trim("value") != "") & ~F.ltrim(F.col("value")).startswith("#"))
-    return own.select("line", F.posexplode(F.split(F.trim("value"), r"\s+")).alias("p", "term")).select((F.col("line") * 10000 + F.col("p")).alias("pos"), "term")
+    return own.select("line", F.posexplode(F.split(F.trim("value"), r"\s+")).alias("p", "term")).select((F.shiftleft(F.col("line").cast("long"), 32) + F.col("p")).alias("pos"), "term")
+
+
+def vision_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The descriptions of frames that are not to be skipped; a folder that is not there has none."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        found = json_documents(spark, path, VISION)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], VISION)
+    return found.where(F.col("frame_id").isNotNull() & ~F.coalesce("skip", F.lit(False)))
+
+
+def frame_indexes(spark: SparkSession, folders: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """Frames of the folders (video_id) that have an index file, and the folders that have none: to warn about, and to leave out."""
+    frames = json_documents(spark, f"{path}/*/index.json", FRAME).where("frame_id IS NOT NULL")
+    return frames.join(folders, "video_id", "left_semi"), folders.join(frames.select("video_id"), "video_id", "left_anti")
+
+
+def file_hashes(spark: SparkSession, path: str) -> DataFrame:
+    """file, sha256 of the bytes of every file."""
+    return spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_name").alias("file"), F.sha2("content", 256).alias("sha256"))
+
+
+def with_environment(rows: DataFrame, overrides: dict[str, str]) -> DataFrame:
+    """Settings (name, value) where those of overrides (from the environment: upper-case names) take their place."""
+    own = [(k.lower(), v) for k, v in overrides.items()]
+    given = rows.sparkSession.createDataFrame(own, "name string, _v string")  # as few as a configuration has
+    return rows.join(F.broadcast(given), F.lower(rows["name"]) == given["name"], "left").select(rows["name"], F.coalesce("_v", "value").alias("value"))
+
+
+def yaml_settings(spark: SparkSession, path: str) -> DataFrame:
+    """name (dotted path), value (text) of a YAML file of nested mappings of plain values, with comments."""
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line", "raw"))
+    own = lines.select("line", F.regexp_replace("raw", r"\s+#.*$|^#.*$", "").alias("raw")).where(F.trim("raw") != "")
+    parsed = own.select("line", F.length(F.regexp_extract("raw", r"^( *)", 1)).alias("depth"), F.trim(F.regexp_extract("raw", r"^\s*([^:]+):", 1)).alias("key"), F.regexp_replace(F.trim(F.regexp_extract("raw", r":\s*(.*)$", 1)), "^[\"']|[\"']$", "").alias("value"))
+    # the parents of a line are, for each smaller depth, the last line before it with that depth; a configuration is small
+    above = parsed.alias("p").join(parsed.alias("c"), (F.col("p.line") < F.col("c.line")) & (F.col("p.depth") < F.col("c.depth")))
+    last = above.groupBy("c.line", F.col("p.depth").alias("pd")).agg(F.max_by("p.key", "p.line").alias("pk"))
+    path_of = last.groupBy("line").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pd", "pk"))), lambda x: x["pk"]), ".").alias("up"))
+    return parsed.join(path_of, "line", "left").where("value <> ''").select(F.concat_ws(".", "up", "key").alias("name"), "value")
 
 
 def id_list(spark: SparkSession, path: str) -> DataFrame:
