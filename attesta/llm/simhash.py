@@ -291,7 +291,8 @@ def labelled(spark: SparkSession, classes: DataFrame, found: DataFrame) -> DataF
     """fp, component_id: the smallest `first` of all classes (fp, first) that links reach."""
     comp = connected(spark, found)
     grouped = classes.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
+    # staged, so that the join back on a large component has exchanges of its own, which split
+    least = stage(spark, grouped.groupBy("component").agg(F.min("first").alias("component_id")), "simhash-least")
     return stage(spark, grouped.join(least, "component").select("fp", "component_id"), "simhash-labels")
 
 

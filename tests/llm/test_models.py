@@ -39,6 +39,13 @@ def test_base_scores(spark):
     assert M.score(spark, df.limit(0)).count() == 0
 
 
+def test_scores_do_not_depend_on_the_layout(spark):
+    df = queries.table(spark, SF, "documents").select("doc_id", "text")
+    one, seven = ({r["doc_id"]: (r["score"], r["base_score"], r["n_known"]) for r in M.score(spark, df.repartition(n, "text")).collect()} for n in (1, 7))
+    assert one.keys() == seven.keys()
+    assert all(one[i] == pytest.approx(seven[i], rel=1e-9) for i in one)
+
+
 def test_mixing_is_a_distribution():
     """Over all continuations of a word's beginning, the spelled probabilities sum to one."""
     rng = np.random.default_rng(0)
