@@ -1,8 +1,9 @@
 """Near-duplicates among embeddings, by cosine within a label: int8 tile products with rigorous error bounds.
 
 Each unit vector x is stored as x = s * q + e, with int8 codes q, a scale s and the exact norm of the error e. For two
-vectors, |cos - s s' q.q'| <= |s q| |e'| + |e|, so a matrix product of codes, tile by tile, rules out all pairs that
-cannot reach the threshold; only the remaining pairs are computed in double precision. Tiles hold neighbours in the
+vectors, |cos - s s' q.q'| <= |s q| |e'| + |e|, so a matrix product of codes, tile by tile, settles all pairs but those
+within the bound of the threshold. Codes are made once and only they travel at first; pairs of tiles in which a pair is
+unsettled get the doubles of the vectors concerned in a second round. Tiles hold neighbours in the
 order of their nearest pivot, and a pair of tiles is not formed at all where, by the triangle inequality on angles,
 some pivot shows that no pair of their vectors can be near enough.
 
@@ -26,7 +27,9 @@ from attesta.llm.simhash import Forest
 
 THRESHOLD = 0.93
 #: Rows of a tile, and pivots that order and prune tiles.
-TILE, PIVOTS = 1024, 16
+TILE, PIVOTS = 2048, 16
+#: Rows of a product that are held at a time.
+STRIPE = 256
 #: More than what rounding adds to a product of codes or of doubles in any dimension used.
 SLACK = 1e-7
 
@@ -62,21 +65,41 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return codes, scale, np.linalg.norm(coded, axis=1), np.linalg.norm(x - coded, axis=1)
 
 
+def products(q: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Exact products of int8 codes: float32 is exact below 2**24, so at most 1024 dimensions are summed in it."""
+    if q.shape[1] <= 1024:
+        return q.astype(np.float32) @ r.astype(np.float32).T
+    return sum((q[:, at : at + 1024].astype(np.float32) @ r[:, at : at + 1024].astype(np.float32).T).astype(float) for at in range(0, q.shape[1], 1024))
+
+
+def settled(x: tuple, y: tuple, threshold: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Index pairs that may reach the threshold, a stripe of rows at a time, and whether they are sure to. x, y: codes, scales, norms, errors."""
+    (q, s, n, e), (r, t, m, f) = x, y
+    for at in range(0, len(q), STRIPE):
+        rows = slice(at, at + STRIPE)
+        cos = products(q[rows], r) * s[rows, None] * t
+        bound = n[rows, None] * f + e[rows, None] + SLACK
+        maybe = cos + bound >= threshold
+        if same:
+            maybe &= np.arange(len(r)) > np.arange(at, at + len(cos))[:, None]
+        i, j = np.nonzero(maybe)
+        yield i + at, j, cos[i, j] - bound[i, j] >= threshold
+
+
 def near_pairs(x: np.ndarray, y: np.ndarray, threshold: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs with cosine of at least threshold between unit rows of x and y; i < j if they are the same tile."""
-    q, s, n, e = quantise(x)
-    r, t, m, f = quantise(y)
-    # float32 products of int8 codes are exact below 2**24: blocks of at most 1024 dimensions
-    product = np.zeros((len(x), len(y)))
-    for at in range(0, x.shape[1], 1024):
-        product += q[:, at : at + 1024].astype(np.float32) @ r[:, at : at + 1024].astype(np.float32).T
-    most = product * s[:, None] * t + n[:, None] * f + e[:, None]
-    maybe = most >= threshold - SLACK
-    if same:
-        maybe &= np.tri(len(x), dtype=bool).T & ~np.eye(len(x), dtype=bool)
-    i, j = np.nonzero(maybe)
-    keep = np.concatenate([np.einsum("ij,ij->i", x[i[a : a + 65536]], y[j[a : a + 65536]]) >= threshold for a in range(0, len(i), 65536)]) if len(i) else np.zeros(0, bool)
-    return i[keep], j[keep]
+    left, right = [], []
+    for i, j, sure in settled(quantise(x), quantise(y), threshold, same):
+        ok = sure.copy()
+        ok[~sure] = exact(x, y, i[~sure], j[~sure], threshold)
+        left.append(i[ok])
+        right.append(j[ok])
+    return np.concatenate(left), np.concatenate(right)
+
+
+def exact(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether the cosine of each pair, in double precision, reaches the threshold."""
+    return np.concatenate([np.zeros(0, bool), *(np.einsum("ij,ij->i", x[i[a : a + 16384]], y[j[a : a + 16384]]) >= threshold for a in range(0, len(i), 16384))])
 
 
 @functools.cache
@@ -87,8 +110,12 @@ def _pivots(dim: int) -> np.ndarray:
     return p / np.linalg.norm(p, axis=1, keepdims=True)
 
 
+#: The arrays of a tile.
+PARTS = ("codes", "scales", "norms", "errors", "units")
+
+
 def tiles(spark: SparkSession, classes: DataFrame, tile: int = TILE) -> DataFrame:
-    """Tiles of at most `tile` classes of one label and dimension: label, dim, tile, n, first (ids), units, low, high (angles to the pivots).
+    """Tiles of at most `tile` classes of one label and dimension: label, dim, tile, ids, sizes, codes, scales, norms, errors, units (bytes of arrays), low, high (angles to the pivots).
 
     Classes are range-partitioned by label, dimension and nearest pivot and tiles are cut within partitions, so a
     label that holds most vectors is spread over many tasks.
@@ -108,8 +135,8 @@ def tiles(spark: SparkSession, classes: DataFrame, tile: int = TILE) -> DataFram
         def out(group: tuple, ids: list, sizes: list, units: list, label_type: pa.DataType, id_type: pa.DataType) -> pa.RecordBatch:
             x = np.frombuffer(b"".join(units)).reshape(len(ids), -1)
             angle = np.arccos(np.clip(x @ _pivots(x.shape[1]).T, -1, 1))
-            arrays = [pa.array([group[0]], label_type), pa.array([group[1]], pa.int32()), pa.array([ids], pa.list_(id_type)), pa.array([sizes], pa.list_(pa.int64())), pa.array([x.tobytes()], pa.binary()), pa.array([angle.min(0).tolist()], pa.list_(pa.float64())), pa.array([angle.max(0).tolist()], pa.list_(pa.float64()))]
-            return pa.RecordBatch.from_arrays(arrays, ["label", "dim", "ids", "sizes", "units", "low", "high"])
+            arrays = [pa.array([group[0]], label_type), pa.array([group[1]], pa.int32()), pa.array([ids], pa.list_(id_type)), pa.array([sizes], pa.list_(pa.int64())), *(pa.array([c.tobytes()], pa.binary()) for c in (*quantise(x), x)), pa.array([angle.min(0).tolist()], pa.list_(pa.float64())), pa.array([angle.max(0).tolist()], pa.list_(pa.float64()))]
+            return pa.RecordBatch.from_arrays(arrays, ["label", "dim", "ids", "sizes", *PARTS, "low", "high"])
 
         group, ids, sizes, units, types = None, [], [], [], ()
         for b in batches:
@@ -125,13 +152,13 @@ def tiles(spark: SparkSession, classes: DataFrame, tile: int = TILE) -> DataFram
 
     placed = classes.select("label", "dim", "first", "size", "unit").mapInArrow(ranked, f"label {kinds['label']}, dim int, first {kinds['first']}, size bigint, unit binary, place double")
     dealt = placed.repartitionByRange("label", "dim", "place").sortWithinPartitions("label", "dim", "place", "first").select("label", "dim", "first", "size", "unit")
-    return dealt.mapInArrow(cut, f"label {kinds['label']}, dim int, ids array<{kinds['first']}>, sizes array<bigint>, units binary, low array<double>, high array<double>").withColumn("tile", F.monotonically_increasing_id())
+    return dealt.mapInArrow(cut, f"label {kinds['label']}, dim int, ids array<{kinds['first']}>, sizes array<bigint>, {', '.join(f'{c} binary' for c in PARTS)}, low array<double>, high array<double>").withColumn("tile", F.monotonically_increasing_id())
 
 
 def links(spark: SparkSession, classes: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> tuple[DataFrame, DataFrame]:
     """(a, b): links that connect all linked classes; (first, n): number of members linked to each class, by tile pair.
 
-    classes: first (smallest id of the class), size, label, dim, unit. A task gets two tiles at a time.
+    classes: first (number of the class, a long), size, label, dim, unit. A task gets two tiles at a time.
     """
     cut = stage(spark, tiles(spark, classes, tile), "embedding-tiles")  # tile numbers are fixed from here on
     brief = cut.select("tile", "label", "dim", "low", "high")
@@ -139,31 +166,61 @@ def links(spark: SparkSession, classes: DataFrame, threshold: float = THRESHOLD,
     reach = float(np.arccos(threshold)) + 1e-6
     near = F.forall(F.sequence(F.lit(0), F.lit(PIVOTS - 1)), lambda i: (F.get("low", i) <= F.get("high2", i) + reach) & (F.get("low2", i) <= F.get("high", i) + reach))
     pairs = stage(spark, brief.join(other, ["label", "dim"]).where((F.col("tile") <= F.col("tile2")) & near).select("tile", "tile2"), "embedding-pairs")
-    body = F.struct("ids", "sizes", "units")
-    one = pairs.join(cut, "tile").select("tile", "tile2", F.lit(0).alias("side"), body.alias("body"))
-    two = pairs.where("tile <> tile2").join(cut.withColumnRenamed("tile", "tile2"), "tile2").select("tile", "tile2", F.lit(1).alias("side"), body.alias("body"))
     kind = classes.schema["first"].dataType.simpleString()
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in b.to_pylist()]
-        rows.sort(key=lambda r: r["side"])
-        x = [np.frombuffer(r["body"]["units"]).reshape(len(r["body"]["ids"]), -1) for r in rows]
+    def sides(pairs: DataFrame, *columns: str) -> DataFrame:
+        """Both tiles of each pair, one if it is the same."""
+        own = cut.select("tile", F.struct("ids", "sizes", *columns).alias("body"))
+        one = pairs.join(own, "tile").select("tile", "tile2", F.lit(0).alias("side"), "body")
+        two = pairs.where("tile <> tile2").join(own.withColumnRenamed("tile", "tile2"), "tile2").select("tile", "tile2", F.lit(1).alias("side"), "body")
+        return one.union(two)
+
+    def join(doubles: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links of a pair of tiles: those that the codes settle, and whether some are unsettled; or, with doubles, the unsettled ones."""
+        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: r["side"])
         same = len(rows) == 1
-        i, j = near_pairs(x[0], x[-1], threshold, same)
-        ids = rows[0]["body"]["ids"] + ([] if same else rows[1]["body"]["ids"])
-        sizes = np.array(rows[0]["body"]["sizes"] + ([] if same else rows[1]["body"]["sizes"]))
-        j = j if same else j + len(x[0])
-        count = np.zeros(len(ids), np.int64)
-        np.add.at(count, i, sizes[j])
-        np.add.at(count, j, sizes[i])
+        bodies = [rows[0]["body"], rows[-1]["body"]]
+        coded = []
+        for o in bodies:
+            n = len(o["ids"])
+            coded.append((np.frombuffer(o["codes"], np.int8).reshape(n, -1), *(np.frombuffer(o[c]) for c in ("scales", "norms", "errors"))))
+        units = [np.frombuffer(o["units"]).reshape(len(o["ids"]), -1) for o in bodies] if doubles else []
+        ids = bodies[0]["ids"] + ([] if same else bodies[1]["ids"])
+        sizes = np.array(bodies[0]["sizes"] + ([] if same else bodies[1]["sizes"]))
+        shift = 0 if same else len(bodies[0]["ids"])
         order = np.argsort(np.array(ids), kind="stable")  # the forest's roots are then the smallest ids
         rank = np.empty(len(ids), np.int64)
         rank[order] = np.arange(len(ids))
-        root = Forest(len(ids)).roots(rank[i], rank[j])
+        count, forest, open_ = np.zeros(len(ids), np.int64), Forest(len(ids)), False
+        for i, j, sure in settled(*coded, threshold, same):
+            if doubles:
+                i, j = i[~sure], j[~sure]
+                near = exact(units[0], units[1], i, j, threshold)
+            else:
+                near, open_ = sure, open_ or not sure.all()
+            i, j = i[near], j[near] + shift
+            np.add.at(count, i, sizes[j])
+            np.add.at(count, j, sizes[i])
+            forest.roots(rank[i], rank[j])
         some = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array([ids[k] for k in some]), pa.array([ids[order[root[rank[k]]]] for k in some]), pa.array(count[some])], ["a", "b", "n"]) if len(some) else pa.RecordBatch.from_pylist([], pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())]))
-
-    found = stage(spark, one.union(two).groupBy("tile", "tile2").applyInArrow(join, f"a {kind}, b {kind}, n bigint"), "embedding-links")
+        a, b = [ids[k] for k in some], [ids[order[forest.parent[rank[k]]]] for k in some]
+        n, first, second = count[some].tolist(), [None] * len(some), [None] * len(some)
+        if open_:
+            a, b, n, first, second = [*a, None], [*b, None], [*n, None], [*first, rows[0]["tile"]], [*second, rows[0]["tile2"]]
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64())], ["a", "b", "n", "tile", "tile2"])
+
+    def from_codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return join(False, batches)
+
+    def from_doubles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return join(True, batches)
+
+    schema = f"a {kind}, b {kind}, n bigint, tile bigint, tile2 bigint"
+    coded = PARTS[:-1]
+    by_codes = stage(spark, sides(pairs, *coded).groupBy("tile", "tile2").applyInArrow(from_codes, schema), "embedding-links")
+    unsettled = by_codes.where("tile IS NOT NULL").select("tile", "tile2")
+    by_doubles = stage(spark, sides(unsettled, *PARTS).groupBy("tile", "tile2").applyInArrow(from_doubles, schema), "embedding-links-exact")
+    found = by_codes.union(by_doubles).where("a IS NOT NULL")
     return found.select("a", "b"), found.select(F.col("a").alias("first"), "n")
 
 
