@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import math
 import re
 import uuid
@@ -17,6 +18,7 @@ import corpus_pipeline
 from attesta.llm import conv_quality, queries, simhash, warc
 from attesta.llm import context_mixing as M
 from attesta.llm.common import shared_dir
+from tests.llm.test_pairs import shingles
 
 SF = "/root/testdata/sf0.001"
 
@@ -191,8 +193,14 @@ def test_pipeline(spark):
         after = {r["doc_id"]: r for r in out.collect()}
         assert set(after) <= set(before)
         if name == "SimHash near-dedup":
-            comp = {r["doc_id"]: r["component_id"] for r in simhash.components(spark, docs).collect()}
+            comp = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(spark, docs).collect()}
             assert set(after) == set(comp.values())
+            # by brute force over five-word shingles: of two alike one goes, and what goes is like something
+            sets = {i: shingles(t or "") for i, t in before.items()}
+            like = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in itertools.combinations(sorted(sets), 2) if sets[a] & sets[b]}
+            close = [p for p, x in like.items() if x >= 0.8]
+            assert close and sum(comp[a] == comp[b] for a, b in close) >= 0.95 * len(close)
+            assert all(max(x for p, x in like.items() if i in p) >= 0.6 for i in set(before) - set(after))
         if name == "PII":
             assert not any(re.search(r"@mail\d", r["text"]) for r in after.values())
         if name == "packing":
@@ -202,5 +210,51 @@ def test_pipeline(spark):
     assert sizes[0][1] < sizes[0][0] and sizes[0][1] > 0.75 * sizes[0][0]
 
 
+def test_stages_on_odd_rows(spark):
+    """Nulls in any column, empty and repeated rows, further and clashing columns, an empty table."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _score double, _spans string, component_id long"
+    rows = [(None, None, None, None, None, 1.0, "x", 1), (1, None, "en", "s", 0, 1.0, "x", 1), (2, "", None, None, 0, None, None, None), (3, "some words here", "en", None, 15, 1.0, "x", 1), (3, "some words here", "en", None, 15, 1.0, "x", 1), (None, "mail a@b.cc", "en", "s", 11, 1.0, "x", 1)]
+    for some in (rows, []):
+        docs = spark.createDataFrame(some, schema)
+        for name, step in corpus_pipeline.STAGES:
+            out = step(spark, docs, SF)
+            got = out.collect()
+            assert name == "packing" or out.columns == corpus_pipeline.COLUMNS
+            assert some or not got
+            if name == "SimHash near-dedup":
+                assert sorted(str(r["doc_id"]) for r in got) == sorted(["None", "None", "1", "3", "3"] if some else [])
+            if name in ("substring dedup", "PII"):
+                assert len(got) == len(some)
+            if name == "packing":
+                assert sum(r["length"] for r in got) >= len(some)
+
+
 def test_pipeline_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_refinement_equals_a_plain_one():
+    """Word by word: the mixture of spelling, training frequency and what the document has had so far, over all pairs of rates."""
+    rng = np.random.default_rng(4)
+    n = 30
+    spelled, frequency = rng.uniform(-40, -3, n), np.where(rng.random(n) < 0.5, rng.random(n) / 10, 0)
+    lists = [rng.integers(0, n, k) for k in (1, 7, 60, 200)]
+    for ids, got in zip(lists, M.refined(spelled, frequency, lists)):
+        totals = []
+        for m in M.WORD_RATES:
+            for c in M.CACHE_RATES:
+                total, had, pairs = 0.0, collections.Counter(), collections.Counter()
+                for i, w in enumerate(ids.tolist()):
+                    known = (1 - m) * math.exp(spelled[w]) + m * frequency[w]
+                    if i:
+                        last, own = int(ids[i - 1]), had[w] / i
+                        turns = had[last] - 1
+                        if turns:
+                            own += turns / (turns + 1) * (pairs[last, w] / turns - own)
+                        known += c * (own - known)
+                        pairs[last, w] += 1
+                    had[w] += 1
+                    total += math.log(known)
+                totals.append(total)
+        top = max(totals)
+        assert got == pytest.approx(top + math.log(sum(math.exp(t - top) for t in totals) / len(totals)), rel=1e-4)

@@ -145,3 +145,64 @@ def test_long_lines_about_law():
     feature = lambda t: 15 in line_rules.line_features(t, t.encode().split(), False)
     assert feature(legal) and feature(legal * 40)
     assert not feature(prose * 40) and not feature(prose * 40 + legal.split(".")[0])
+
+
+def plain_labels(crf, scores):
+    """Viterbi for one sequence, step by step."""
+    best, back = [float(s) + float(a) for s, a in zip(crf.start, scores[0])], []
+    for row in scores[1:]:
+        reach = [[best[i] + float(crf.transition[i, j]) for i in range(len(best))] for j in range(len(best))]
+        back.append([r.index(max(r)) for r in reach])
+        best = [max(r) + float(s) for r, s in zip(reach, row)]
+    out = [best.index(max(best))]
+    for b in reversed(back):
+        out.append(b[out[-1]])
+    return out[::-1]
+
+
+def documents():
+    import pyarrow.parquet as pq
+
+    return {r["doc_id"]: r["text"] for r in pq.read_table("/root/testdata/sf0.001/documents.parquet", columns=["doc_id", "text"]).to_pylist()}
+
+
+def test_kept_equals_a_plain_decoding(spark):
+    """The verdict on every document of the smallest table, by a field decoded line by line."""
+    crf, want = line_rules.model(), {}
+    for i, text in documents().items():
+        lines, seen, content, n = (text or "").split("\n"), set(), 0, 0
+        scores, sizes = [], []
+        for line in lines:
+            words = line.encode().split()
+            scores.append(crf.emission[line_rules.line_features(line, words, bool(words) and line in seen)].sum(0))
+            seen |= {line} if words else set()
+            sizes.append(len(words))
+        for label, k in zip(plain_labels(crf, scores), sizes):
+            content, n = content + k * (label == 0), n + k
+        want[i] = (n, n > 0 and content / n >= line_rules.MIN_CONTENT)
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r["doc_id"]: r for r in line_rules.judge(df).collect()}
+    assert got.keys() == want.keys()
+    assert all((got[i]["n_words"], got[i]["kept"]) == (n, good and not got[i]["base_failed"]) for i, (n, good) in want.items())
+
+
+def test_spans_equal_a_plain_decoding():
+    """The spans of every document of the smallest table, by a field that decodes every word of it."""
+    m, texts = pii.model(), list(documents().values())
+    for text, (base, every) in zip(texts, pii.find_all(texts)):
+        spots = [w.span() for w in re.finditer(r"[^ \t-\r]+", text)]
+        if not spots:
+            continue
+        labels, want, i = plain_labels(m.crf, m.scores([text[s:e] for s, e in spots])), list(base), 0
+        while i < len(spots):
+            j = i + 1
+            if labels[i]:
+                while j < len(spots) and labels[j] == labels[i]:
+                    j += 1
+                s, e = spots[i][0], spots[j - 1][1]
+                e -= len(text[s:e]) - len(text[s:e].rstrip(".,;:!?)]}'\""))
+                s += len(text[s:e]) - len(text[s:e].lstrip("[{<'\""))
+                if all(e <= a or b <= s for a, _, b in base):
+                    want.append((s, labels[i] - 1, e))
+            i = j
+        assert every == sorted(want)
