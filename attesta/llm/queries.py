@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import bpe, context_mixing, conv_quality, divergence, embedding_dedup, line_rules, packing, pii, simhash, substring_dedup, warc, whitening
+from attesta.llm import bpe, context_mixing, conv_quality, divergence, embedding_dedup, line_rules, packing, pii, simhash, substring_dedup, suffix_family, warc, whitening
 from attesta.llm.common import shared_dir
 
 
@@ -74,6 +74,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_family.without_repeats(spark, table(spark, sf_dir, "documents"))
+
+
 def op12_svd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = whitening.whiten(spark, table(spark, sf_dir, "embeddings"))
     return found.withColumn("deviation", F.col("deviation").try_cast("bigint"))
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_context_mixing": op8_context_mixing,
     "op9_conv_quality": op9_conv_quality,
     "op10_packing": op10_packing,
+    "op11_suffix_family": op11_suffix_family,
     "op12_svd_whitening": op12_svd_whitening,
     "op13_source_divergence": op13_source_divergence,
 }
