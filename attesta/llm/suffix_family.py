@@ -167,6 +167,8 @@ class Level:
         group = np.cumsum(np.append(True, ranked[1:] != ranked[:-1]))
         number = np.empty(len(whole), np.int64)
         number[order] = group
+        anchors, own = np.unique(np.concatenate([self.anchor[mine], other.anchor[its]]), return_inverse=True)
+        number = number * len(anchors) + own
         return mine[np.isin(number[: len(x)], number[len(x) :])], its[np.isin(number[len(x) :], number[: len(x)])]
 
     def merged(self, other: Level) -> Level:
