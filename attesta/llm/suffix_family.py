@@ -12,7 +12,9 @@ a text hold each of its windows once.
    levels there are, and levels of equal size are merged, so each suffix is moved a logarithmic number of times.
    A window that a level has is marked on both sides and not added again.
 3. An anchor with more than CONTEXTS different cells (the edge of a passage that very many texts share) would be one
-   hot key. Its windows are dealt by the hash of all their bytes instead, each a key of its own.
+   hot key. Its cells are cut where the windows' anchors of FINER bytes change, and dealt by those. Finer cells that
+   occur twice are repeated as a whole, anchors that occur once are done, and only where a finer anchor has several
+   different cells are windows dealt one by one, by the hash of all their bytes.
 4. The cells and windows that are repeated go back to their texts, which are cut.
 
 Texts are known by a 128-bit digest: equal texts are one, and a text that occurs twice is repeated as a whole. Anchors
@@ -36,13 +38,13 @@ from pyspark.sql import functions as F
 
 from attesta.llm.common import MIX, drop, slices, stage
 
-LENGTH, K = 200, 64
+LENGTH, K, FINER = 200, 64, 180
 #: Different cells of an anchor that one task compares.
 CONTEXTS = 256
 #: Window starts that are worked on at a time: bounds the arrays for very long texts.
 STRETCH = 1 << 20
 #: Cells of a batch of the index family, and of a partition.
-BATCH, PARTITION = 2048, 60_000
+BATCH, PARTITION = 2048, 20_000
 
 _TABLE = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -89,8 +91,12 @@ class Cells:
         self.last = np.append(self.first[1:], len(place)) - 1
         self.windows = len(place)
         self.anchor = grams[place[self.first]]
-        sizes = self.last - self.first + length
-        self.cell = _mixed((sums[self.first + sizes] - sums[self.first]) * up[self.first] ^ sizes.astype(np.uint64) * MIX)
+        self.cell = self.spans(self.first, self.last)
+
+    def spans(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hashes of the bytes from a window to another."""
+        sizes = last - first + self.length
+        return _mixed((self._sums[first + sizes] - self._sums[first]) * self._up[first] ^ sizes.astype(np.uint64) * MIX)
 
     def _hash(self, at: np.ndarray, size: int) -> np.ndarray:
         return _mixed((self._sums[at + size] - self._sums[at]) * self._up[at])
@@ -291,12 +297,19 @@ def listed(column: pa.Array, names: list[str]) -> Iterator[tuple[np.ndarray, ...
         yield tuple(c[part] for c in columns)
 
 
+def lists(column: pa.Array) -> Iterator[np.ndarray]:
+    """The lists of numbers of a column; null ones are empty."""
+    flat, offsets = np.asarray(column.values), column.offsets.to_numpy()
+    for i, valid in enumerate(column.is_valid().to_pylist()):
+        yield flat[offsets[i] : offsets[i + 1]] if valid else flat[:0]
+
+
 def cut_out(rows: DataFrame) -> DataFrame:
-    """kind, k1, k2, anchor, cell, c, text: of each text (packed, n_bytes, asked: array of (anchor, cell, hot)) the cells that are asked for.
+    """k1, k2, anchor, cell, c, text, windows: of each text (packed, n_bytes, asked: array of (anchor, cell, hot)) the cells that are asked for.
 
-    A cell of a hot anchor comes as its windows (kind 1: anchor and cell are the window's hash, c how often), another one with its bytes (kind 0).
+    A cell of a hot anchor comes as finer cells, with the hashes of their windows and how often the text has them; another one with its bytes.
     """
-    names = ["kind", "k1", "k2", "anchor", "cell", "c", "text"]
+    names = ["k1", "k2", "anchor", "cell", "c", "text", "windows"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -312,20 +325,32 @@ def cut_out(rows: DataFrame) -> DataFrame:
                     hits = [i for i in np.flatnonzero(np.isin(own, keys[~hot])) if own[i] not in given and not given.add(own[i])]
                     if hits:
                         pieces = [text[base + x.first[i] : base + x.last[i] + LENGTH].tobytes() for i in hits]
-                        out.append((0, k1, k2, x.anchor[hits], x.cell[hits], np.ones(len(hits), np.int64), pieces))
+                        out.append((k1, k2, x.anchor[hits], x.cell[hits], np.ones(len(hits), np.int64), pieces, [None] * len(hits)))
                     wide = np.flatnonzero(np.isin(own, keys[hot]))
                     if len(wide):
-                        sizes = x.last[wide] - x.first[wide] + 1
-                        at = np.repeat(x.first[wide], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                        h, c = np.unique(x.window_hashes(at), return_counts=True)
-                        out.append((1, k1, k2, h, h, c, [None] * len(h)))
+                        found = finer(text[base : base + x.windows + LENGTH - 1], x, wide)
+                        out.append((k1, k2, *found[:3], [None] * len(found[0]), found[3]))
             if out:
-                n = [len(o[5]) for o in out]
-                columns = [pa.array(np.repeat(np.array([o[i] for o in out], np.int32 if i == 0 else np.int64), n)) for i in range(3)]
-                columns += [pa.array(np.concatenate([o[i] for o in out]).view(np.int64)) for i in (3, 4, 5)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array([t for o in out for t in o[6]], pa.binary())], names)
+                n = [len(o[4]) for o in out]
+                columns = [pa.array(np.repeat(np.array([o[i] for o in out], np.int64), n)) for i in range(2)]
+                columns += [pa.array(np.concatenate([o[i] for o in out]).view(np.int64)) for i in (2, 3, 4)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([t for o in out for t in o[5]], pa.binary()), pa.array([t for o in out for t in o[6]], pa.list_(pa.int64()))], names)
 
-    return rows.select("k1", "k2", "n_bytes", "packed", "asked").mapInArrow(run, "kind int, k1 bigint, k2 bigint, anchor bigint, cell bigint, c bigint, text binary")
+    return rows.select("k1", "k2", "n_bytes", "packed", "asked").mapInArrow(run, "k1 bigint, k2 bigint, anchor bigint, cell bigint, c bigint, text binary, windows array<bigint>")
+
+
+def finer(text: np.ndarray, x: Cells, wide: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Anchors and hashes of the finer cells in cells of a stretch, how often each occurs, and the hashes of its windows."""
+    y = Cells(text, LENGTH, FINER)
+    sizes = x.last[wide] - x.first[wide] + 1
+    at = np.repeat(x.first[wide], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    cell = np.searchsorted(y.first, at, "right") - 1
+    new = np.flatnonzero(np.append(True, (np.diff(at) != 1) | (np.diff(cell) != 0)))
+    ends = np.append(new[1:], len(at))
+    anchor, span = y.anchor[cell[new]], y.spans(at[new], at[ends - 1])
+    _, first, c = np.unique(pair_key(anchor, span), return_index=True, return_counts=True)
+    hashes = y.window_hashes(at).view(np.int64)
+    return anchor[first], span[first], c, [hashes[new[i] : ends[i]] for i in first]
 
 
 def repeated_windows(cells: DataFrame) -> DataFrame:
@@ -354,7 +379,7 @@ def repeated_windows(cells: DataFrame) -> DataFrame:
 
 
 def marked_texts(spark: SparkSession, docs: DataFrame, text_col: str) -> DataFrame:
-    """k1, k2, copies, found: of each text of LENGTH bytes or more that is not all its own, how often it occurs and array of (kind, anchor, cell, runs): what is repeated in it."""
+    """k1, k2, copies, found, windows: of each text of LENGTH bytes or more with repeated windows, how often it occurs (null: once), its repeated cells (anchor, cell, runs), and hashes of single repeated windows."""
     rows = stage(spark, cell_rows(docs.select(F.col(text_col).cast("string"))), "suffix-cells")
     copies = rows.where("anchor IS NULL").groupBy("k1", "k2").agg(F.sum("c").alias("copies")).where("copies > 1")
     own = rows.where("anchor IS NOT NULL")
@@ -368,28 +393,44 @@ def marked_texts(spark: SparkSession, docs: DataFrame, text_col: str) -> DataFra
     asked = stage(spark, wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "cell", "hot")).alias("asked")), "suffix-asked")
     once = packed_texts(docs.withColumn("_n", F.lit(0)), "_n", text_col).where(F.col("n_bytes") >= LENGTH)
     pieces = stage(spark, cut_out(once.join(asked, ["k1", "k2"])), "suffix-pieces")
-    bytes_of = pieces.where("kind = 0")
+    bytes_of = pieces.where("text IS NOT NULL")
     parts = max(1, -(-bytes_of.count() // PARTITION), int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = repeated_windows(bytes_of.select("anchor", "cell", "text").repartition(parts, "anchor"))
     whole = cells.where("n > 1").select("anchor", "cell", F.lit(None).cast("array<int>").alias("runs"))
     part = cells.where("n = 1").select("anchor", "cell").join(shared, ["anchor", "cell"])
     verdicts = stage(spark, whole.unionByName(part), "suffix-verdicts")
-    hits = some.select("k1", "k2", "anchor", "cell").join(verdicts, ["anchor", "cell"]).select("k1", "k2", F.lit(0).alias("kind"), "anchor", "cell", "runs")
-    # the windows of hot anchors: copies of a text that several tasks met are one
-    single = pieces.where("kind = 1").select("k1", "k2", "anchor", "c").distinct()
-    again = stage(spark, single.groupBy("anchor").agg(F.sum("c").alias("n")).where("n > 1").select("anchor"), "suffix-windows")
-    windows = single.join(again, "anchor", "left_semi").select("k1", "k2", F.lit(1).alias("kind"), "anchor", F.col("anchor").alias("cell"), F.lit(None).cast("array<int>").alias("runs"))
-    found = hits.unionByName(windows).groupBy("k1", "k2").agg(F.collect_set(F.struct("kind", "anchor", "cell", "runs")).alias("found"))
+    hits = some.select("k1", "k2", "anchor", "cell").join(verdicts, ["anchor", "cell"])
+    single, windows = windows_of_hot(spark, pieces.where("windows IS NOT NULL").select("k1", "k2", "anchor", "cell", "c", "windows"))
+    none = F.lit(None)
+    marks = hits.select("k1", "k2", F.struct("anchor", "cell", "runs").alias("f"), none.cast("array<bigint>").alias("w")).unionByName(windows.select("k1", "k2", none.cast("struct<anchor:bigint,cell:bigint,runs:array<int>>").alias("f"), "w"))
+    found = marks.groupBy("k1", "k2").agg(F.collect_set("f").alias("found"), F.flatten(F.collect_set("w")).alias("windows"))
     out = stage(spark, found.join(copies, ["k1", "k2"], "full"), "suffix-found")
-    drop(spark, rows, twice, some, cells, many, open_cells, asked, pieces, verdicts, again)
+    drop(spark, rows, twice, some, cells, many, open_cells, asked, pieces, verdicts, *single)
     return out
 
 
-def covered(text: np.ndarray, kind: np.ndarray, anchor: np.ndarray, cell: np.ndarray, inner: pa.Array) -> np.ndarray:
-    """Whether each byte lies in a repeated window: whole cells (kind 0, no runs), runs within cells, and single windows by their hash (kind 1)."""
+def windows_of_hot(spark: SparkSession, finer_cells: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """k1, k2, w: hashes of the repeated windows among finer cells (k1, k2, anchor, cell, c, windows), and the staged tables it reads.
+
+    Copies of a text that several tasks met are one.
+    """
+    counts = stage(spark, finer_cells.select("k1", "k2", "anchor", "cell", "c").distinct().groupBy("anchor", "cell").agg(F.sum("c").alias("n")), "suffix-finer")
+    several = counts.groupBy("anchor").agg(F.count("*").alias("contexts")).where("contexts > 1")
+    mixed = finer_cells.groupBy("anchor", "cell").agg(F.first("windows").alias("windows")).join(counts, ["anchor", "cell"]).join(several, "anchor")
+    each = stage(spark, mixed.select("anchor", "cell", "n", F.explode("windows").alias("window")), "suffix-windows")
+    again = each.groupBy("window").agg(F.sum("n").alias("m")).where("m > 1").select("window")
+    part = each.where("n = 1").join(again, "window").groupBy("anchor", "cell").agg(F.collect_set("window").alias("w"))
+    whole = counts.where("n > 1").select("anchor", "cell", F.lit(None).cast("array<bigint>").alias("w"))
+    verdicts = stage(spark, whole.unionByName(part), "suffix-finer-verdicts")
+    out = finer_cells.join(verdicts, ["anchor", "cell"]).select("k1", "k2", F.coalesce("w", "windows").alias("w"))
+    return [counts, each, verdicts], out
+
+
+def covered(text: np.ndarray, anchor: np.ndarray, cell: np.ndarray, inner: pa.Array, single: np.ndarray) -> np.ndarray:
+    """Whether each byte lies in a repeated window: of whole cells (no runs), of runs within cells, or single ones by their hash."""
     partial = np.asarray(inner.is_valid())
     keys = pair_key(anchor.view(np.uint64), cell.view(np.uint64))
-    whole, some, single = keys[(kind == 0) & ~partial], np.flatnonzero(partial), anchor[kind == 1].view(np.uint64)
+    whole, some, single = keys[~partial], np.flatnonzero(partial), single.view(np.uint64)
     within = {int(keys[i]): np.array(inner[int(i)].as_py()) for i in some}
     steps = np.zeros(len(text) + 1, np.int32)
 
@@ -419,12 +460,12 @@ def without_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             out: list[tuple] = []
-            for n, packed, copies, found in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), listed(b.column(4), ["kind", "anchor", "cell", "runs"])):
+            for n, packed, copies, found, single in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), listed(b.column(4), ["anchor", "cell", "runs"]), lists(b.column(5))):
                 if copies is not None:
                     out.append((n, n, 1, hashlib.sha256(b"").hexdigest(), *[b""] * with_text))
                     continue
                 text = unpacked(packed, n)
-                gone = covered(text, *found) if len(found[0]) else np.zeros(n, bool)
+                gone = covered(text, *found, single) if len(found[0]) or len(single) else np.zeros(n, bool)
                 kept = text[~gone].tobytes()
                 spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
                 out.append((n, int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), *[kept] * with_text))
@@ -432,5 +473,5 @@ def without_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, t) for c, t in zip(columns, types)]], names)
 
-    joined = packed_texts(docs, id_col, text_col).join(marks, ["k1", "k2"], "left").select("id", "n_bytes", "packed", "copies", "found")
+    joined = packed_texts(docs, id_col, text_col).join(marks, ["k1", "k2"], "left").select("id", "n_bytes", "packed", "copies", "found", "windows")
     return joined.mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * with_text)
