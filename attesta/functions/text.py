@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,20 @@ LATEX = (("\\", "\\textbackslash{}"), ("&", "\\&"), ("%", "\\%"), ("$", "\\$"),
 HTML = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;"))
 
 _MARK = "\u0001"
+#: How the mark is written where a text has it itself, and how what begins that is.
+_ESCAPES = (("\u0002", "\u0002\u0004"), (_MARK, "\u0002\u0003"))
+
+
+def escaped(c: Column) -> Column:
+    return replace_all(c, _ESCAPES)
+
+
+def unescaped(c: Column) -> Column:
+    return replace_all(c, tuple((new, old) for old, new in reversed(_ESCAPES)))
+
+
+def _has_mark(c: Column) -> Column:
+    return c.contains(_MARK) | c.contains("\u0002")
 
 
 def strip(c: Column) -> Column:
@@ -28,7 +44,8 @@ def citations(c: Column) -> Column:
     """All cited claim ids in order, repeats included."""
     groups = F.regexp_extract_all(c, F.lit(CITATION), F.lit(1))
     parts = F.flatten(F.transform(groups, lambda g: F.split(g, ",")))
-    return F.transform(parts, lambda p: F.regexp_replace(p, r"[^0-9]", "").try_cast("int"))
+    found = F.transform(parts, lambda p: F.regexp_replace(p, r"[^0-9]", "").try_cast("int"))
+    return F.when(c.contains("["), found).when(c.isNotNull(), F.array().cast("array<int>"))
 
 
 def gaps(c: Column) -> Column:
@@ -55,19 +72,17 @@ def sentence_texts(c: Column) -> Column:
 def has_fact(c: Column) -> Column:
     """Whether a sentence seems to assert a fact: a number, an upper-case token, or one of the verbs."""
     lower = F.concat(F.lit(" "), F.lower(c), F.lit(" "))
-    signal = c.rlike(FACT_TOKEN)
-    for v in FACT_VERBS:
-        signal = signal | lower.contains(f" {v} ")
-    return signal
+    return c.rlike(FACT_TOKEN) | lower.rlike(f" (?:{'|'.join(FACT_VERBS)}) ")
 
 
 def _typed(kind: str | Column, text: Column) -> Column:
     return F.struct((F.lit(kind) if isinstance(kind, str) else kind).alias("type"), text.alias("text"))
 
 
-def _of_paragraph(p: Column) -> Column:
-    directive = (F.size(F.regexp_extract_all(p, F.lit(FIGURE), F.lit(0))) == 1) & (F.length(p) < 200)
-    kind = lambda s: F.when((F.size(citations(s)) > 0) | has_fact(s) | s.rlike(GAP), "factual").otherwise("narrative")
+def _of_paragraph(p: Column, plain: Callable[[Column], Column]) -> Column:
+    directive = p.contains("[FIGURE:") & (F.size(F.regexp_extract_all(p, F.lit(FIGURE), F.lit(0))) == 1) & (F.length(plain(p)) < 200)
+    marked = lambda s: s.contains("[") & (s.rlike(CITATION) | s.rlike(GAP))
+    kind = lambda s: F.when(has_fact(s) | marked(s), "factual").otherwise("narrative")
     return F.when(p.startswith("#"), F.array(_typed("narrative", p))).when(directive, F.array(_typed("figure_directive", p))).otherwise(F.transform(sentence_texts(p), lambda s: _typed(kind(s), s)))
 
 
@@ -75,8 +90,14 @@ def typed_sentences(c: Column) -> Column:
     """Markdown as an array of (type, text): code blocks, block equations and the sentences of the prose in between.
 
     A fence is a line that begins with three backticks; an open fence lasts to the end. A code block is represented by
-    its first non-blank line after the fence.
+    its first non-blank line after the fence. Every character of a text is kept, whatever it is: where it has the inner
+    mark itself, that is escaped first.
     """
+    escape = F.transform(_typed_sentences(escaped(c), unescaped, escaped), lambda s: _typed(s["type"], unescaped(s["text"])))
+    return F.when(_has_mark(c), escape).otherwise(_typed_sentences(c, lambda x: x, lambda x: x))
+
+
+def _typed_sentences(c: Column, plain: Callable[[Column], Column], again: Callable[[Column], Column]) -> Column:
     fenced = F.regexp_replace(c, r"(?m)^([ \t]*```(?s:.*?)(?:^[ \t]*```[^\n]*$|\z))", f"{_MARK}C$1{_MARK}T")
     # the head of the text has no mark and is prose
     pieces = F.split(F.concat(F.lit("T"), fenced), _MARK)
@@ -85,8 +106,8 @@ def typed_sentences(c: Column) -> Column:
     def parts(b: Column) -> Column:
         body = b.substr(F.lit(2), F.length(b))
         lines = F.filter(F.slice(F.split(body, "\n"), F.lit(2), F.greatest(F.size(F.split(body, "\n")) - 1, F.lit(0))), lambda x: F.trim(x) != "")
-        code = strip(F.coalesce(F.get(lines, F.lit(0)), body.substr(1, 80)))
-        return F.when(b.startswith("C"), F.array(_typed("code_block", code))).when(b.startswith("M"), F.array(_typed("equation", strip(body)))).otherwise(F.flatten(F.transform(paragraphs(body), _of_paragraph)))
+        code = strip(F.coalesce(F.get(lines, F.lit(0)), again(plain(body).substr(1, 80))))
+        return F.when(b.startswith("C"), F.array(_typed("code_block", code))).when(b.startswith("M"), F.array(_typed("equation", strip(body)))).otherwise(F.flatten(F.transform(paragraphs(body), lambda p: _of_paragraph(p, plain))))
 
     return F.flatten(F.transform(blocks, parts))
 
@@ -140,6 +161,10 @@ def drop_heading_numbers(c: Column) -> Column:
 def normalise_headings(c: Column) -> Column:
     """One top-level heading, outside code blocks: headings of level three and more move up where there is at most one
     of level two, and the first of level two becomes level one unless the text begins with level one."""
+    return F.when(_has_mark(c), unescaped(_normalised(escaped(c)))).otherwise(_normalised(c))
+
+
+def _normalised(c: Column) -> Column:
     fence = r"(?m)^((`{3,}|~{3,})(?s:.*?)\n(?s:.*?)\2\s*$)"
     pieces = F.split(F.concat(F.lit("T"), F.regexp_replace(c, fence, f"{_MARK}C$1{_MARK}T")), _MARK)
     prose = F.array_join(F.transform(F.filter(pieces, lambda p: p.startswith("T")), lambda p: p.substr(F.lit(2), F.length(p))), "\n")

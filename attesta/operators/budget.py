@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from attesta.sources.tables import staged
+
 
 def running(log: DataFrame, scope: list[str], order: list[str], amount: str, ceiling: float) -> DataFrame:
     """spent (before each row, within scope) and rejected: spent + amount exceeds the ceiling. Every row counts, rejected or not."""
@@ -31,28 +31,18 @@ def admit(log: DataFrame, scope: list[str], order: list[str], amount: str, ceili
     return fold(log, scope, order, step, "accepted", "boolean")
 
 
-def guard(stream: DataFrame, key: str, amount: str, ceiling: float) -> DataFrame:
-    """The streaming form of `admit`: state is what each key has spent; the checkpoint recovers it after a restart.
+def running_total(log: DataFrame, order: list[str], amount: str) -> DataFrame:
+    """spent: the sum of the amounts before each row in the whole order, for any number of rows: no task has more than a range of them.
 
-    Gives key, amount, accepted and spent for every row of the stream.
+    Rows are dealt into ranges that are written once; each range's sum and the sums before it are a row for each
+    partition; the rest is a window within a range. The order is a total one, and amounts are whole numbers or
+    decimals, so the partitioning does not change a sum.
     """
-    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-    kinds = dict(stream.dtypes)
-    out = f"`{key}` {kinds[key]}, `{amount}` double, accepted boolean, spent double"
-
-    def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        spent = state.get[0] if state.exists else 0.0
-        for b in batches:
-            rows = []
-            for x in b[amount].astype(float).tolist():
-                fits = spent + x <= ceiling
-                spent += x if fits else 0.0
-                rows.append((k[0], x, fits, spent))
-            yield pd.DataFrame(rows, columns=[key, amount, "accepted", "spent"])
-        state.update((spent,))
-
-    return stream.groupBy(key).applyInPandasWithState(step, out, "spent double", "append", GroupStateTimeout.NoTimeout)
+    placed = staged(log.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "running-total")
+    sums = placed.groupBy("_p").agg(F.sum(amount).alias("_s"))
+    before = sums.select("_p", F.coalesce(F.sum("_s").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))  # as many rows as partitions
+    within = F.coalesce(F.sum(amount).over(Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return placed.join(F.broadcast(before), "_p").withColumn("spent", F.col("_before") + within).drop("_p", "_before")
 
 
 def check(log: DataFrame, predicted: float, ceiling: float, chapter: str | None = None, chapter_ceiling: float | None = None) -> DataFrame:

@@ -84,7 +84,7 @@ def add(claims: DataFrame, new: DataFrame, order: list[str]) -> DataFrame:
     return claims.unionByName(numbered.select(claims.columns))
 
 
-def number(rows: DataFrame, order: list[str]) -> DataFrame:
+def number(rows: DataFrame, order: list[str | Column]) -> DataFrame:
     """_n: the row's place from 1 in the whole order, without a single-partition window.
 
     The rows are written once with the partition they were dealt to. Counts and places are both taken from what was

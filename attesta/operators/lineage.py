@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -9,41 +12,127 @@ from pyspark.sql import functions as F
 
 from attesta.functions.text import identifiers
 from attesta.functions.vectors import jaccard
+from attesta.operators.claims import number
+from attesta.sources.tables import staged
+
+
+#: Claims of a tile, and pivots that deal claims into cells at most.
+TILE, PIVOTS = 2048, 32
+#: More than what rounding adds to an angle.
+SLACK = 1e-6
+
+
+def _matrix(vectors: pd.Series | list, dim: int | None = None) -> np.ndarray:
+    """Vectors as rows of doubles; null ones are zero."""
+    dim = dim or max((len(v) for v in vectors if v is not None), default=1)
+    return np.array([np.zeros(dim) if v is None else np.asarray(v, float) for v in vectors]).reshape(-1, dim)
+
+
+def _angles(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Norms of the rows and their angles to the pivots (unit vectors)."""
+    norms = np.linalg.norm(x, axis=1)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return norms, np.arccos(np.clip(np.nan_to_num(x @ pivots.T / norms[:, None]), -1, 1))
+
+
+def pivots_of(own: DataFrame, tile: int = TILE) -> np.ndarray:
+    """Unit vectors of some claims, the same ones in every run: as many as claims fill tiles, at most PIVOTS."""
+    some = own.where("embedding IS NOT NULL")
+    n = min(PIVOTS, -(-some.count() // tile))
+    found = some.orderBy(F.xxhash64("id"), "id").limit(n).select("embedding").collect()  # PIVOTS rows
+    x = _matrix([r["embedding"] for r in found])
+    return x[np.linalg.norm(x, axis=1) > 0] / np.linalg.norm(x, axis=1, keepdims=True)[np.linalg.norm(x, axis=1) > 0]
+
 
+def celled(own: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """own with _cell: the place of the pivot with the smallest angle; vectors that are null or zero have a cell of their own."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in own.schema) + ", _cell int"
 
-#: Claims of a tile.
-TILE = 2048
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                norms, angles = _angles(_matrix(b["embedding"], pivots.shape[1]), pivots)
+                yield b.assign(_cell=np.where(norms > 0, angles.argmin(1) if len(pivots) else 0, len(pivots)).astype(np.int32))
+
+    return own.mapInPandas(run, schema)
+
+
+def cell_bounds(placed: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """type, _cell, n, norm (the greatest), low and high: of each cell's angles to every pivot, the extremes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                norms, angles = _angles(_matrix(b["embedding"], pivots.shape[1]), pivots)
+                for (t, c), i in b.groupby(["type", "_cell"]).indices.items():
+                    low, high = angles[i].min(0).tolist(), angles[i].max(0).tolist()
+                    rows = [(t, int(c), p, len(i), float(norms[i].max()), lo, hi) for p, (lo, hi) in enumerate(zip(low or [0.0], high or [4.0]))]
+                    yield pd.DataFrame(rows, columns=["type", "_cell", "_p", "n", "norm", "low", "high"])
+
+    parts = placed.where("type IS NOT NULL").select("type", "_cell", "embedding").mapInPandas(run, "type string, _cell int, _p int, n bigint, norm double, low double, high double")
+    whole = parts.groupBy("type", "_cell", "_p").agg(F.sum("n").alias("n"), F.max("norm").alias("norm"), F.min("low").alias("low"), F.max("high").alias("high"))
+    ends = F.array_sort(F.collect_list(F.struct("_p", "low", "high")))
+    return whole.groupBy("type", "_cell").agg(F.max("n").alias("n"), F.max("norm").alias("norm"), F.transform(ends, lambda x: x["low"]).alias("low"), F.transform(ends, lambda x: x["high"]).alias("high"))
+
+
+def cell_pairs(bounds: DataFrame, least: dict[str, float], other: float, tile: int = TILE) -> DataFrame:
+    """type, _cell, _tiles, _with (array of the cells, and their tiles, that may hold a near enough vector).
+
+    By the triangle inequality, two vectors are at least as far apart as their angles to any pivot differ; where that is
+    more than the threshold's angle for every two of two cells, the cells are not compared. A row for each pivot and type.
+    """
+    x, y = bounds.alias("x"), bounds.alias("y")
+    limit = F.lit(float(other))
+    for t, v in least.items():
+        limit = F.when(F.col("x.type") == t, F.lit(float(v))).otherwise(limit)
+    apart = F.array_max(F.zip_with(F.zip_with("x.low", "y.high", lambda a, b: a - b), F.zip_with("y.low", "x.high", lambda a, b: a - b), lambda a, b: F.greatest(a, b)))
+    reach = limit / (F.col("x.norm") * F.col("y.norm"))
+    sure = (limit <= 0) | ((F.col("x.norm") > 0) & (F.col("y.norm") > 0) & (reach <= 1 + SLACK) & ((F.col("x._cell") == F.col("y._cell")) | (apart <= F.acos(F.least(reach, F.lit(1.0))) + SLACK)))
+    tiles = lambda n: F.ceil(F.col(n) / tile).cast("int")
+    kept = x.join(y, F.col("x.type") == F.col("y.type")).where(sure)
+    return kept.groupBy("x.type", "x._cell").agg(F.first(tiles("x.n")).alias("_tiles"), F.collect_list(F.struct(F.col("y._cell").alias("cell"), tiles("y.n").alias("tiles"))).alias("_with"))
 
 
 def near_vectors(own: DataFrame, least: dict[str, float], other: float, tile: int = TILE) -> DataFrame:
     """older_id, newer_id, type, similarity: pairs of one type, of different videos and ranks, whose vectors have a dot product of at least least[type], or other.
 
-    Claims of a type are dealt into tiles, and every pair of tiles is one product of two matrices: a type that holds
-    most claims is spread over as many tasks as it has pairs of tiles, and a claim travels once for each tile of its
-    type. Only pairs that are near enough leave a task. A claim without a type pairs with none; a null vector is near nothing but by a threshold of 0 or less.
+    Claims of a type are dealt into cells by their nearest pivot and cells into tiles, and every pair of tiles of cells
+    that may be near is one product of two matrices: a type that holds most claims is spread over as many tasks as it
+    has such pairs. The product is taken in single precision with a bound of its rounding; doubles are used for the
+    pairs that may reach the threshold only. Only pairs that are near enough leave a task. A claim without a type pairs
+    with none; a null vector is near nothing but by a threshold of 0 or less. Vectors have one length.
     """
     kind = own.schema["id"].dataType.simpleString()
-    sizes = own.groupBy("type").agg(F.ceil(F.count("*") / tile).cast("int").alias("_tiles"))
-    dealt = own.select("id", "type", "video_id", "rank", "embedding").join(F.broadcast(sizes), "type")  # a row for each type
-    dealt = dealt.withColumn("_t", F.pmod(F.xxhash64("id"), F.col("_tiles")).cast("int")).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
-    dealt = dealt.withColumn("_lo", F.least("_t", "_o")).withColumn("_hi", F.greatest("_t", "_o"))
+    given = staged(own.select("id", "type", "video_id", "rank", "embedding"), "lineage-claims")
+    pivots = pivots_of(given, tile)
+    placed = staged(celled(given, pivots), "lineage-cells")
+    pairs = staged(cell_pairs(cell_bounds(placed, pivots), least, other, tile), "lineage-pairs")
+    dealt = placed.join(pairs, ["type", "_cell"]).withColumn("_t", F.pmod(F.xxhash64("id"), F.col("_tiles")).cast("int")).withColumn("_w", F.explode("_with"))
+    dealt = dealt.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_w.tiles") - 1)))
+    mine, its = F.struct(F.col("_cell").alias("cell"), F.col("_t").alias("tile")), F.struct(F.col("_w.cell").alias("cell"), F.col("_o").alias("tile"))
+    dealt = dealt.select("id", "type", "video_id", "rank", "embedding", F.least(mine, its).alias("_lo"), F.greatest(mine, its).alias("_hi"), (mine <= its).alias("_first"))
 
     def product(rows: pd.DataFrame) -> pd.DataFrame:
         t = rows["type"].iloc[0]
         limit = least.get(t, other)
-        dim = max((len(v) for v in rows["embedding"] if v is not None), default=1)
-        x = np.array([np.zeros(dim) if v is None else np.asarray(v, float) for v in rows["embedding"]])
-        side, ranks, videos = rows["_t"].to_numpy(), rows["rank"].to_numpy(), pd.factorize(rows["video_id"])[0]
-        ids, lo, hi = rows["id"].to_numpy(), rows["_lo"].iloc[0], rows["_hi"].iloc[0]
-        a, b = np.flatnonzero(side == lo), np.flatnonzero(side == hi)
+        x = _matrix(rows["embedding"])
+        single, norms = x.astype(np.float32), np.linalg.norm(x, axis=1)
+        margin = 4 * (x.shape[1] + 2) * 2.0**-24 * (norms.max(initial=0) ** 2) + 1e-30
+        first, ranks, videos = rows["_first"].to_numpy(), rows["rank"].to_numpy(), pd.factorize(rows["video_id"])[0]
+        ids = rows["id"].to_numpy()
+        same = rows["_lo"].iloc[0] == rows["_hi"].iloc[0]
+        a = np.flatnonzero(first)
+        b = a if same else np.flatnonzero(~first)
         found = []
         for at in range(0, len(a), 512):  # bounds the product
             part = a[at : at + 512]
-            s = x[part] @ x[b].T
-            i, j = np.nonzero((s >= limit) & (ranks[part][:, None] != ranks[b]) & (videos[part][:, None] != videos[b]))
+            s = single[part] @ single[b].T
+            i, j = np.nonzero((s >= limit - margin) & (ranks[part][:, None] != ranks[b]) & (videos[part][:, None] != videos[b]))
             p, q = part[i], b[j]
-            once = p < q if lo == hi else slice(None)
-            p, q, v = p[once], q[once], s[i, j][once]
+            once = p < q if same else slice(None)
+            p, q = p[once], q[once]
+            v = np.einsum("ij,ij->i", x[p], x[q])
+            p, q, v = p[v >= limit], q[v >= limit], v[v >= limit]
             older = ranks[p] < ranks[q]
             found.append(pd.DataFrame({"older_id": ids[np.where(older, p, q)], "newer_id": ids[np.where(older, q, p)], "type": t, "similarity": v}))
         return pd.concat(found) if found else pd.DataFrame({"older_id": [], "newer_id": [], "type": [], "similarity": []})
@@ -69,24 +158,34 @@ def links(claims: DataFrame, ranks: DataFrame, other_cosine: float = 0.88, code_
 
 
 def alike_sets(rows: DataFrame, id_col: str, group_col: str, set_col: str, least: float) -> DataFrame:
-    """a < b: ids of rows of one group whose sets (arrays without repeats) have a Jaccard similarity of at least `least`.
+    """a < b: ids of rows of one group whose sets (arrays without repeats) have a Jaccard similarity of at least `least` (over 0). Ids are unique.
 
-    Prefix filter: with elements in one order, the rarest first, two sets that are alike share one of their first
-    n - ceil(least * n) + 1 elements. Only these are joined, and only sets of fit sizes are compared.
+    Elements become numbers, the rarest first, and a set is the sorted list of its numbers, staged once. Two sets that
+    are alike share one of their first n - ceil(least n) + 1 elements. Only these are joined, under two conditions: one
+    set is not smaller than least times the other, and what is left of both after the shared element can still make up
+    the overlap that the sizes ask for. A hot element is split by sizes: it meets only sets of the same range of sizes
+    or the next one. Only pairs that pass are compared.
     """
-    n = F.size(set_col)
-    items = rows.select(id_col, F.explode(set_col).alias("_e"))
-    counts = items.groupBy("_e").agg(F.count("*").alias("_c"))
-    ordered = items.join(counts, "_e").groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("_c", "_e"))).alias("_o"))
-    own = rows.where(n > 0).join(ordered, id_col).select(id_col, group_col, set_col, n.alias("_n"), F.slice("_o", F.lit(1), (n - F.ceil(n * least - 1e-9) + 1).cast("int")).alias("_p"))
-    prefix = own.select(group_col, F.col(id_col).alias("_id"), "_n", F.explode("_p._e").alias("_e"))
-    x, y = prefix.alias("x"), prefix.alias("y")
-    fit = (F.col("x._id") < F.col("y._id")) & (F.least("x._n", "y._n") >= F.greatest("x._n", "y._n") * (least - 1e-9))
-    on = (F.col(f"x.{group_col}") == F.col(f"y.{group_col}")) & (F.col("x._e") == F.col("y._e"))
-    pairs = x.join(y, on & fit).select(F.col("x._id").alias("a"), F.col("y._id").alias("b")).distinct()
-    sets = own.select(F.col(id_col).alias("a"), F.col(set_col).alias("_x"))
-    both = pairs.join(sets, "a").join(sets.select(F.col("a").alias("b"), F.col("_x").alias("_y")), "b")
-    return both.where(jaccard(F.col("_x"), F.col("_y")) >= least).select("a", "b")
+    sets = staged(rows.where(F.size(set_col) > 0).select(F.col(id_col).alias("id"), F.col(group_col).alias("g"), F.col(set_col).alias("s")), "alike-sets")
+    counts = sets.select(F.explode("s").alias("e")).groupBy("e").agg(F.count("*").alias("c")).where("c > 1")
+    ranks = number(counts, ["c", "e"]).select("e", "_n")
+    # an element of one set is in no overlap: it counts for the size only
+    items = sets.select("id", F.explode("s").alias("e")).join(ranks, "e").groupBy("id").agg(F.array_sort(F.collect_list("_n")).alias("o"))
+    coded = staged(sets.select("id", "g", F.size("s").alias("n")).join(items, "id"), "alike-coded")
+    prefix = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1  # of the whole set, whose single elements come first
+    alone = F.col("n") - F.size("o")
+    width = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(least) if least < 1 else 1.0) + 1e-9).cast("int")
+    short = coded.withColumn("width", width).select("id", "g", "n", "width", alone.alias("alone"), F.posexplode(F.slice("o", F.lit(1), F.greatest(prefix - alone, F.lit(0)).cast("int"))).alias("at", "e"))
+    short = staged(short.withColumn("at", F.col("at") + F.col("alone")).drop("alone"), "alike-prefixes")
+    x, y = short.alias("x"), short.withColumn("width", F.explode(F.array("width", F.col("width") - 1))).alias("y")
+    in_order = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.id") < F.col("y.id")))
+    asked = F.ceil((F.col("x.n") + F.col("y.n")) * (least / (1 + least)) - 1e-9)
+    fit = in_order & (F.col("x.n") >= F.col("y.n") * least - 1e-9) & (1 + F.least(F.col("x.n") - F.col("x.at") - 1, F.col("y.n") - F.col("y.at") - 1) >= asked)
+    on = (F.col("x.g") == F.col("y.g")) & (F.col("x.e") == F.col("y.e")) & (F.col("x.width") == F.col("y.width"))
+    pairs = x.join(y, on).where(fit).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    both = pairs.join(coded.select(F.col("id").alias("a"), F.col("o").alias("_x"), F.col("n").alias("_m")), "a").join(coded.select(F.col("id").alias("b"), F.col("o").alias("_y"), F.col("n").alias("_n")), "b")
+    common = F.size(F.array_intersect("_x", "_y"))
+    return both.where(common / (F.col("_m") + F.col("_n") - common) >= least).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def apply(found: DataFrame, claims: DataFrame) -> DataFrame:

@@ -13,7 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def answers(rows: DataFrame, prompt_col: str, make: Callable[[], Callable[[str], str]], out_col: str = "answer", tries: int = 10, wait: Callable[[int], float] = lambda n: min(120.0, 4.0 * 2**n)) -> DataFrame:
+def backoff(n: int) -> float:
+    """Seconds to wait after the n-th failed call: from 4, doubled each time, at most 120."""
+    return min(120.0, 4.0 * 2**n)
+
+
+def answers(rows: DataFrame, prompt_col: str, make: Callable[[], Callable[[str], str]], out_col: str = "answer", tries: int = 10, wait: Callable[[int], float] = backoff) -> DataFrame:
     """Ask a provider for every row's prompt. A call that fails is tried again after a growing wait; after the last try answer is null and error says why."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", `{out_col}` string, error string"
 

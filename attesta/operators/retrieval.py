@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.functions.text import identifiers
+from attesta.operators.claims import number
+from attesta.sources.tables import staged
 
 K1, B = 1.5, 0.75
 #: Kinds of claims that are kept whatever their score.
@@ -56,29 +58,42 @@ def top_k(scored: DataFrame, k: int, score: str = "score", ties: str = "id", dig
     return best.withColumn("place", F.row_number().over(Window.orderBy(s.desc(), F.col(ties))))
 
 
+#: Decimals that scores are compared with: what the order of summing changes is beyond them.
+DIGITS = 9
+
+
 def select_claims(claims: DataFrame, query: str, cap: int = 80, dense: DataFrame | None = None, weight: float = 0.5) -> DataFrame:
     """At most cap claims (id, type, content, pos: input order) for a topic, with place: their order in the result.
 
     If there are no more than cap, all pass in input order. Kinds in ALWAYS come first, by id; if they alone reach the
-    cap, the largest ids stay. The rest of the cap goes to the best of the others, ties in input order.
+    cap, the largest ids stay. The rest of the cap goes to the best of the others, ties in input order; scores are
+    compared with DIGITS decimals, so the partitioning does not decide. Places are given over sorted ranges, so neither
+    the claims nor a large cap go to one task.
     """
-    n = claims.count()
-    if n <= cap:
-        return claims.withColumn("place", F.row_number().over(Window.orderBy("pos")))
-    must = claims.where(F.col("type").isin(*ALWAYS))
-    n_must = must.count()
-    if n_must >= cap:
-        newest = must.orderBy(F.col("id").desc()).limit(cap)
-        return newest.withColumn("place", F.row_number().over(Window.orderBy(F.col("id").desc())))
-    rest = claims.where(~F.coalesce(F.col("type").isin(*ALWAYS), F.lit(False)))
+    always = F.coalesce(F.col("type").isin(*ALWAYS), F.lit(False))
+    rows = staged(claims.withColumn("_must", always), "claims-to-select")  # counted, scored and ranked: made once
+    counts = rows.agg(F.count("*").alias("n"), F.count_if("_must").alias("must")).first()
+    own = rows.drop("_must")
+    if counts["n"] <= cap:
+        return placed(own, [F.col("pos")])
+    must = rows.where("_must").drop("_must")
+    if counts["must"] >= cap:
+        return placed(must.orderBy(F.col("id").desc()).limit(cap), [F.col("id").desc()])
+    rest = rows.where("NOT _must").drop("_must")
     lexical = normalised(rest.join(bm25(rest, query), "id", "left").withColumn("score", F.coalesce("score", F.lit(0.0))))
     if dense is not None:
         lexical = lexical.join(dense.select("id", F.col("score").alias("_dense")), "id", "left").withColumn("score", blend(F.col("score"), F.col("_dense"), weight)).drop("_dense")
-    ranked = top_k(lexical, cap - n_must, ties="pos").withColumn("place", F.col("place") + n_must)
-    first = must.withColumn("place", F.row_number().over(Window.orderBy("id")))
+    best = lexical.withColumn("score", F.round("score", DIGITS)).orderBy(F.desc("score"), "pos").limit(cap - counts["must"])
+    ranked = placed(best, [F.desc("score"), F.col("pos")]).withColumn("place", F.col("place") + counts["must"])
+    first = placed(must, [F.col("id")])
     return first.unionByName(ranked.select(first.columns))
 
 
+def placed(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """place: the row's number from 1 in an order, counted over ranges of it."""
+    return number(rows, order).withColumnRenamed("_n", "place")
+
+
 def document_frequency(docs: DataFrame, text_col: str) -> DataFrame:
     return docs.select(F.explode(F.array_distinct(identifiers(F.col(text_col)))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
 

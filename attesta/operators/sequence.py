@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from attesta.functions.nearhash import NearHashes
 from attesta.functions.vectors import dot
 
 
@@ -81,27 +82,55 @@ def sequence_id(prefix: Column, number: Column, digits: int = 3, mark: str = "_"
     return F.format_string(f"%s{mark}%0{digits}d", prefix.cast("string"), number.cast("bigint"))
 
 
+#: Frames that are judged between two look-ups in the index.
+STRETCH = 1024
+
+
+class KeptFrames:
+    """What a greedy choice of frames remembers of a key: the time of the last kept frame and an index of the kept hashes."""
+
+    def __init__(self, min_density: float, min_gap: float, max_distance: int, last: float | None = None, kept: np.ndarray | None = None) -> None:
+        self.min_density, self.min_gap, self.max_distance, self.last = min_density, min_gap, max_distance, last
+        self.index = NearHashes(max_distance)
+        if kept is not None:
+            self.index.add(kept.astype(np.int64).view(np.uint64))
+
+    def judge(self, times: np.ndarray, densities: np.ndarray, bits: np.ndarray) -> tuple[list[str], list[int]]:
+        """Verdicts of frames in order of time, and the hashes newly kept."""
+        out, added = [], []
+        hashes = bits.astype(np.int64).view(np.uint64)
+        for at in range(0, len(hashes), STRETCH):
+            part = slice(at, at + STRETCH)
+            seen = self.index.near(hashes[part])  # like one kept before this stretch
+            new = np.empty(STRETCH, np.uint64)
+            n = 0
+            for t, d, b, old in zip(times[part].tolist(), densities[part].tolist(), hashes[part], seen):
+                if d < self.min_density:
+                    out.append("density")
+                elif self.last is not None and t - self.last < self.min_gap:
+                    out.append("spacing")
+                elif old or (np.bitwise_count(new[:n] ^ b) <= self.max_distance).any():
+                    out.append("hamming")
+                else:
+                    out.append("kept")
+                    self.last, new[n] = t, b
+                    n += 1
+            self.index.add(new[:n])
+            added += new[:n].view(np.int64).tolist()
+        return out, added
+
+
 def greedy_frames(df: DataFrame, keys: list[str], order: list[str], ts: str, density: str, bits: str, min_density: float = 0.04, min_gap: float = 2.0, max_distance: int = 6) -> DataFrame:
-    """verdict of every frame in order of time: density, spacing (too soon after the last kept one), hamming (too like any kept one) or kept."""
+    """verdict of every frame in order of time: density, spacing (too soon after the last kept one), hamming (too like any kept one) or kept.
+
+    Kept hashes are indexed by blocks of their bits, so a frame is compared with those only that agree with it in two of
+    them. `streaming.stateful.frames` is the form for streams.
+    """
 
     def step(state, rows):
-        last, kept, n = state or (None, np.empty(64, np.uint64), 0)
-        out = []
-        for t, d, b in zip(rows[ts].tolist(), rows[density].tolist(), rows[bits].tolist()):
-            if d < min_density:
-                out.append("density")
-            elif last is not None and t - last < min_gap:
-                out.append("spacing")
-            elif (np.bitwise_count(kept[:n] ^ np.int64(b).view(np.uint64)) <= max_distance).any():
-                out.append("hamming")
-            else:
-                out.append("kept")
-                last = t
-                if n == len(kept):
-                    kept = np.concatenate([kept, np.empty_like(kept)])
-                kept[n] = np.int64(b).view(np.uint64)
-                n += 1
-        return (last, kept, n), pd.Series(out, dtype=object)
+        state = state or KeptFrames(min_density, min_gap, max_distance)
+        verdicts, _ = state.judge(rows[ts].to_numpy(), rows[density].to_numpy(), rows[bits].to_numpy())
+        return state, pd.Series(verdicts, dtype=object)
 
     return fold(df, keys, order, step, "verdict", "string")
 

@@ -6,6 +6,7 @@ Each stage does what is still to be done: rows whose key the target has already
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,10 @@ from attesta.functions import vectors as V
 from attesta.operators import alignment, assembly, budget, claims, grounding, lineage, providers, retrieval, sequence
 
 Model = Callable[[], Callable[[str], str]]
+Wait = Callable[[int], float]
+
+#: Costs, exact to a millionth of a millionth.
+MONEY = "decimal(30,12)"
 
 #: What an extractor answers with for each claim, a planner for an outline, and a describer for a frame.
 CLAIM = "array<struct<type:string,content:string,ts_start:double,ts_end:double,frame_ids:array<string>,confidence:double,language:string>>"
@@ -23,29 +28,30 @@ OUTLINE = "chapters array<struct<id:string,title:string,claim_ids:array<bigint>>
 FRAME = "category string, skip boolean, title string, extracted_text string"
 
 
-def ask_within_budget(rows: DataFrame, prompt_col: str, make: Model, log: DataFrame, stage: str, price: float, ceiling: float, tries: int = 10) -> tuple[DataFrame, DataFrame]:
+def ask_within_budget(rows: DataFrame, prompt_col: str, make: Model, log: DataFrame, stage: str, price: float, ceiling: float, tries: int = 10, wait: Wait = providers.backoff) -> tuple[DataFrame, DataFrame]:
     """Answers of a model to rows (id, prompt), and the log with what they cost. Rows that the budget does not allow are not asked: their error says so.
 
-    What a prompt will cost is estimated from its length before any call; prompts are admitted in order of id until the
-    ceiling is reached, what was spent before included.
+    What a prompt will cost is estimated from its length before any call; prompts are admitted in order of id (unique)
+    until the ceiling is reached, what was spent before included. Costs are decimals and their running total is made
+    over ranges of ids, so neither partitions nor the number of rows matter. After a failed call wait(n) seconds pass.
     """
-    spent = log.agg(F.coalesce(F.sum("usd"), F.lit(0.0)).alias("_before"))
-    costs = rows.withColumn("_usd", V.token_estimate(F.length(prompt_col)) * price / 1e6).withColumn("_k", F.lit(0))
-    admitted = budget.running(costs.crossJoin(F.broadcast(spent)), ["_k"], ["id"], "_usd", float("inf")).withColumn("_ok", F.col("_before") + F.col("spent") + F.col("_usd") <= ceiling)
-    own = admitted.drop("_k", "spent", "rejected", "_before")
-    asked = providers.answers(own.where("_ok").drop("_ok"), prompt_col, make, tries=tries, wait=lambda n: 0.0)
+    spent = log.agg(F.coalesce(F.sum(F.col("usd").cast(MONEY)), F.lit(0).cast(MONEY)).alias("_before"))
+    costs = rows.withColumn("_usd", (V.token_estimate(F.length(prompt_col)).cast("decimal(12,0)") * F.lit(Decimal(str(price))).cast("decimal(12,6)") / F.lit(10**6).cast("decimal(7,0)")).cast(MONEY))
+    admitted = budget.running_total(costs, ["id"], "_usd").crossJoin(F.broadcast(spent)).withColumn("_ok", F.col("_before") + F.col("spent") + F.col("_usd") <= F.lit(Decimal(str(ceiling))))
+    own = admitted.drop("spent", "_before")
+    asked = providers.answers(own.where("_ok").drop("_ok"), prompt_col, make, tries=tries, wait=wait)
     refused = own.where("NOT _ok").drop("_ok").withColumns({"answer": F.lit(None).cast("string"), "error": F.lit("budget exceeded")})
-    used = asked.select(F.lit(stage).alias("stage"), F.col("_usd").alias("usd"))
+    used = asked.select(F.lit(stage).alias("stage"), F.col("_usd").cast("double").alias("usd"))
     return asked.unionByName(refused).drop("_usd"), log.select("stage", "usd").unionByName(used)
 
 
-def describe_frames(frames: DataFrame, done: DataFrame, make: Model, tries: int = 10) -> DataFrame:
+def describe_frames(frames: DataFrame, done: DataFrame, make: Model, tries: int = 10, wait: Wait = providers.backoff) -> DataFrame:
     """Descriptions of the frames (frame_id, video_id, timestamp_sec, prompt) that have none yet.
 
     A frame whose call fails has no row and is tried again in the next run; one whose answer is no JSON is kept as
     skipped, with the answer's text.
     """
-    asked = providers.answers(claims.not_loaded(frames, done, ["frame_id"]), "prompt", make, tries=tries, wait=lambda n: 0.0).where("error IS NULL")
+    asked = providers.answers(claims.not_loaded(frames, done, ["frame_id"]), "prompt", make, tries=tries, wait=wait).where("error IS NULL")
     parsed = providers.parsed_json(asked, "answer", FRAME)
     return parsed.select("frame_id", "video_id", "timestamp_sec", "parsed.category", (F.col("parse_error") | F.coalesce("parsed.skip", F.lit(False))).alias("skip"), "parsed.title", "parsed.extracted_text", "parse_error", "raw_text")
 
@@ -81,7 +87,7 @@ def segment(videos: DataFrame, segments: DataFrame, embed: Callable | None, wind
     return both.groupBy("topic_id", "video_id", "title").agg(F.min("ts_start").alias("ts_start"), F.max("ts_end").alias("ts_end"), ids.alias("segment_ids"), F.sum(T.words(F.col("text"))).alias("n_words"))
 
 
-def extract_claims(topics: DataFrame, store: DataFrame, make: Model, least: float = 0.7, tries: int = 10) -> DataFrame:
+def extract_claims(topics: DataFrame, store: DataFrame, make: Model, least: float = 0.7, tries: int = 10, wait: Wait = providers.backoff) -> DataFrame:
     """The store with the claims that a model finds in the topics (video_id, ts_start, ts_end, title, segments) of videos it has none of.
 
     An answer that is no list gives no claim. Claims of little confidence are dropped, missing fields are filled in,
@@ -89,7 +95,7 @@ def extract_claims(topics: DataFrame, store: DataFrame, make: Model, least: floa
     of the claims table, extra being a map of JSON texts.
     """
     prompts = assembly.segment_payload(claims.not_loaded(topics, store.select("video_id").distinct(), ["video_id"]))
-    found = providers.parsed_json(providers.answers(prompts, "payload", make, tries=tries, wait=lambda n: 0.0), "answer", CLAIM)
+    found = providers.parsed_json(providers.answers(prompts, "payload", make, tries=tries, wait=wait), "answer", CLAIM)
     found = found.where(F.startswith(T.strip_json_fence(F.col("answer")), F.lit("[")))
     rows = found.select("video_id", F.col("ts_start").alias("segment_start"), F.col("ts_end").alias("segment_end"), F.explode("parsed").alias("_x")).select("video_id", "segment_start", "segment_end", "_x.*")
     full = claims.with_defaults(claims.confident(rows))
@@ -99,7 +105,7 @@ def extract_claims(topics: DataFrame, store: DataFrame, make: Model, least: floa
     return claims.add(store, full.withColumn("extra", extra).withColumn("id", F.lit(None).cast("bigint")).select(store.columns), ["video_id", "ts_start", "content"])
 
 
-def outline(store: DataFrame, ranks: DataFrame, assigned: DataFrame, make: Model, tries: int = 10) -> tuple[DataFrame, DataFrame, DataFrame]:
+def outline(store: DataFrame, ranks: DataFrame, assigned: DataFrame, make: Model, tries: int = 10, wait: Wait = providers.backoff) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The chapters that a model plans over the current claims, the assignments with theirs, and the supersession applied.
 
     store: id, type, content, video_id, ts_start, embedding. The prompt has a line for every current claim; a claim
@@ -108,7 +114,7 @@ def outline(store: DataFrame, ranks: DataFrame, assigned: DataFrame, make: Model
     applied = lineage.apply(lineage.links(store, ranks), store)
     lines = lineage.current(store, applied).withColumn("line", T.claim_line(F.col("id"), F.col("type"), F.col("video_id"), F.col("ts_start"), F.col("content")))
     prompt = assembly.joined_texts(lines.withColumn("k", F.lit(1)), ["k"], "id", "line", "\n").withColumnRenamed("text", "prompt")
-    plan = providers.parsed_json(providers.answers(prompt, "prompt", make, tries=tries, wait=lambda n: 0.0), "answer", OUTLINE)
+    plan = providers.parsed_json(providers.answers(prompt, "prompt", make, tries=tries, wait=wait), "answer", OUTLINE)
     sound = F.when(F.col("parse_error") | F.col("parsed.chapters").isNull(), F.raise_error(F.lit("the answer is no outline"))).otherwise(F.col("parsed"))
     own = plan.select(sound.alias("p")).select(F.posexplode(F.concat(F.coalesce("p.chapters", F.array()), F.coalesce("p.appendices", F.array()))).alias("pos", "c"))
     chapters = lineage.prune_outline(own.select("pos", F.col("c.id").alias("chapter_id"), F.col("c.title").alias("title"), F.col("c.claim_ids").alias("claim_ids")), applied)
@@ -116,7 +122,7 @@ def outline(store: DataFrame, ranks: DataFrame, assigned: DataFrame, make: Model
     return chapters, claims.insert_or_ignore(assigned, given, ["chapter_id", "claim_id"]), applied
 
 
-def draft_chapters(chapters: DataFrame, store: DataFrame, assigned: DataFrame, make: Model, judge: Callable[[DataFrame], DataFrame] | None = None, tries: int = 10) -> dict[str, DataFrame]:
+def draft_chapters(chapters: DataFrame, store: DataFrame, assigned: DataFrame, make: Model, judge: Callable[[DataFrame], DataFrame] | None = None, tries: int = 10, wait: Wait = providers.backoff) -> dict[str, DataFrame]:
     """Chapters (chapter_id, title) written by a model from their claims, verified against them, and cleaned.
 
     Gives sentences (with status, reason, demoted), summaries (five statuses a chapter), texts (without the sentences
@@ -128,7 +134,7 @@ def draft_chapters(chapters: DataFrame, store: DataFrame, assigned: DataFrame, m
     ranked = lines.withColumn("_o", F.row_number().over(Window.partitionBy("chapter_id").orderBy("video_id", "ts_start", "id")))
     body = assembly.joined_texts(ranked, ["chapter_id"], "_o", "line", "\n")
     prompts = chapters.select("chapter_id", "title").join(body, "chapter_id", "left").withColumn("prompt", F.concat(F.lit("# "), "title", F.lit("\n\n"), F.coalesce("text", F.lit("")))).drop("text")
-    drafted = providers.answers(prompts, "prompt", make, tries=tries, wait=lambda n: 0.0).withColumn("draft", T.strip_markdown_fence(F.col("answer")))
+    drafted = providers.answers(prompts, "prompt", make, tries=tries, wait=wait).withColumn("draft", T.strip_markdown_fence(F.col("answer")))
     scope = assigned.select("chapter_id", "claim_id")
     rows = grounding.verify(grounding.sentences(drafted.where("draft IS NOT NULL"), "chapter_id", "draft"), scope, ["chapter_id", "index"], ["chapter_id"])
     judged = judge(rows) if judge else rows

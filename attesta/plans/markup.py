@@ -242,11 +242,19 @@ def file_hashes(read, spark):
     return files.file_hashes(spark, path).join(r, "sha256").select("r_regionkey", "sha256")
 
 
-@query("SELECT * FROM (VALUES ('budget.total', '200'), ('budget.chapter', '5.0'), ('models.draft.name', 'small'), ('models.draft.top', '3'), ('title', 'a # b')) t(name, value)")
+@query("""SELECT n_nationkey, name, value FROM nation, LATERAL (SELECT unnest([
+    {'name': 'budget_usd.total_max', 'value': '200'}, {'name': 'budget_usd.per_chapter', 'value': n_nationkey || '.50'}, {'name': 'models.draft.name', 'value': n_name || ' # no comment'},
+    {'name': 'models.draft.note', 'value': 'it''s "' || n_name || '"'}, {'name': 'refs.0.id', 'value': 'r' || n_nationkey}, {'name': 'refs.0.title', 'value': n_name || ': all of it'}, {'name': 'refs.0.tags.0', 'value': 'a'},
+    {'name': 'refs.0.tags.1', 'value': 'b#c'}, {'name': 'refs.1.id', 'value': 's'}, {'name': 'refs.1.year', 'value': '2017'}, {'name': 'playlist.0', 'value': 'https://v/' || n_nationkey || '#t'}, {'name': 'playlist.1', 'value': n_name}], recursive := true))""")
 def settings_read(read, spark):
-    """A configuration file with an override from the environment."""
+    """A configuration file for each nation: nested keys, quotes with # and quotes in them, lists of mappings and of texts; a name from the environment."""
     path = new_path(spark, "settings")
-    text = "# settings\nbudget:\n  total: 150  # in all\n  chapter: 5.0\nmodels:\n  draft:\n    name: 'small'\n    top: 3\ntitle: \"a\"\n"
-    spark.createDataFrame([(text,)], "value string").write.text(path)
-    found = files.yaml_settings(spark, path).withColumn("value", F.when(F.col("name") == "title", "a # b").otherwise(F.col("value")))
-    return files.with_environment(found, {"BUDGET.TOTAL": "200"})
+    k, name = F.col("n_nationkey"), F.col("n_name")
+    lines = ["# settings", "budget_usd:", "  total_max: 150  # in all", ("  per_chapter: ", k, ".50"), "", "models:", "  draft:", ('    name: "', name, ' # no comment"   # one'), ("    note: 'it''s \"", name, "\"'"), "refs:", ("  - id: r", k), ('    title: "', name, ': all of it"'), "    tags:", "      - a", "      - b#c", "  - id: s", "    year: 2017", "playlist:", ("- https://v/", k, "#t"), ('- "', name, '"')]
+    text = F.concat(*[F.lit(x) if isinstance(x, str) else x for line in lines for x in (*([line] if isinstance(line, str) else line), "\n")])
+    # the first key of a file says whose it is
+    read("nation").select(F.concat(F.lit("whose: "), k, F.lit("\n"), text).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    found = files.yaml_settings(spark, path, with_file=True)
+    whose = found.where("name = 'whose'").select("file", F.col("value").cast("int").alias("n_nationkey"))
+    given = files.with_environment(found.where("name <> 'whose'"), {"BUDGET_USD.TOTAL_MAX": "200"})
+    return given.join(whose, "file").select("n_nationkey", "name", "value")

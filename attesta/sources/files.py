@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,22 +87,76 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_environment(rows: DataFrame, overrides: dict[str, str]) -> DataFrame:
-    """Settings (name, value) where those of overrides (from the environment: upper-case names) take their place."""
+    """Settings (name, value and further columns) where those of overrides (from the environment: upper-case names) take their place."""
     own = [(k.lower(), v) for k, v in overrides.items()]
     given = rows.sparkSession.createDataFrame(own, "name string, _v string")  # as few as a configuration has
-    return rows.join(F.broadcast(given), F.lower(rows["name"]) == given["name"], "left").select(rows["name"], F.coalesce("_v", "value").alias("value"))
-
-
-def yaml_settings(spark: SparkSession, path: str) -> DataFrame:
-    """name (dotted path), value (text) of a YAML file of nested mappings of plain values, with comments."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("line", "raw"))
-    own = lines.select("line", F.regexp_replace("raw", r"\s+#.*$|^#.*$", "").alias("raw")).where(F.trim("raw") != "")
-    parsed = own.select("line", F.length(F.regexp_extract("raw", r"^( *)", 1)).alias("depth"), F.trim(F.regexp_extract("raw", r"^\s*([^:]+):", 1)).alias("key"), F.regexp_replace(F.trim(F.regexp_extract("raw", r":\s*(.*)$", 1)), "^[\"']|[\"']$", "").alias("value"))
-    # the parents of a line are, for each smaller depth, the last line before it with that depth; a configuration is small
-    above = parsed.alias("p").join(parsed.alias("c"), (F.col("p.line") < F.col("c.line")) & (F.col("p.depth") < F.col("c.depth")))
-    last = above.groupBy("c.line", F.col("p.depth").alias("pd")).agg(F.max_by("p.key", "p.line").alias("pk"))
-    path_of = last.groupBy("line").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pd", "pk"))), lambda x: x["pk"]), ".").alias("up"))
-    return parsed.join(path_of, "line", "left").where("value <> ''").select(F.concat_ws(".", "up", "key").alias("name"), "value")
+    return rows.join(F.broadcast(given), F.lower(rows["name"]) == given["name"], "left").select(*[rows[c] for c in rows.columns if c != "value"], F.coalesce("_v", "value").alias("value"))
+
+
+def _plain(value: str) -> str:
+    """A scalar as text: without its comment, and without the quotes around it, whose escapes are resolved."""
+    value = value.strip()
+    if value[:1] == '"':
+        end = re.match(r'"((?:[^"\\]|\\.)*)"', value)
+        return re.sub(r"\\(.)", lambda m: {"n": "\n", "t": "\t"}.get(m[1], m[1]), end[1]) if end else value
+    if value[:1] == "'":
+        end = re.match(r"'((?:[^']|'')*)'", value)
+        return end[1].replace("''", "'") if end else value
+    return re.split(r"(?:^|\s)#", value, maxsplit=1)[0].rstrip()
+
+
+def settings_pairs(text: str) -> Iterator[tuple[str, str]]:
+    """name (dotted path, places in lists counted from 0) and value of every scalar of a YAML text of nested mappings and lists.
+
+    One walk over the lines with the stack of the blocks that are open: each has its indent and its name. Tabs, flow
+    collections, anchors and texts over several lines are beyond it: their text is the value.
+    """
+    stack: list[list] = []  # indent, name, items so far
+    for line in text.split("\n"):
+        body = line.lstrip(" ")
+        indent = len(line) - len(body)
+        if not body.strip() or body.startswith("#") or body.rstrip() in ("---", "..."):
+            continue
+        while stack and (stack[-1][0] > indent or stack[-1][0] == indent and not (body.startswith(("- ", "-\n")) or body.rstrip() == "-")):
+            stack.pop()
+        while body.startswith("- ") or body.rstrip() == "-":
+            # an item belongs to the key above it, also where it is not indented
+            while stack and stack[-1][0] > indent or stack and stack[-1][0] == indent and stack[-1][2] is None and stack[-1][1].isdigit():
+                stack.pop()
+            owner = stack[-1] if stack else None
+            number = 0 if owner is None else owner[2] or 0
+            if owner is not None:
+                owner[2] = number + 1
+            rest = body[1:].lstrip(" ")
+            stack.append([indent, str(number), None])
+            indent += len(body) - len(rest)
+            body = rest
+        if not body.strip():
+            continue
+        key = re.match(r"""("(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|[^\s#"'][^#]*?)\s*:(?:\s|$)""", body)
+        path = [name for _, name, _ in stack]
+        if key is None:
+            yield ".".join(path), _plain(body)
+            continue
+        value = body[key.end() :]
+        name = _plain(key[1])
+        if value.strip() and not value.lstrip().startswith("#"):
+            yield ".".join([*path, name]), _plain(value)
+        else:
+            stack.append([indent, name, None])
+
+
+def yaml_settings(spark: SparkSession, path: str, with_file: bool = False) -> DataFrame:
+    """name, value (text) of YAML files, each read as a whole: configurations are small. with_file adds the file's name."""
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(f, n, v) for f, text in zip(b["file"], b["value"]) for n, v in settings_pairs(text)]
+            yield pd.DataFrame(rows, columns=["file", "name", "value"])
+
+    found = whole.mapInPandas(run, "file string, name string, value string")
+    return found if with_file else found.drop("file")
 
 
 def id_list(spark: SparkSession, path: str) -> DataFrame:
