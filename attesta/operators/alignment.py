@@ -35,7 +35,7 @@ def align_frames(segments: DataFrame, frames: DataFrame, vision: DataFrame, bin_
     slim = segments.select("video_id", "segment_id", "ts_start", "ts_end")
     hits = points_in_intervals(slim, frames.select("video_id", "frame_id", "timestamp_sec").join(seen, "frame_id", "left"), "video_id", "ts_start", "ts_end", "timestamp_sec", bin_size, "inner")
     item = F.struct("timestamp_sec", "frame_id", "_seen")
-    grouped = hits.groupBy("video_id", "segment_id").agg(F.array_sort(F.collect_list(item)).alias("_f"))
+    grouped = hits.groupBy("video_id", "segment_id").agg(F.sort_array(F.collect_list(item)).alias("_f"))
     out = segments.join(grouped, ["video_id", "segment_id"], "left")
     found = F.coalesce("_f", F.array().cast("array<struct<timestamp_sec:double,frame_id:string,_seen:boolean>>"))
     return out.withColumn("frame_ids", F.transform(found, lambda x: x["frame_id"])).withColumn("visual_ids", F.transform(F.filter(found, lambda x: x["_seen"].isNotNull()), lambda x: x["frame_id"])).drop("_f")

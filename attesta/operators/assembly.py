@@ -18,7 +18,7 @@ def outline_chapters(chapters: Column, appendices: Column) -> Column:
 
 def joined_texts(parts: DataFrame, by: list[str], order: str, text: str, between: str = "\n\n") -> DataFrame:
     """The texts of each key in order as one text; nulls are left out."""
-    items = F.array_sort(F.collect_list(F.when(F.col(text).isNotNull(), F.struct(F.col(order).alias("o"), F.col(text).alias("t")))))
+    items = F.sort_array(F.collect_list(F.when(F.col(text).isNotNull(), F.struct(F.col(order).alias("o"), F.col(text).alias("t")))))
     return parts.groupBy(*by).agg(F.array_join(F.transform(items, lambda x: x["t"]), between).alias("text"))
 
 

@@ -124,7 +124,7 @@ def merge_extra(claims: DataFrame, updates: DataFrame) -> DataFrame:
 
 def extra_json(extra: Column) -> Column:
     """A map of JSON texts as one JSON object, its names in order: equal contents give equal texts."""
-    items = F.transform(F.array_sort(F.map_entries(extra)), lambda e: F.concat(F.to_json(F.struct(e["key"].alias("k"))).substr(F.lit(6), F.length(F.to_json(F.struct(e["key"].alias("k")))) - 6), F.lit(":"), e["value"]))
+    items = F.transform(F.sort_array(F.map_entries(extra)), lambda e: F.concat(F.to_json(F.struct(e["key"].alias("k"))).substr(F.lit(6), F.length(F.to_json(F.struct(e["key"].alias("k")))) - 6), F.lit(":"), e["value"]))
     return F.concat(F.lit("{"), F.array_join(items, ","), F.lit("}"))
 
 

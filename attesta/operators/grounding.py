@@ -41,7 +41,7 @@ def verify(rows: DataFrame, claims: DataFrame, keys: list[str], scope: list[str]
     """
     known = claims.select(*scope, F.col("claim_id").cast("int").alias("_claim")).distinct().withColumn("_known", F.lit(True))
     cites = rows.select(*rows.columns, F.posexplode_outer("cited_claim_ids").alias("_pos", "_claim")).join(known, [*scope, "_claim"], "left")
-    lost = F.array_sort(F.collect_list(F.when(F.col("_claim").isNotNull() & F.col("_known").isNull(), F.struct("_pos", "_claim"))))
+    lost = F.sort_array(F.collect_list(F.when(F.col("_claim").isNotNull() & F.col("_known").isNull(), F.struct("_pos", "_claim"))))
     joined = cites.groupBy(*keys).agg(*[F.first(c).alias(c) for c in rows.columns if c not in keys], lost.alias("_m")).select(*rows.columns, "_m")
     status, reason = rule(F.col("type"), F.col("cited_claim_ids"), F.transform("_m", lambda x: x["_claim"]))
     return joined.withColumn("status", status).withColumn("reason", reason).drop("_m")
@@ -65,11 +65,11 @@ def demote(verified: DataFrame, claims: DataFrame, keys: list[str], scope: list[
     cited_claim_ids are references as written (`c12`). Adds demoted; only grounded rows with citations can change.
     """
     refs = F.filter(F.transform("cited_claim_ids", lambda x: T.claim_ref(x)), lambda x: x.isNotNull())
-    rows = verified.withColumn("_ids", F.array_sort(F.array_distinct(F.coalesce(refs, F.array().cast("array<int>")))))
+    rows = verified.withColumn("_ids", F.sort_array(F.array_distinct(F.coalesce(refs, F.array().cast("array<int>")))))
     by = list(dict.fromkeys([*keys, *scope]))
     cites = rows.where(F.col("status") == "grounded").select(*by, F.explode("_ids").alias("claim_id"))
     known = claims.select(*scope, F.col("claim_id").cast("int").alias("claim_id")).distinct()
-    lost = cites.join(known, [*scope, "claim_id"], "left_anti").groupBy(*keys).agg(F.array_sort(F.collect_list("claim_id")).alias("_u"))
+    lost = cites.join(known, [*scope, "claim_id"], "left_anti").groupBy(*keys).agg(F.sort_array(F.collect_list("claim_id")).alias("_u"))
     cited = F.coalesce(F.size("cited_claim_ids"), F.lit(0)) > 0
     garbage = cited & (F.size("_ids") == 0)
     more = F.when(garbage, F.lit(" | cited refs unparseable")).otherwise(F.concat(F.lit(" | cited claim ids not in chapter: ["), F.array_join(F.col("_u").cast("array<string>"), ", "), F.lit("]")))
@@ -95,8 +95,8 @@ def zero_filled(counts: DataFrame, by: list[str]) -> DataFrame:
 def stripped_text(verified: DataFrame, keys: list[str]) -> DataFrame:
     """Text of each document rebuilt from its sentences that are not unsupported, and the indices of those removed."""
     bad = F.col("status") == "unsupported"
-    kept = F.array_sort(F.collect_list(F.when(~bad, F.struct("index", "text"))))
-    gone = F.array_sort(F.collect_list(F.when(bad, F.col("index"))))
+    kept = F.sort_array(F.collect_list(F.when(~bad, F.struct("index", "text"))))
+    gone = F.sort_array(F.collect_list(F.when(bad, F.col("index"))))
     out = verified.groupBy(*keys).agg(F.transform(kept, lambda x: x["text"]).alias("_t"), gone.alias("stripped_sentence_indices"))
     return out.withColumn("text", T.tidy(F.array_join("_t", " "))).drop("_t")
 

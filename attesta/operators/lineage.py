@@ -71,7 +71,7 @@ def cell_bounds(placed: DataFrame, pivots: np.ndarray) -> DataFrame:
 
     parts = placed.where("type IS NOT NULL").select("type", "_cell", "embedding").mapInPandas(run, "type string, _cell int, _p int, n bigint, norm double, low double, high double")
     whole = parts.groupBy("type", "_cell", "_p").agg(F.sum("n").alias("n"), F.max("norm").alias("norm"), F.min("low").alias("low"), F.max("high").alias("high"))
-    ends = F.array_sort(F.collect_list(F.struct("_p", "low", "high")))
+    ends = F.sort_array(F.collect_list(F.struct("_p", "low", "high")))
     return whole.groupBy("type", "_cell").agg(F.max("n").alias("n"), F.max("norm").alias("norm"), F.transform(ends, lambda x: x["low"]).alias("low"), F.transform(ends, lambda x: x["high"]).alias("high"))
 
 
@@ -105,8 +105,13 @@ def near_vectors(own: DataFrame, least: dict[str, float], other: float, tile: in
     kind = own.schema["id"].dataType.simpleString()
     given = staged(own.select("id", "type", "video_id", "rank", "embedding"), "lineage-claims")
     pivots = pivots_of(given, tile)
-    placed = staged(celled(given, pivots), "lineage-cells")
-    pairs = staged(cell_pairs(cell_bounds(placed, pivots), least, other, tile), "lineage-pairs")
+    if len(pivots) > 1:
+        placed = staged(celled(given, pivots), "lineage-cells")
+        pairs = staged(cell_pairs(cell_bounds(placed, pivots), least, other, tile), "lineage-pairs")
+    else:  # one tile, or one direction: there is nothing to tell apart
+        placed = given.withColumn("_cell", F.lit(0))
+        pairs = given.where("type IS NOT NULL").groupBy("type").agg(F.ceil(F.count("*") / tile).cast("int").alias("_tiles"))
+        pairs = pairs.select("type", F.lit(0).alias("_cell"), "_tiles", F.array(F.struct(F.lit(0).alias("cell"), F.col("_tiles").alias("tiles"))).alias("_with"))
     dealt = placed.join(pairs, ["type", "_cell"]).withColumn("_t", F.pmod(F.xxhash64("id"), F.col("_tiles")).cast("int")).withColumn("_w", F.explode("_with"))
     dealt = dealt.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_w.tiles") - 1)))
     mine, its = F.struct(F.col("_cell").alias("cell"), F.col("_t").alias("tile")), F.struct(F.col("_w.cell").alias("cell"), F.col("_o").alias("tile"))
@@ -148,7 +153,7 @@ def links(claims: DataFrame, ranks: DataFrame, other_cosine: float = 0.88, code_
     are compared only for the pairs of code that are left.
     """
     ranked = claims.join(ranks.select("video_id", "rank"), "video_id", "left").withColumn("rank", F.coalesce("rank", F.lit(0)))
-    near = near_vectors(ranked, {"code": code_cosine}, other_cosine)
+    near = staged(near_vectors(ranked, {"code": code_cosine}, other_cosine), "lineage-near")
     tokens = claims.where("type = 'code'").select("id", F.array_distinct(identifiers(F.col("content"))).alias("t"))
     code = near.where("type = 'code'").join(tokens.select(F.col("id").alias("older_id"), F.col("t").alias("_x")), "older_id").join(tokens.select(F.col("id").alias("newer_id"), F.col("t").alias("_y")), "newer_id")
     code = code.withColumn("jaccard", jaccard(F.col("_x"), F.col("_y"))).where(F.col("jaccard") >= code_jaccard)
@@ -170,7 +175,7 @@ def alike_sets(rows: DataFrame, id_col: str, group_col: str, set_col: str, least
     counts = sets.select(F.explode("s").alias("e")).groupBy("e").agg(F.count("*").alias("c")).where("c > 1")
     ranks = number(counts, ["c", "e"]).select("e", "_n")
     # an element of one set is in no overlap: it counts for the size only
-    items = sets.select("id", F.explode("s").alias("e")).join(ranks, "e").groupBy("id").agg(F.array_sort(F.collect_list("_n")).alias("o"))
+    items = sets.select("id", F.explode("s").alias("e")).join(ranks, "e").groupBy("id").agg(F.sort_array(F.collect_list("_n")).alias("o"))
     coded = staged(sets.select("id", "g", F.size("s").alias("n")).join(items, "id"), "alike-coded")
     prefix = F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1  # of the whole set, whose single elements come first
     alone = F.col("n") - F.size("o")
@@ -192,7 +197,7 @@ def apply(found: DataFrame, claims: DataFrame) -> DataFrame:
     """superseded_by and supersession_reasons of every older claim: the newer one that comes last by (video, start, id) wins."""
     place = claims.select(F.col("id").alias("newer_id"), F.struct("video_id", "ts_start", "id").alias("_place"))
     own = found.join(place, "newer_id")
-    grouped = own.groupBy("older_id").agg(F.max_by("newer_id", "_place").alias("superseded_by"), F.array_sort(F.collect_list(F.struct("_place", "reason"))).alias("_r"), F.count("*").alias("n_links"))
+    grouped = own.groupBy("older_id").agg(F.max_by("newer_id", "_place").alias("superseded_by"), F.sort_array(F.collect_list(F.struct("_place", "reason"))).alias("_r"), F.count("*").alias("n_links"))
     return grouped.select("older_id", "superseded_by", F.transform("_r", lambda x: x["reason"]).alias("supersession_reasons"), "n_links")
 
 
@@ -215,6 +220,6 @@ def prune_outline(chapters: DataFrame, applied: DataFrame) -> DataFrame:
     """Chapters (chapter_id, claim_ids) without superseded claims; order and repeats of the others stay."""
     rows = chapters.select("chapter_id", F.posexplode_outer("claim_ids").alias("_pos", "claim_id"))
     kept = rows.join(applied.select(F.col("older_id").alias("claim_id")), "claim_id", "left_anti")
-    ordered = F.array_sort(F.collect_list(F.when(F.col("claim_id").isNotNull(), F.struct("_pos", "claim_id"))))
+    ordered = F.sort_array(F.collect_list(F.when(F.col("claim_id").isNotNull(), F.struct("_pos", "claim_id"))))
     lists = kept.groupBy("chapter_id").agg(F.transform(ordered, lambda x: x["claim_id"]).alias("claim_ids"))
     return chapters.drop("claim_ids").join(lists, "chapter_id", "left").withColumn("claim_ids", F.coalesce("claim_ids", F.array().cast("array<bigint>")))

@@ -15,7 +15,7 @@ def one_row_per_sentence(citations: DataFrame) -> DataFrame:
     """Citation rows collapsed to sentences: the first claim's row gives status and text, claim ids are listed."""
     order = F.struct(F.col("claim_id").isNotNull(), "claim_id")
     first = lambda c: F.min_by(c, order).alias(c)
-    return citations.groupBy("chapter_id", "sentence_index").agg(first("sentence_text"), first("sentence_type"), first("status"), first("reason"), F.array_sort(F.collect_list("claim_id")).alias("claim_ids"))
+    return citations.groupBy("chapter_id", "sentence_index").agg(first("sentence_text"), first("sentence_type"), first("status"), first("reason"), F.sort_array(F.collect_list("claim_id")).alias("claim_ids"))
 
 
 def chapter_counts(citations: DataFrame) -> DataFrame:

@@ -75,7 +75,7 @@ def segment(videos: DataFrame, segments: DataFrame, embed: Callable | None, wind
     free = segments.join(videos.where(F.size(F.coalesce("chapters", F.array())) <= 0), "video_id", "left_semi")
     placed = sequence.resetting_windows(free.withColumn("_d", F.col("ts_end") - F.col("ts_start")), ["video_id"], ["ts_start", "segment_id"], "_d", window).drop("_d")
     item = F.struct("ts_start", "segment_id", "text")
-    windows = placed.groupBy("video_id", "window_no").agg(F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["text"]), " ").alias("text"))
+    windows = placed.groupBy("video_id", "window_no").agg(F.array_join(F.transform(F.sort_array(F.collect_list(item)), lambda x: x["text"]), " ").alias("text"))
     near = sequence.with_lag_similarity(providers.embedded(windows, "text", embed), ["video_id"], ["window_no"], "embedding")
     pieces = sequence.boundaries(near, ["video_id"], ["window_no"], threshold).withColumn("words", T.words(F.col("text")))
     merged = sequence.merge_small(pieces.groupBy("video_id", "piece").agg(F.sum("words").alias("words")), ["video_id"], min_words)
@@ -83,7 +83,7 @@ def segment(videos: DataFrame, segments: DataFrame, embed: Callable | None, wind
     by_topic = placed.join(groups, ["video_id", "window_no"]).withColumn("topic_id", sequence.sequence_id(F.col("video_id"), F.col("group_no"))).withColumn("title", F.lit(""))
     cols = ["topic_id", "video_id", "title", "segment_id", "ts_start", "ts_end", "text"]
     both = by_chapter.select(cols).unionByName(by_topic.select(cols))
-    ids = F.transform(F.array_sort(F.collect_list(F.struct("ts_start", "segment_id"))), lambda x: x["segment_id"])
+    ids = F.transform(F.sort_array(F.collect_list(F.struct("ts_start", "segment_id"))), lambda x: x["segment_id"])
     return both.groupBy("topic_id", "video_id", "title").agg(F.min("ts_start").alias("ts_start"), F.max("ts_end").alias("ts_end"), ids.alias("segment_ids"), F.sum(T.words(F.col("text"))).alias("n_words"))
 
 
@@ -149,7 +149,7 @@ def figures(texts: DataFrame, store: DataFrame, assigned: DataFrame, vision: Dat
     """The figures that chapters (chapter_id, text) ask for, numbered from 1, each with the first `most` diagrams that the chapter's claims refer to."""
     own = claims.for_chapter(store, assigned).select("chapter_id", "id", "frame_ids")
     shown = assembly.diagrams_of_claims(own, vision, "chapter_id").where(F.col("pos") <= most)
-    lists = shown.groupBy("chapter_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "frame_id"))), lambda x: x["frame_id"]).alias("frame_ids"))
+    lists = shown.groupBy("chapter_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "frame_id"))), lambda x: x["frame_id"]).alias("frame_ids"))
     return assembly.figure_directives(texts, "chapter_id", "text").join(lists, "chapter_id", "left").withColumn("frame_ids", F.coalesce("frame_ids", F.array().cast("array<string>")))
 
 
@@ -159,7 +159,7 @@ def manuscript(parts: DataFrame, title: Column, author: Column, date: Column) ->
     number = F.row_number().over(Window.partitionBy("appendix").orderBy("pos"))
     marked = ready.withColumn("_n", number).withColumn("text", F.when(F.col("appendix") & (F.col("_n") == 1), F.concat(F.lit("\\appendix\n\n"), F.col("text"))).otherwise(F.col("text")))
     order = F.struct("appendix", "pos").alias("o")
-    whole = marked.groupBy().agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, F.col("text").alias("t")))), lambda x: x["t"]), "\n\n").alias("body"))
+    whole = marked.groupBy().agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, F.col("text").alias("t")))), lambda x: x["t"]), "\n\n").alias("body"))
     quoted = lambda c: F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)
     head = F.concat(F.lit("---\ntitle: "), quoted(title), F.lit("\nauthor: "), quoted(author), F.lit("\ndate: "), quoted(date), F.lit("\n---\n\n"))
     return whole.select(F.concat(head, "body", F.lit("\n")).alias("text"))

@@ -61,7 +61,7 @@ def verify_sentences(read, spark):
 
 @query("WITH " + CITED_SQL + " SELECT doc_id, count(*) FILTER (status <> 'unsupported') AS n_kept, string_agg(pos::VARCHAR, ',' ORDER BY pos) FILTER (status = 'unsupported') AS removed FROM verified GROUP BY doc_id HAVING removed IS NOT NULL")
 def strip_unsupported(read, spark):
-    out = verified(read).groupBy("doc_id").agg(F.count_if(F.col("status") != "unsupported").alias("n_kept"), F.array_sort(F.collect_list(F.when(F.col("status") == "unsupported", F.col("index")))).alias("removed"))
+    out = verified(read).groupBy("doc_id").agg(F.count_if(F.col("status") != "unsupported").alias("n_kept"), F.sort_array(F.collect_list(F.when(F.col("status") == "unsupported", F.col("index")))).alias("removed"))
     return out.where(F.size("removed") > 0).withColumn("removed", F.concat_ws(",", F.col("removed").cast("array<string>")))
 
 

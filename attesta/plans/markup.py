@@ -83,7 +83,7 @@ def answers_parsed(read, spark):
 def outline_order(read, spark):
     name = lambda p: F.concat(F.lit(p), F.lpad(F.col("doc_id").cast("string"), 6, "0"))
     d = F.col("doc_id")
-    lists = read("documents").groupBy("lang").agg(F.array_sort(F.collect_list(F.when(d % 2 == 0, name("c")))).alias("c"), F.array_sort(F.collect_list(F.when(d % 50 == 1, name("a")))).alias("a"))
+    lists = read("documents").groupBy("lang").agg(F.sort_array(F.collect_list(F.when(d % 2 == 0, name("c")))).alias("c"), F.sort_array(F.collect_list(F.when(d % 50 == 1, name("a")))).alias("a"))
     return lists.select("lang", F.array_join(A.outline_chapters(F.when(F.size("c") > 0, F.col("c")), F.when(F.size("a") > 0, F.col("a"))), ",").alias("ids"))
 
 
@@ -214,7 +214,7 @@ def glossary_read(read, spark):
     path = new_path(spark, "glossary")
     s = read("supplier")
     line = F.concat(F.lit("# no term\n Supplier"), "s_suppkey", F.lit("x  y"), "s_suppkey")
-    whole = s.groupBy().agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", line.alias("l")))), lambda x: x["l"]), "\n").alias("value"), F.min("s_suppkey").alias("first"))
+    whole = s.groupBy().agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("s_suppkey", line.alias("l")))), lambda x: x["l"]), "\n").alias("value"), F.min("s_suppkey").alias("first"))
     whole.select("value").write.text(path)
     first = F.broadcast(whole.select("first"))  # one row
     return files.term_list(spark, path).crossJoin(first).select("term", ((F.shiftright("pos", 32) - 1) + 2 * F.col("first")).alias("line"))

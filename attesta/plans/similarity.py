@@ -61,7 +61,7 @@ def superseded_excluded(read, spark):
 @query("WITH " + LINKS_SQL + ", kept AS (SELECT id, lang FROM claims JOIN documents ON id = doc_id WHERE id NOT IN (SELECT older_id FROM links)) SELECT lang AS chapter_id, string_agg(id::VARCHAR, ',' ORDER BY id) AS claim_ids FROM kept GROUP BY lang")
 def outline_pruned(read, spark):
     c = claims(read)
-    lists = c.join(read("documents").select(F.col("doc_id").alias("id"), "lang"), "id").groupBy(F.col("lang").alias("chapter_id")).agg(F.array_sort(F.collect_list("id")).alias("claim_ids"))
+    lists = c.join(read("documents").select(F.col("doc_id").alias("id"), "lang"), "id").groupBy(F.col("lang").alias("chapter_id")).agg(F.sort_array(F.collect_list("id")).alias("claim_ids"))
     out = L.prune_outline(lists, L.apply(links(read), c))
     return out.select("chapter_id", F.concat_ws(",", F.col("claim_ids").cast("array<string>")).alias("claim_ids"))
 
