@@ -32,7 +32,11 @@ from attesta.llm.components import connected
 SHINGLE, BITS, BUDGET, SEED = 3, 64, 2, 42
 #: Near copies: words of a shingle, bits of a fingerprint, and bits that may differ. Of sets with a Jaccard similarity of
 #: 0.8, 39 bits differ on average, with a standard deviation of 6.
-COPY_SHINGLE, COPY_BITS, COPY_BUDGET = 5, 256, 44
+COPY_SHINGLE, COPY_BITS, COPY_BUDGET = 5, 256, 48
+#: Closer budgets whose links are candidates as well, and the similarity that verified links have.
+COPY_CLOSER, COPY_LEAST = (30, 40), 0.8
+#: Links of a fingerprint that are given to be verified, of those found at a time.
+FEW = 4
 #: Distinct fingerprints of one bucket that one task joins; larger buckets are dealt again.
 BUCKET = 2048
 #: Fingerprints that are joined at a time, and node pairs of the walk that are held at a time.
@@ -178,11 +182,13 @@ def trie_join(values: np.ndarray, bounds: np.ndarray, budget: int = BUDGET, fron
     return tuple(np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
 
 
-def bucket_links(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
+def bucket_links(batches: Iterator[pa.RecordBatch], budget: int, closer: tuple[int, ...] = ()) -> Iterator[pa.RecordBatch]:
     """Links a, b of fingerprints of one bucket, from batches (key, fp) sorted by key; fp is a long or a binary of longs.
 
     Whole buckets are joined, many at a time; they give a spanning forest of their links: enough for components, and
-    never more rows than the bucket has.
+    never more rows than the bucket has. A row of the forest names a component by its first fingerprint, which need not
+    be near itself. With closer budgets, for those who verify links, only pairs that are within a budget are given, a
+    few for each fingerprint and budget.
     """
     keys_held, fps_held, size, kind = [], [], 0, pa.int64()
 
@@ -196,12 +202,21 @@ def bucket_links(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.
         new = np.ones(len(group), bool)
         new[1:] = (group[1:] != group[:-1]) | (fps[1:] != fps[:-1]).any(1)
         group, fps = group[new], fps[new]
-        forest = Forest(len(group))
         bounds = np.concatenate([np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])), [len(group)]]) if len(group) else np.zeros(1, np.int64)
-        for i, j in trie_pairs(fps, bounds, budget, FRONTIER, forest):
-            forest.link(i, j)
-        far = np.flatnonzero(forest.parent != np.arange(len(group)))
-        return pa.RecordBatch.from_arrays([written(fps[far], kind), written(fps[forest.parent[far]], kind)], ["a", "b"])
+        found = [np.zeros((2, 0), np.int64)]
+        for most in (*closer, budget):
+            forest = Forest(len(group))
+            for i, j in trie_pairs(fps, bounds, most, FRONTIER, forest):
+                if closer:
+                    some = (nth(i) < FEW) | (nth(j) < FEW)
+                    found.append(np.stack([i[some], j[some]]))
+                forest.link(i, j)
+        if closer:
+            far, near = np.unique(np.concatenate(found, 1), axis=1)
+        else:
+            far = np.flatnonzero(forest.parent != np.arange(len(group)))
+            near = forest.parent[far]
+        return pa.RecordBatch.from_arrays([written(fps[far], kind), written(fps[near], kind)], ["a", "b"])
 
     for b in batches:
         if not b.num_rows:
@@ -220,6 +235,15 @@ def bucket_links(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.
         yield joined(np.concatenate(keys_held), np.concatenate(fps_held))
 
 
+def nth(values: np.ndarray) -> np.ndarray:
+    """How many equal values stand before each."""
+    order = np.argsort(values, kind="stable")
+    new = np.flatnonzero(np.append(True, np.diff(values[order]) != 0)) if len(values) else values
+    out = np.empty(len(values), np.int64)
+    out[order] = np.arange(len(values)) - np.repeat(new, np.diff(np.append(new, len(values))))
+    return out
+
+
 def words_of(fps: pa.Array) -> np.ndarray:
     """Fingerprints as rows of uint64."""
     if pa.types.is_integer(fps.type):
@@ -339,8 +363,7 @@ def copy_prints(docs: DataFrame, id_col: str, text_col: str, block: int, turned:
         for b in slices(batches):
             fps, keys = [], []
             for text in b.column(1).to_pylist():
-                words = hashed_words(text or "")[0]
-                codes = np.unique(kmers(words, min(shingle, max(1, len(words)))))
+                codes = shingle_codes(text, shingle)
                 ones, sure = copy_print(codes, bits)
                 fps.append(np.packbits(ones).tobytes())
                 keys.append(keys_of(ones, sure) if len(codes) else [])
@@ -360,18 +383,59 @@ def copy_links(spark: SparkSession, classes: DataFrame, budget: int = COPY_BUDGE
         pairs = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
         again = pairs.select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("key"), "fp")
         dealt = dealt.join(near, "key", "left_anti").union(again)
-    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(functools.partial(bucket_links, budget=budget), "a binary, b binary")
+    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(functools.partial(bucket_links, budget=budget, closer=COPY_CLOSER), "a binary, b binary")
+
+
+def shingle_codes(text: str | None, shingle: int = COPY_SHINGLE) -> np.ndarray:
+    """Distinct hashes of the shingles of a text, sorted; fewer words are one shingle."""
+    words = hashed_words(text or "")[0]
+    return np.unique(kmers(words, min(shingle, max(1, len(words)))))
+
+
+def verified(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, found: DataFrame, least: float = COPY_LEAST) -> DataFrame:
+    """Of the links a, b found between classes (fp, first), those whose texts have a similarity of `least` or more over their distinct shingles, as a / b of equal hashes.
+
+    One text stands for a class: that of its smallest id. Only the texts of linked classes are read again, and only
+    their hashes travel. A class without an id has no text to compare and links with nothing.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    pairs = stage(spark, found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "simhash-candidates")
+    ends = stage(spark, pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(classes.select("fp", F.col("first").alias(id_col)), "fp"), "simhash-ends")
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            codes = [shingle_codes(t) for t in b.column(1).to_pylist()]
+            prints = [np.packbits(copy_print(c, COPY_BITS)[0]).tobytes() for c in codes]
+            yield pa.RecordBatch.from_arrays([pa.array(prints, pa.binary()), pa.array([c.tobytes() for c in codes], pa.binary())], ["fp", "codes"])
+
+    own = docs.select(F.col(id_col), F.col(text_col)).join(sized(ends.select(id_col).distinct()), id_col, "left_semi")
+    # rows that repeat an id may have other texts: the fingerprint says whose codes they are
+    codes = stage(spark, own.mapInArrow(coded, "fp binary, codes binary").dropDuplicates(["fp"]), "simhash-codes")
+
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            keep = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                common = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= least * max(len(x), len(y)) else 0
+                keep.append(common >= least * (len(x) + len(y) - common) and common > 0)
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.join(codes.select(F.col("fp").alias("a"), F.col("codes").alias("x")), "a").join(codes.select(F.col("fp").alias("b"), F.col("codes").alias("y")), "b")
+    return stage(spark, both.select("a", "b", "x", "y").mapInArrow(alike, "a binary, b binary"), "simhash-alike")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = COPY_BUDGET, bucket: int = BUCKET) -> DataFrame:
     """One row per input row: id, component_id: the smallest id reachable over near copies, itself included.
 
-    Texts are near copies if their sets of five-word shingles have a similarity of about 0.8 or more, as 256-bit
-    fingerprints tell it. Equal fingerprints are one class. Null texts and texts without words are one class that links
+    Texts are near copies if their sets of five-word shingles have a similarity of 0.8 or more. Candidates are pairs whose
+    256-bit fingerprints differ in at most `budget` bits; each link between them is verified on the shingles' hashes
+    before components are made. Equal fingerprints are one class. Null texts and texts without words are one class that links
     with no other; rows with a null id get the component of their class; repeated rows share it; further columns are
     not read; an empty table gives an empty result.
     """
     own = stage(spark, copy_prints(docs, id_col, text_col, *block_size(docs.count())), "simhash-copies")
     classes = stage(spark, own.groupBy("fp").agg(F.min(id_col).alias("first"), F.min("keys").alias("keys")), "simhash-copy-classes")
-    label = labelled(spark, classes.select("fp", "first"), copy_links(spark, classes, budget, bucket))
+    links = verified(spark, docs, id_col, text_col, classes, copy_links(spark, classes, budget, bucket))
+    label = labelled(spark, classes.select("fp", "first"), links)
     return own.select(id_col, "fp").join(label, "fp").select(id_col, "component_id")

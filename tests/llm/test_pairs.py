@@ -347,3 +347,27 @@ def test_long_text(spark):
     df = spark.createDataFrame([(1, long), (2, "x " + long)], "doc_id long, text string")
     got = substring_dedup.passages(spark, df).collect()
     assert [(r["doc_id"], r["start"], r["end"], r["n_words"]) for r in got] == [(2, 2, len(long) + 2, 60_000)]
+
+
+@pytest.mark.parametrize("rows", (1 << 20, 1 << 24, 1 << 30))
+def test_near_copies_are_verified_at_any_size(spark, monkeypatch, rows):
+    """With the blocks of tables of three sizes: nothing below 0.8 is a near copy, and of pairs at 0.8 or more nine in ten are, of those from 0.85 all."""
+    rng = random.Random(11)
+    sets = lambda words: {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+    texts, alike = [], []
+    for _ in range(350):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        other = list(words)
+        for _ in range(rng.randint(1, 11)):
+            other[rng.randrange(200)] = f"x{rng.randrange(10**6)}"
+        texts += [" ".join(words), " ".join(other)]
+        a, b = sets(words), sets(other)
+        alike.append(len(a & b) / len(a | b))
+    real = simhash.block_size
+    monkeypatch.setattr(simhash, "block_size", lambda n: real(rows))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(spark, df).collect()}
+    linked = [got[2 * p + 1] == 2 * p for p in range(350)]
+    assert not any(x for x, j in zip(linked, alike) if j < 0.8)
+    near, sure = [x for x, j in zip(linked, alike) if j >= 0.8], [x for x, j in zip(linked, alike) if j >= 0.85]
+    assert len(near) > 120 and sum(near) >= 0.9 * len(near) and sum(sure) >= 0.99 * len(sure)
