@@ -153,16 +153,50 @@ def figures(texts: DataFrame, store: DataFrame, assigned: DataFrame, vision: Dat
     return assembly.figure_directives(texts, "chapter_id", "text").join(lists, "chapter_id", "left").withColumn("frame_ids", F.coalesce("frame_ids", F.array().cast("array<string>")))
 
 
-def manuscript(parts: DataFrame, title: Column, author: Column, date: Column) -> DataFrame:
-    """One text: a metadata block, then chapters and, after a mark, appendices (kind, pos, text: null where a part is missing) in order."""
+#: What a model answers with for a figure.
+DRAWING = "mode string, code string, caption string, rationale string"
+
+
+def drawn_figures(asked: DataFrame, make: Model, images: int = 2, tries: int = 10, wait: Wait = providers.backoff) -> DataFrame:
+    """Each figure of `figures` as a model draws it: chapter_id, number, mode, code, caption, rationale, artifact_path, images.
+
+    A model gets the description, the diagrams that may help, and the first `images` of their frames. Code for mermaid or
+    tikz has a file of its own; all else embeds the first frame, if there is one. An answer that is no JSON embeds it too,
+    with the description as caption and parse_error as rationale.
+    """
+    listed = F.when(F.size("frame_ids") > 0, F.concat(F.lit("\n## Diagrams\n"), F.array_join("frame_ids", "\n"))).otherwise("")
+    shown = F.slice("frame_ids", 1, images)
+    prompts = asked.withColumn("prompt", F.concat(F.lit("## FIGURE\n"), "description", listed)).withColumn("images", shown)
+    parsed = providers.parsed_json(providers.answers(prompts, "prompt", make, tries=tries, wait=wait), "answer", DRAWING)
+    base = F.concat("chapter_id", F.lit("_fig"), F.lpad(F.col("number").cast("string"), 2, "0"))
+    failed = F.coalesce("parse_error", F.lit(True))
+    mode, code = F.when(failed, "embed").otherwise(F.col("parsed.mode")), F.when(~failed, F.col("parsed.code"))
+    made = lambda kind: (mode == kind) & (F.coalesce(code, F.lit("")) != "")
+    path = F.when(made("mermaid"), F.concat(F.lit("generated/"), base, F.lit(".mmd"))).when(made("tikz"), F.concat(F.lit("generated/"), base, F.lit(".tex"))).when(F.size("frame_ids") > 0, F.concat(F.lit("embedded/"), base, F.lit(".jpg")))
+    return parsed.select("chapter_id", "number", mode.alias("mode"), code.alias("code"), F.when(failed, F.col("description")).otherwise(F.col("parsed.caption")).alias("caption"), F.when(failed, "parse_error").otherwise(F.col("parsed.rationale")).alias("rationale"), path.alias("artifact_path"), "images")
+
+
+def polished(texts: DataFrame, payloads: DataFrame, make: Model, tries: int = 10, wait: Wait = providers.backoff) -> DataFrame:
+    """Verified chapters (chapter_id, text) after a copy-editing model, which also gets the chapter's claims (payloads: chapter_id, text); a fence around its answer goes. A failed call keeps the verified text."""
+    given = payloads.select("chapter_id", F.col("text").alias("_claims"))
+    prompts = texts.join(given, "chapter_id", "left").withColumn("prompt", F.concat(F.coalesce("_claims", F.lit("")), F.lit("\n\n## Chapter to polish\n\n"), "text")).drop("_claims")
+    out = providers.answers(prompts, "prompt", make, tries=tries, wait=wait)
+    return out.withColumn("polished", F.coalesce(T.strip_markdown_fence(F.col("answer")), "text")).select("chapter_id", "text", "polished", "error")
+
+
+def manuscript(parts: DataFrame, title: Column, author: Column, date: Column, by: tuple[str, ...] = ()) -> DataFrame:
+    """One text, or one for each value of by: a metadata block, then chapters and, after a mark, appendices (kind, pos, text: null where a part is missing) in order.
+
+    The columns of by may stand in title, author and date. A manuscript is as long as its outline: its parts meet in one row.
+    """
     ready = parts.where("text IS NOT NULL").withColumn("text", assembly.manuscript_part(F.col("text"))).withColumn("appendix", F.col("kind") == "appendix")
-    number = F.row_number().over(Window.partitionBy("appendix").orderBy("pos"))
+    number = F.row_number().over(Window.partitionBy(*by, "appendix").orderBy("pos"))
     marked = ready.withColumn("_n", number).withColumn("text", F.when(F.col("appendix") & (F.col("_n") == 1), F.concat(F.lit("\\appendix\n\n"), F.col("text"))).otherwise(F.col("text")))
     order = F.struct("appendix", "pos").alias("o")
-    whole = marked.groupBy().agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, F.col("text").alias("t")))), lambda x: x["t"]), "\n\n").alias("body"))
+    whole = marked.groupBy(*by).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, F.col("text").alias("t")))), lambda x: x["t"]), "\n\n").alias("body"))
     quoted = lambda c: F.to_json(F.array(c)).substr(F.lit(2), F.length(F.to_json(F.array(c))) - 2)
     head = F.concat(F.lit("---\ntitle: "), quoted(title), F.lit("\nauthor: "), quoted(author), F.lit("\ndate: "), quoted(date), F.lit("\n---\n\n"))
-    return whole.select(F.concat(head, "body", F.lit("\n")).alias("text"))
+    return whole.select(*by, F.concat(head, "body", F.lit("\n")).alias("text"))
 
 
 def selected(store: DataFrame, topic: str, cap: int = 80) -> DataFrame:

@@ -29,5 +29,5 @@ def query(sql: str | None = None) -> Callable:
     return add
 
 
-for _name in ("store", "grounding", "timeline", "similarity", "reporting", "texts", "streams", "markup", "storage"):
+for _name in ("store", "grounding", "timeline", "similarity", "reporting", "texts", "streams", "markup", "storage", "workflow"):
     importlib.import_module(f"attesta.plans.{_name}")
