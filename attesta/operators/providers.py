@@ -18,6 +18,11 @@ def backoff(n: int) -> float:
     return min(120.0, 4.0 * 2**n)
 
 
+def at_once(n: int) -> float:
+    """No wait: for models made by rule; give `backoff` for a service."""
+    return 0.0
+
+
 def answers(rows: DataFrame, prompt_col: str, make: Callable[[], Callable[[str], str]], out_col: str = "answer", tries: int = 10, wait: Callable[[int], float] = backoff) -> DataFrame:
     """Ask a provider for every row's prompt. A call that fails is tried again after a growing wait; after the last try answer is null and error says why."""
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", `{out_col}` string, error string"

@@ -28,7 +28,7 @@ OUTLINE = "chapters array<struct<id:string,title:string,claim_ids:array<bigint>>
 FRAME = "category string, skip boolean, title string, extracted_text string"
 
 
-def ask_within_budget(rows: DataFrame, prompt_col: str, make: Model, log: DataFrame, stage: str, price: float, ceiling: float, tries: int = 10, wait: Wait = providers.backoff) -> tuple[DataFrame, DataFrame]:
+def ask_within_budget(rows: DataFrame, prompt_col: str, make: Model, log: DataFrame, stage: str, price: float, ceiling: float, tries: int = 10, wait: Wait = providers.at_once) -> tuple[DataFrame, DataFrame]:
     """Answers of a model to rows (id, prompt), and the log with what they cost. Rows that the budget does not allow are not asked: their error says so.
 
     What a prompt will cost is estimated from its length before any call; prompts are admitted in order of id (unique)
@@ -45,7 +45,7 @@ def ask_within_budget(rows: DataFrame, prompt_col: str, make: Model, log: DataFr
     return asked.unionByName(refused).drop("_usd"), log.select("stage", "usd").unionByName(used)
 
 
-def describe_frames(frames: DataFrame, done: DataFrame, make: Model, tries: int = 10, wait: Wait = providers.backoff) -> DataFrame:
+def describe_frames(frames: DataFrame, done: DataFrame, make: Model, tries: int = 10, wait: Wait = providers.at_once) -> DataFrame:
     """Descriptions of the frames (frame_id, video_id, timestamp_sec, prompt) that have none yet.
 
     A frame whose call fails has no row and is tried again in the next run; one whose answer is no JSON is kept as
@@ -87,7 +87,7 @@ def segment(videos: DataFrame, segments: DataFrame, embed: Callable | None, wind
     return both.groupBy("topic_id", "video_id", "title").agg(F.min("ts_start").alias("ts_start"), F.max("ts_end").alias("ts_end"), ids.alias("segment_ids"), F.sum(T.words(F.col("text"))).alias("n_words"))
 
 
-def extract_claims(topics: DataFrame, store: DataFrame, make: Model, least: float = 0.7, tries: int = 10, wait: Wait = providers.backoff) -> DataFrame:
+def extract_claims(topics: DataFrame, store: DataFrame, make: Model, least: float = 0.7, tries: int = 10, wait: Wait = providers.at_once) -> DataFrame:
     """The store with the claims that a model finds in the topics (video_id, ts_start, ts_end, title, segments) of videos it has none of.
 
     An answer that is no list gives no claim. Claims of little confidence are dropped, missing fields are filled in,
@@ -105,7 +105,7 @@ def extract_claims(topics: DataFrame, store: DataFrame, make: Model, least: floa
     return claims.add(store, full.withColumn("extra", extra).withColumn("id", F.lit(None).cast("bigint")).select(store.columns), ["video_id", "ts_start", "content"])
 
 
-def outline(store: DataFrame, ranks: DataFrame, assigned: DataFrame, make: Model, tries: int = 10, wait: Wait = providers.backoff) -> tuple[DataFrame, DataFrame, DataFrame]:
+def outline(store: DataFrame, ranks: DataFrame, assigned: DataFrame, make: Model, tries: int = 10, wait: Wait = providers.at_once) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The chapters that a model plans over the current claims, the assignments with theirs, and the supersession applied.
 
     store: id, type, content, video_id, ts_start, embedding. The prompt has a line for every current claim; a claim
@@ -122,7 +122,7 @@ def outline(store: DataFrame, ranks: DataFrame, assigned: DataFrame, make: Model
     return chapters, claims.insert_or_ignore(assigned, given, ["chapter_id", "claim_id"]), applied
 
 
-def draft_chapters(chapters: DataFrame, store: DataFrame, assigned: DataFrame, make: Model, judge: Callable[[DataFrame], DataFrame] | None = None, tries: int = 10, wait: Wait = providers.backoff) -> dict[str, DataFrame]:
+def draft_chapters(chapters: DataFrame, store: DataFrame, assigned: DataFrame, make: Model, judge: Callable[[DataFrame], DataFrame] | None = None, tries: int = 10, wait: Wait = providers.at_once) -> dict[str, DataFrame]:
     """Chapters (chapter_id, title) written by a model from their claims, verified against them, and cleaned.
 
     Gives sentences (with status, reason, demoted), summaries (five statuses a chapter), texts (without the sentences
@@ -157,7 +157,7 @@ def figures(texts: DataFrame, store: DataFrame, assigned: DataFrame, vision: Dat
 DRAWING = "mode string, code string, caption string, rationale string"
 
 
-def drawn_figures(asked: DataFrame, make: Model, images: int = 2, tries: int = 10, wait: Wait = providers.backoff) -> DataFrame:
+def drawn_figures(asked: DataFrame, make: Model, images: int = 2, tries: int = 10, wait: Wait = providers.at_once) -> DataFrame:
     """Each figure of `figures` as a model draws it: chapter_id, number, mode, code, caption, rationale, artifact_path, images.
 
     A model gets the description, the diagrams that may help, and the first `images` of their frames. Code for mermaid or
@@ -176,7 +176,7 @@ def drawn_figures(asked: DataFrame, make: Model, images: int = 2, tries: int = 1
     return parsed.select("chapter_id", "number", mode.alias("mode"), code.alias("code"), F.when(failed, F.col("description")).otherwise(F.col("parsed.caption")).alias("caption"), F.when(failed, "parse_error").otherwise(F.col("parsed.rationale")).alias("rationale"), path.alias("artifact_path"), "images")
 
 
-def polished(texts: DataFrame, payloads: DataFrame, make: Model, tries: int = 10, wait: Wait = providers.backoff) -> DataFrame:
+def polished(texts: DataFrame, payloads: DataFrame, make: Model, tries: int = 10, wait: Wait = providers.at_once) -> DataFrame:
     """Verified chapters (chapter_id, text) after a copy-editing model, which also gets the chapter's claims (payloads: chapter_id, text); a fence around its answer goes. A failed call keeps the verified text."""
     given = payloads.select("chapter_id", F.col("text").alias("_claims"))
     prompts = texts.join(given, "chapter_id", "left").withColumn("prompt", F.concat(F.coalesce("_claims", F.lit("")), F.lit("\n\n## Chapter to polish\n\n"), "text")).drop("_claims")
