@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
 import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from attesta.llm import components, embedding_dedup, simhash, substring_dedup
@@ -293,6 +295,61 @@ def test_fragments_in_earlier_documents(spark):
         assert got == [(4, 3, " ".join(passage)), (5, 3, " ".join(passage))]
 
 
+@pytest.mark.parametrize("size", [42, 48, 50, 60])
+def test_overlapping_fragments_in_earlier_documents(spark, size):
+    """Fragments under 40 words that overlap hold every seed and span of a passage: its later copies are found all the same."""
+    rng = random.Random(size)
+    rows, want = [], {}
+    for case in range(20):
+        passage, n = prose(rng, size), 4 * case
+        a = rng.randrange(size - 39 + 8, 40)
+        parts = [passage[:a], passage[-rng.randrange(size - a + 6, 40) :], passage, passage]
+        rows += [(n + i, " ".join(prose(rng, 30) + p + prose(rng, 30))) for i, p in enumerate(parts)]
+        want[n + 3] = (n + 2, " ".join(passage))
+    texts = dict(rows)
+    got = substring_dedup.passages(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: (r["source_id"], texts[r["doc_id"]][r["start"] : r["end"]]) for r in got} == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_no_equal_stretch_is_lost(spark, seed):
+    """Against brute force: every 40 words that an earlier document holds lie within a passage, on texts cut from few pieces."""
+    rng = random.Random(100 + seed)
+    pool = prose(rng, 500)
+    rows = []
+    for n in range(60):
+        words = []
+        for _ in range(rng.randrange(1, 8)):
+            at = rng.randrange(450)
+            words += pool[at : at + rng.choice([5, 15, 30, 39, 40, 41, 55, 90])] + prose(rng, rng.choice([0, 1, 2, 20]))
+        rows.append((n, rng.choice([" ", "  ", "\n"]).join(words)))
+    rows += [(60, None), (61, ""), (62, "x " * 39), (63, rows[5][1])]
+    seen, want = {}, []
+    for n, text in rows:
+        found = [(m.start(), m.end(), m.group().lower()) for m in re.finditer(r"[^ \t-\r]+", text or "")]
+        windows = [(found[i][0], found[i + 39][1], tuple(w for _, _, w in found[i : i + 40])) for i in range(len(found) - 39)]
+        want += [(n, s, e) for s, e, w in windows if seen.get(w, n) < n]
+        for *_, w in windows:
+            seen.setdefault(w, n)
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("start", F.lit(1)).withColumn("anchor", F.lit(1))
+    got = substring_dedup.passages(spark, df).collect()
+    assert len(want) > 1000
+    assert not [w for w in want if not any(r["doc_id"] == w[0] and r["start"] <= w[1] and r["end"] >= w[2] for r in got)]
+    assert all(r["identity"] >= 0.8 and r["n_words"] >= 40 and r["source_id"] < r["doc_id"] for r in got)
+
+
+def test_cells():
+    """Each window of a text is in a cell; cells that texts share whole are equal."""
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 2**63, 400).astype(np.uint64)
+    first, last, anchor, cell = substring_dedup.cut_cells(words, 40)
+    assert first[0] == 0 and last[-1] == 400 and (last[:-1] - 39 == first[1:]).all()
+    again = substring_dedup.cut_cells(np.concatenate([words[300:], words]), 40)
+    assert set(cell[1:]) <= set(again[3]) and set(anchor) <= set(again[2])  # the first has more windows before it now
+    assert all(len(c) == 0 for c in substring_dedup.cut_cells(words[:39], 40))
+    assert len(substring_dedup.cut_cells(np.resize(words[:3], 500), 40)[0]) == 3
+
+
 def edited(rng, passage, rate):
     """The passage with words changed, left out or put in, and where its first and last equal words lie in either version."""
     out, equal = [], []
