@@ -347,7 +347,7 @@ def test_cells():
     again = substring_dedup.cut_cells(np.concatenate([words[300:], words]), 40)
     assert set(cell[1:]) <= set(again[3]) and set(anchor) <= set(again[2])  # the first has more windows before it now
     assert all(len(c) == 0 for c in substring_dedup.cut_cells(words[:39], 40))
-    assert len(substring_dedup.cut_cells(np.resize(words[:3], 500), 40)[0]) == 3
+    assert len(substring_dedup.cut_cells(np.resize(words[:3], 500), 40)[0]) <= 4  # a cycle has few different cells
 
 
 def edited(rng, passage, rate):
