@@ -19,6 +19,7 @@ Two ways to deal:
 from __future__ import annotations
 
 import functools
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +36,8 @@ SHINGLE, BITS, BUDGET, SEED = 3, 64, 2, 42
 COPY_SHINGLE, COPY_BITS, COPY_BUDGET = 5, 256, 48
 #: Closer budgets whose links are candidates as well, and the similarity that verified links have.
 COPY_CLOSER, COPY_LEAST = (30, 40), 0.8
-#: Links of a fingerprint that are given to be verified, of those found at a time.
-FEW = 4
+#: Candidates of a fingerprint in the first round that takes all; later rounds take the rest.
+FEW = 1024
 #: Distinct fingerprints of one bucket that one task joins; larger buckets are dealt again.
 BUCKET = 2048
 #: Fingerprints that are joined at a time, and node pairs of the walk that are held at a time.
@@ -182,57 +183,125 @@ def trie_join(values: np.ndarray, bounds: np.ndarray, budget: int = BUDGET, fron
     return tuple(np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
 
 
-def bucket_links(batches: Iterator[pa.RecordBatch], budget: int, closer: tuple[int, ...] = ()) -> Iterator[pa.RecordBatch]:
-    """Links a, b of fingerprints of one bucket, from batches (key, fp) sorted by key; fp is a long or a binary of longs.
-
-    Whole buckets are joined, many at a time; they give a spanning forest of their links: enough for components, and
-    never more rows than the bucket has. A row of the forest names a component by its first fingerprint, which need not
-    be near itself. With closer budgets, for those who verify links, only pairs that are within a budget are given, a
-    few for each fingerprint and budget.
-    """
-    keys_held, fps_held, size, kind = [], [], 0, pa.int64()
-
-    def joined(keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
-        same = keys[1:] == keys[:-1]
-        some = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        keys, fps = keys[some], fps[some]
-        group = np.cumsum(np.concatenate([[0], keys[1:] != keys[:-1]])) if len(keys) else keys
-        order = np.lexsort((*fps.T[::-1], group))
-        group, fps = group[order], fps[order]
-        new = np.ones(len(group), bool)
-        new[1:] = (group[1:] != group[:-1]) | (fps[1:] != fps[:-1]).any(1)
-        group, fps = group[new], fps[new]
-        bounds = np.concatenate([np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])), [len(group)]]) if len(group) else np.zeros(1, np.int64)
-        found = [np.zeros((2, 0), np.int64)]
-        for most in (*closer, budget):
-            forest = Forest(len(group))
-            for i, j in trie_pairs(fps, bounds, most, FRONTIER, forest):
-                if closer:
-                    some = (nth(i) < FEW) | (nth(j) < FEW)
-                    found.append(np.stack([i[some], j[some]]))
-                forest.link(i, j)
-        if closer:
-            far, near = np.unique(np.concatenate(found, 1), axis=1)
-        else:
-            far = np.flatnonzero(forest.parent != np.arange(len(group)))
-            near = forest.parent[far]
-        return pa.RecordBatch.from_arrays([written(fps[far], kind), written(fps[near], kind)], ["a", "b"])
-
+def whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Columns (key, then fingerprints as rows of uint64) of batches sorted by key, some BATCH rows at a time, keys whole."""
+    held, size = [], 0
     for b in batches:
         if not b.num_rows:
             continue
-        kind = b.column(1).type
-        keys_held.append(b.column(0).to_numpy())
-        fps_held.append(words_of(b.column(1)))
+        held.append([b.column(0).to_numpy(), *map(words_of, b.columns[1:])])
         size += b.num_rows
         if size >= BATCH:
-            keys, fps = np.concatenate(keys_held), np.concatenate(fps_held)
+            columns = [np.concatenate(c) for c in zip(*held)]
+            keys = columns[0]
             cut = len(keys) - int(np.argmax(keys[::-1] != keys[-1])) if keys[0] != keys[-1] else 0
             if cut:
-                yield joined(keys[:cut], fps[:cut])
-            keys_held, fps_held, size = [keys[cut:]], [fps[cut:]], len(keys) - cut
+                yield [c[:cut] for c in columns]
+            held, size = [[c[cut:] for c in columns]], len(keys) - cut
     if size:
-        yield joined(np.concatenate(keys_held), np.concatenate(fps_held))
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
+def in_groups(keys: np.ndarray, fps: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct fingerprints of keys with two rows or more, sorted within each: group (from 0), bounds, key, fps and further columns."""
+    same = keys[1:] == keys[:-1]
+    some = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    keys, fps, more = keys[some], fps[some], [m[some] for m in more]
+    group = np.cumsum(np.concatenate([[0], keys[1:] != keys[:-1]])) if len(keys) else keys
+    order = np.lexsort((*fps.T[::-1], group))
+    group, keys, fps, more = group[order], keys[order], fps[order], [m[order] for m in more]
+    new = np.ones(len(group), bool)
+    new[1:] = (group[1:] != group[:-1]) | (fps[1:] != fps[:-1]).any(1)
+    group, keys, fps, more = group[new], keys[new], fps[new], [m[new] for m in more]
+    bounds = np.concatenate([np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])), [len(group)]]) if len(group) else np.zeros(1, np.int64)
+    return group, bounds, keys, fps, *more
+
+
+def bucket_links(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
+    """Links a, b of fingerprints of one bucket, from batches (key, fp) sorted by key; fp is a long or a binary of longs.
+
+    Whole buckets are joined, many at a time; they give a spanning forest of their links: enough for components, and
+    never more rows than the bucket has. A row of the forest names a component by its first fingerprint, which need not
+    be near itself.
+    """
+    first, batches = _peek(batches)
+    if first is None:
+        return
+    kind = first.column(1).type
+    for columns in whole_keys(batches):
+        group, bounds, _, fps = in_groups(*columns)
+        forest = Forest(len(group))
+        for i, j in trie_pairs(fps, bounds, budget, FRONTIER, forest):
+            forest.link(i, j)
+        far = np.flatnonzero(forest.parent != np.arange(len(group)))
+        yield pa.RecordBatch.from_arrays([written(fps[far], kind), written(fps[forest.parent[far]], kind)], ["a", "b"])
+
+
+def _peek(batches: Iterator[pa.RecordBatch]) -> tuple[pa.RecordBatch | None, Iterator[pa.RecordBatch]]:
+    batches = iter(batches)
+    first = next(batches, None)
+    return first, itertools.chain([] if first is None else [first], batches)
+
+
+def first_met(a: np.ndarray, b: np.ndarray, turned_a: np.ndarray, turned_b: np.ndarray, root: np.ndarray, block: int) -> np.ndarray:
+    """Whether a pair of fingerprints has no bucket (block and value: root) before this one in which both are: of those of their first block, the one with fewest ones."""
+    flat = lambda x: np.unpackbits(x.astype(">u8").view(np.uint8).reshape(len(x), -1), axis=1)
+    number = 64 * a.shape[1] // block
+    differ = flat((a ^ b) & ~(turned_a | turned_b))[:, : number * block].reshape(len(a), number, block).any(2)
+    at = root >> block
+    free = flat(turned_a & turned_b)[:, : number * block].reshape(len(a), number, block)[np.arange(len(a)), at]
+    ones = (root[:, None] >> np.arange(block)) & 1
+    return (differ.argmin(1) == at) & ~(free & ones).any(1)
+
+
+def open_links(batches: Iterator[pa.RecordBatch], budgets: tuple[int, ...], few: int, block: int | None) -> Iterator[pa.RecordBatch]:
+    """Candidates key, a, b of fingerprints of one bucket, from batches (key, fp, component, turned, root) sorted by key.
+
+    Pairs of one component are settled and passed over. Without a block's size, the pairs that are found link the two
+    ends for the rest of the walk, so that a dense bucket gives few for each fingerprint. With it, every open pair is a
+    candidate of the first bucket that has it, but those of which both ends had `few` already; a bucket in which such
+    pairs are left has a row with null a and b.
+    """
+    for columns in whole_keys(batches):
+        group, bounds, keys, fps, comps, turned, roots = in_groups(*columns)
+        roots = roots[:, 0].astype(np.int64)
+        n = len(group)
+        order = np.lexsort((*comps.T[::-1], group))
+        new = np.ones(n, bool)
+        new[1:] = (group[order[1:]] != group[order[:-1]]) | (comps[order[1:]] != comps[order[:-1]]).any(1)
+        first = order[np.maximum.accumulate(np.where(new, np.arange(n), 0))] if n else order
+        known = order != first
+        used, left, found, size = np.zeros(n, np.int64), np.zeros(n, bool), [], 0
+
+        def out() -> pa.RecordBatch:
+            i, j = np.unique(np.concatenate(found, 1), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(keys[i]), written(fps[i], pa.binary()), written(fps[j], pa.binary())], ["key", "a", "b"])
+
+        for most in budgets:
+            forest = Forest(n)
+            if known.any():
+                forest.link(order[known], first[known])
+            for i, j in trie_pairs(fps, bounds, most, FRONTIER, forest):
+                if block:
+                    own = np.concatenate([first_met(fps[x], fps[y], turned[x], turned[y], roots[x], block) for x, y in ((i[at : at + BATCH], j[at : at + BATCH]) for at in range(0, len(i), BATCH))])
+                    i, j = i[own], j[own]
+                place = nth(np.concatenate([i, j])).reshape(2, -1)
+                some = ((used[i] + place[0]) < few) | ((used[j] + place[1]) < few)
+                if block:
+                    used += np.bincount(i, minlength=n) + np.bincount(j, minlength=n)
+                    left[bounds[group[i[~some]]]] = True
+                else:
+                    forest.link(i, j)
+                found.append(np.stack([i[some], j[some]]))
+                size += int(some.sum())
+                if size >= BATCH:
+                    yield out()
+                    found, size = [], 0
+        if size:
+            yield out()
+        again = keys[left]
+        none = pa.nulls(len(again), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(again), none, none], ["key", "a", "b"])
 
 
 def nth(values: np.ndarray) -> np.ndarray:
@@ -346,7 +415,7 @@ def block_size(rows: int) -> tuple[int, int]:
 
 
 def copy_prints(docs: DataFrame, id_col: str, text_col: str, block: int, turned: int, shingle: int = COPY_SHINGLE, bits: int = COPY_BITS) -> DataFrame:
-    """id, fp (binary) and keys (of the buckets) of every whole text, by its distinct shingles; fewer words are one shingle."""
+    """id, fp (binary), turned (mask of the bits turned over) and keys (of the buckets: block and value) of every whole text, by its distinct shingles; fewer words are one shingle."""
     kind = docs.schema[id_col].dataType.simpleString()
     number = bits // block
     place = np.uint64(1) << np.arange(block, dtype=np.uint64)
@@ -356,34 +425,79 @@ def copy_prints(docs: DataFrame, id_col: str, text_col: str, block: int, turned:
         own, sure = ones[: number * block].reshape(number, block), sure[: number * block].reshape(number, block)
         value = (own * place).sum(1, dtype=np.uint64)
         flips = place[np.argsort(sure, axis=1, kind="stable")[:, :turned]] @ subsets.T.astype(np.uint64)
-        with np.errstate(over="ignore"):
-            return (((value[:, None] ^ flips) * MIX ^ np.arange(number, dtype=np.uint64)[:, None]) * MIX).view(np.int64).ravel()
+        return (value[:, None] ^ flips | np.arange(number, dtype=np.uint64)[:, None] << np.uint64(block)).view(np.int64).ravel()
+
+    def turned_of(sure: np.ndarray) -> bytes:
+        mask = np.zeros(bits, bool)
+        places = np.argsort(sure[: number * block].reshape(number, block), axis=1, kind="stable")[:, :turned]
+        mask[(places + block * np.arange(number)[:, None]).ravel()] = True
+        return np.packbits(mask).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            fps, keys = [], []
+            fps, keys, masks = [], [], []
             for text in b.column(1).to_pylist():
                 codes = shingle_codes(text, shingle)
                 ones, sure = copy_print(codes, bits)
                 fps.append(np.packbits(ones).tobytes())
                 keys.append(keys_of(ones, sure) if len(codes) else [])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], [id_col, "fp", "keys"])
+                masks.append(turned_of(sure))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.binary()), pa.array(masks, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], [id_col, "fp", "turned", "keys"])
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, fp binary, keys array<bigint>")
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, fp binary, turned binary, keys array<bigint>")
 
 
-def copy_links(spark: SparkSession, classes: DataFrame, budget: int = COPY_BUDGET, bucket: int = BUCKET) -> DataFrame:
-    """Links a, b between classes (fp, keys) that share a bucket and differ in at most `budget` bits."""
-    dealt = stage(spark, classes.select(F.explode("keys").alias("key"), "fp"), "simhash-copies-dealt")
+def dealt_again(dealt: DataFrame, spark: SparkSession, bucket: int) -> DataFrame:
+    """Rows (key, fp, component, turned) with large buckets cut into parts: every pair of parts is a bucket of its own. root: the bucket it was cut from."""
     large = stage(spark, dealt.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket), "simhash-copies-large")
-    if not large.isEmpty():
-        near = sized(large)
-        # every pair of parts of a large bucket is a bucket of its own
-        cut = dealt.join(near, "key").withColumn("parts", F.ceil(F.col("n") / (bucket // 2)).cast("long")).withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")))
-        pairs = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-        again = pairs.select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("key"), "fp")
-        dealt = dealt.join(near, "key", "left_anti").union(again)
-    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(functools.partial(bucket_links, budget=budget, closer=COPY_CLOSER), "a binary, b binary")
+    dealt = dealt.withColumn("root", F.col("key"))
+    if large.isEmpty():
+        return dealt
+    near = sized(large)
+    cut = dealt.join(near, "key").withColumn("parts", F.ceil(F.col("n") / (bucket // 2)).cast("long")).withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")))
+    pairs = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    again = pairs.select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("key"), "fp", "component", "turned", "root")
+    return dealt.join(near, "key", "left_anti").select("key", "fp", "component", "turned", "root").union(again)
+
+
+def copy_links(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, block: int, turned: int, budget: int = COPY_BUDGET, bucket: int = BUCKET) -> DataFrame:
+    """Links a, b between classes (fp, first, keys, turned) that hold and connect all that hold of the pairs which share a bucket and differ in at most `budget` bits.
+
+    Candidates come in rounds, and each is verified once. What holds makes components, whose pairs need no more
+    comparison. The first round takes the buckets of one block and the closest pairs only, which folds a large group of
+    copies; the second all buckets and pairs that are still close, some for each fingerprint; the third all buckets and
+    the whole budget, the further ones only buckets in which pairs were left, with FEW times as many pairs for a
+    fingerprint each time, until none are left in any.
+    """
+    keys = stage(spark, classes.select(F.explode("keys").alias("key"), "fp", "turned"), "simhash-copies-dealt")
+    closer = tuple(min(c, budget) for c in COPY_CLOSER)
+    settled, held, few, rounds = None, None, FEW, 0
+    while True:
+        dealt = keys if rounds else keys.where(F.col("key") < (1 << block))  # of the first block
+        if held is None:
+            dealt = dealt.select("key", "fp", F.col("fp").alias("component"), "turned")
+        else:
+            label = sized(stage(spark, connected(spark, held), "simhash-components"))
+            dealt = dealt.join(label.withColumnRenamed("node", "fp"), "fp", "left").select("key", "fp", F.coalesce("component", "fp").alias("component"), "turned")
+        dealt = dealt_again(dealt, spark, bucket)
+        spanning = rounds < 2
+        run = functools.partial(open_links, budgets=closer[: rounds + 1] if spanning else (budget,), few=1 if spanning else few, block=None if spanning else block)
+        found = stage(spark, dealt.select("key", "fp", "component", "turned", F.col("root")).repartition("key").sortWithinPartitions("key").mapInArrow(run, "key bigint, a binary, b binary"), "simhash-found")
+        pairs = found.where("a IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
+        if settled is not None:
+            pairs = pairs.join(settled, ["a", "b"], "left_anti")
+        pairs = stage(spark, pairs, "simhash-candidates")
+        holds = verified(spark, docs, id_col, text_col, classes, pairs)
+        held, settled = (holds, pairs) if held is None else (held.union(holds), settled.union(pairs))
+        if not spanning:
+            marked = found.where("a IS NULL").select("key").distinct()
+            # the buckets that the marked ones are parts of
+            left = stage(spark, dealt.join(sized(stage(spark, marked, "simhash-marked")), "key", "left_semi").select(F.col("root").alias("key")).distinct(), "simhash-left")
+            if left.isEmpty():
+                return held
+            keys = stage(spark, keys.join(sized(left), "key", "left_semi"), "simhash-copies-open")
+            few *= FEW
+        rounds += 1
 
 
 def shingle_codes(text: str | None, shingle: int = COPY_SHINGLE) -> np.ndarray:
@@ -392,14 +506,12 @@ def shingle_codes(text: str | None, shingle: int = COPY_SHINGLE) -> np.ndarray:
     return np.unique(kmers(words, min(shingle, max(1, len(words)))))
 
 
-def verified(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, found: DataFrame, least: float = COPY_LEAST) -> DataFrame:
-    """Of the links a, b found between classes (fp, first), those whose texts have a similarity of `least` or more over their distinct shingles, as a / b of equal hashes.
+def verified(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, classes: DataFrame, pairs: DataFrame, least: float = COPY_LEAST) -> DataFrame:
+    """Of distinct staged pairs a < b of classes (fp, first), those whose texts have a similarity of `least` or more over their distinct shingles, as a / b of equal hashes.
 
     One text stands for a class: that of its smallest id. Only the texts of linked classes are read again, and only
     their hashes travel. A class without an id has no text to compare and links with nothing.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    pairs = stage(spark, found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct(), "simhash-candidates")
     ends = stage(spark, pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(classes.select("fp", F.col("first").alias(id_col)), "fp"), "simhash-ends")
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -434,8 +546,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     with no other; rows with a null id get the component of their class; repeated rows share it; further columns are
     not read; an empty table gives an empty result.
     """
-    own = stage(spark, copy_prints(docs, id_col, text_col, *block_size(docs.count())), "simhash-copies")
-    classes = stage(spark, own.groupBy("fp").agg(F.min(id_col).alias("first"), F.min("keys").alias("keys")), "simhash-copy-classes")
-    links = verified(spark, docs, id_col, text_col, classes, copy_links(spark, classes, budget, bucket))
+    block, turned = block_size(docs.count())
+    own = stage(spark, copy_prints(docs, id_col, text_col, block, turned), "simhash-copies")
+    classes = stage(spark, own.groupBy("fp").agg(F.min(id_col).alias("first"), F.min(F.struct("keys", "turned")).alias("k")).select("fp", "first", "k.keys", "k.turned"), "simhash-copy-classes")
+    links = copy_links(spark, docs, id_col, text_col, classes, block, turned, budget, bucket)
     label = labelled(spark, classes.select("fp", "first"), links)
     return own.select(id_col, "fp").join(label, "fp").select(id_col, "component_id")

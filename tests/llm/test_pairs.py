@@ -428,3 +428,52 @@ def test_near_copies_are_verified_at_any_size(spark, monkeypatch, rows):
     assert not any(x for x, j in zip(linked, alike) if j < 0.8)
     near, sure = [x for x, j in zip(linked, alike) if j >= 0.8], [x for x, j in zip(linked, alike) if j >= 0.85]
     assert len(near) > 120 and sum(near) >= 0.9 * len(near) and sum(sure) >= 0.99 * len(sure)
+
+
+def test_open_links_leave_no_pair_unsaid():
+    """A bucket of texts that are near but not near enough: all its pairs become candidates, or a row says that some are left."""
+    rng = np.random.default_rng(5)
+    center, fps = rng.integers(0, 2, 256), set()
+    while len(fps) < 64:
+        own = center.copy()
+        own[rng.choice(256, rng.integers(15, 26), replace=False)] ^= 1
+        fps.add(np.packbits(own).tobytes())
+    fps = sorted(fps)
+    n, whole, links = len(fps), b"\xff" * 32, {}
+    near = {(a, b) for a, b in itertools.combinations(fps, 2) if (int.from_bytes(a, "big") ^ int.from_bytes(b, "big")).bit_count() <= 48}
+    for name, few, comps in (("all", 1 << 20, fps), ("capped", 2, fps), ("known", 1 << 20, [fps[0]] * (n // 2) + fps[n // 2 :])):
+        columns = [pa.array(np.zeros(n, np.int64)), pa.array(fps, pa.binary()), pa.array(comps, pa.binary()), pa.array([whole] * n, pa.binary()), pa.array(np.zeros(n, np.int64))]
+        rows = [r for b in simhash.open_links(iter([pa.RecordBatch.from_arrays(columns, ["key", "fp", "component", "turned", "root"])]), (48,), few, 20) for r in b.to_pylist()]
+        links[name] = [(r["a"], r["b"]) for r in rows if r["a"] is not None], any(r["a"] is None for r in rows)
+    assert len(near) > 1000 and sorted(links["all"][0]) == sorted(near) and not links["all"][1]
+    assert set(links["capped"][0]) < near and links["capped"][1]
+    assert set(links["known"][0]) == {(a, b) for a, b in near if b >= fps[n // 2]} and not links["known"][1]
+
+
+def test_a_pair_is_met_once():
+    """Of the buckets that two fingerprints share, one is the first."""
+    rng = np.random.default_rng(6)
+    place = lambda ones: sum(1 << i for i in np.flatnonzero(ones).tolist())
+    words = lambda ones: np.packbits(ones).view(">u8").astype(np.uint64)[None]
+    met = 0
+    for _ in range(60):
+        a = rng.integers(0, 2, 256).astype(np.uint8)
+        b = a.copy()
+        b[rng.choice(256, 8, replace=False)] ^= 1
+        masks, keys = [], []
+        for x in (a, b):
+            mask, own = np.zeros(256, np.uint8), set()
+            for k in range(12):
+                turned = 20 * k + rng.choice(20, 2, replace=False)
+                mask[turned] = 1
+                for flips in ((0, 0), (0, 1), (1, 0), (1, 1)):
+                    y = x.copy()
+                    y[turned] ^= np.array(flips, np.uint8)
+                    own.add(place(y[20 * k : 20 * k + 20]) | k << 20)
+            masks.append(mask)
+            keys.append(own)
+        shared = sorted(keys[0] & keys[1])
+        first = [simhash.first_met(words(a), words(b), words(masks[0]), words(masks[1]), np.array([k]), 20)[0] for k in shared]
+        assert sum(first) == min(1, len(shared))
+        met += len(shared) > 1
+    assert met > 30
