@@ -195,6 +195,23 @@ def test_alike_sets(spark):
         assert {(r["a"], r["b"]) for r in L.alike_sets(df, "id", "g", "s", least).collect()} == want
 
 
+def test_alike_sets_compare_equal_sets_once(spark, monkeypatch):
+    """40 copies of each of 30 sets: all pairs are found, but only those of different sets go through the comparison."""
+    staged, seen = L.staged, {}
+
+    def counting(df, name):
+        out = staged(df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(L, "staged", counting)
+    base = [[f"e{k}" for k in range(100 * (i // 2), 100 * (i // 2) + 20 + i % 2)] for i in range(30)]
+    rows = [(i, "g", list(reversed(b)) if i % 3 else b) for i, b in enumerate(base * 40)]
+    got = {(r["a"], r["b"]) for r in L.alike_sets(spark.createDataFrame(rows, "id long, g string, s array<string>"), "id", "g", "s", 0.75).collect()}
+    assert got == {(a, b) for a in range(1200) for b in range(a + 1, 1200) if a % 30 // 2 == b % 30 // 2}
+    assert seen["alike-coded"] == 30 and seen["alike-pairs"] == 15
+
+
 def test_alike_sets_read_their_rows_once(spark, tmp_path):
     spark.createDataFrame([(1, "g", "a b c"), (2, "g", "a b c d")], "id long, g string, t string").write.parquet(str(tmp_path / "once"))
     rows = spark.read.parquet(str(tmp_path / "once")).select("id", "g", F.split("t", " ").alias("s"))
