@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Columns of the claim store's tables.
 CLAIMS = "id bigint, type string, content string, video_id string, ts_start double, ts_end double, frame_ids array<string>, confidence double, source_hash string, extra struct<superseded_by:bigint,supersession_reasons:array<string>,code_check:struct<parseable:boolean,language:string,reason:string>>"
@@ -46,4 +47,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet in the shared folder and read back: all that reads it sees the same rows, and a lost executor costs a re-read."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def unstaged(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.staged_path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def counted(ids: DataFrame, limit: int = 32 << 20) -> DataFrame:
+    """The distinct rows of one column of numbers, staged and marked for broadcast if they take no more than limit bytes in memory; beyond it a join shuffles both sides."""
+    own = staged(ids.distinct(), "counted-ids")
+    return F.broadcast(own) if own.count() * 24 <= limit else own
