@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm.common import MIX, UPPER, hashed_words, kmers, sized, slices, stage
+from attesta.llm.common import LONG_ROWS, MIX, UPPER, batches_of, hashed_words, kmers, sized, slices, stage
 from attesta.llm.components import connected
 
 SHINGLE, BITS, BUDGET, SEED = 3, 64, 2, 42
@@ -522,7 +522,8 @@ def verified(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, c
 
     own = docs.select(F.col(id_col), F.col(text_col)).join(sized(ends.select(id_col).distinct()), id_col, "left_semi")
     # rows that repeat an id may have other texts: the fingerprint says whose codes they are
-    codes = stage(spark, own.mapInArrow(coded, "fp binary, codes binary").dropDuplicates(["fp"]), "simhash-codes")
+    with batches_of(spark, LONG_ROWS):
+        codes = stage(spark, own.mapInArrow(coded, "fp binary, codes binary").dropDuplicates(["fp"]), "simhash-codes")
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -534,7 +535,8 @@ def verified(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str, c
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(codes.select(F.col("fp").alias("a"), F.col("codes").alias("x")), "a").join(codes.select(F.col("fp").alias("b"), F.col("codes").alias("y")), "b")
-    return stage(spark, both.select("a", "b", "x", "y").mapInArrow(alike, "a binary, b binary"), "simhash-alike")
+    with batches_of(spark, LONG_ROWS):
+        return stage(spark, both.select("a", "b", "x", "y").mapInArrow(alike, "a binary, b binary"), "simhash-alike")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", budget: int = COPY_BUDGET, bucket: int = BUCKET) -> DataFrame:
@@ -547,7 +549,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     not read; an empty table gives an empty result.
     """
     block, turned = block_size(docs.count())
-    own = stage(spark, copy_prints(docs, id_col, text_col, block, turned), "simhash-copies")
+    with batches_of(spark, LONG_ROWS):
+        own = stage(spark, copy_prints(docs, id_col, text_col, block, turned), "simhash-copies")
     classes = stage(spark, own.groupBy("fp").agg(F.min(id_col).alias("first"), F.min(F.struct("keys", "turned")).alias("k")).select("fp", "first", "k.keys", "k.turned"), "simhash-copy-classes")
     links = copy_links(spark, docs, id_col, text_col, classes, block, turned, budget, bucket)
     label = labelled(spark, classes.select("fp", "first"), links)
