@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from attesta.llm import common, simhash
 
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -37,3 +38,25 @@ def test_batches_of(spark):
         assert max(r["n"] for r in spark.range(100).mapInArrow(sizes, "n long").collect()) == 7
         raise ValueError
     assert spark.conf.get(ROWS) == before
+
+
+def test_stages_bound_the_bytes(spark):
+    """A stage's result runs after the stage has returned, and its long texts still go to Python some at a time."""
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        text = "word " * 100_000
+        docs = spark.createDataFrame([(i, text, "en", "s", len(text)) for i in range(24)], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+        rows = corpus_pipeline.personal_data(spark, docs, "").mapInArrow(sizes, "n long, bytes long").collect()
+        assert sum(r["n"] for r in rows) == 24
+        assert max(r["bytes"] for r in rows) < common.BATCH_BYTES + len(text)
+        spark.conf.set(key, "1m")
+        common.bounded_batches(spark)
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
