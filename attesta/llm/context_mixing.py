@@ -1,10 +1,13 @@
 """Language-model scores by online logistic context mixing.
 
 A text is the sequence of its lower-cased words, each spelled in bytes with a closing space, and an end mark. Every
-bit of a byte is predicted from several contexts (the last bytes of the word, its whole beginning), each hashed into a
-table of counts of zeros and ones; the tables are summed over all training words. The predictions are combined in the
-logistic domain with weights chosen by a gate: how often the word's beginning has been seen. The weights are learned
-online, each word predicted with its own occurrence taken out of the counts and then learned from. Within a document
+bit of a byte is predicted from several contexts (the last bytes of the word, its whole beginning, and that beginning
+after the word before it), each hashed into a table of counts of zeros and ones; the tables are summed over the running
+training texts. The predictions are combined in the logistic domain by two layers: contexts within the word with weights
+chosen by how often the word's beginning has been seen, and their sum with the context across words, with weights chosen
+by how often that has been seen. The weights are learned online, each word predicted with its own occurrence taken out of
+the counts and then learned from: the first layer's, which see nothing outside a word, over all distinct words by how
+often they occur, the second layer's over all running training texts bit by bit. Within a document
 the result is refined adaptively: a word's probability is mixed with its frequency in training and with its frequency
 in the document so far (as a whole, and after the word before it), over a grid of mixing rates weighted by how well each
 has predicted the document up to there.
@@ -17,17 +20,16 @@ in a block are joined to it.
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm.common import drop, slices, stage
+from attesta.llm.common import bounded_batches, drop, slices, stage
 
 END = b"\n"
 _UPPER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -37,6 +39,10 @@ PREDICTORS = len(SLOT_BITS)
 _BASES = np.cumsum([0, *(1 << b for b in SLOT_BITS)])
 SLOTS = int(_BASES[-1])
 GATES = 12
+#: Slots of the table across words, as a power of two.
+ACROSS_BITS = 22
+#: Bytes of running text whose distinct words are spelled at a time.
+STRETCH = 4 << 20
 #: Slots that one row of the summed tables holds.
 CHUNK = 1 << 14
 #: Bytes of text that a block of documents aims at.
@@ -89,6 +95,52 @@ def bit_slots(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
     return slots, bits
 
 
+def _beginnings(raw: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """For every byte, a hash of what stands before it in its word."""
+    n = len(raw)
+    start = np.repeat(np.cumsum(lengths) - lengths, lengths)
+    up, down = _powers(n, _ROLL), _powers(n, _UNROLL)
+    with np.errstate(over="ignore"):
+        sums = np.concatenate([[np.uint64(0)], np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:-1])])
+        return ((sums[:-1] - sums[start]) * down[start] + np.minimum(np.arange(n) - start, 255).astype(np.uint64)) * _MIX
+
+
+#: Of every byte, the nodes of its bits: the bits before each, highest first.
+_NODES = ((np.arange(256, dtype=np.uint64)[:, None] >> (np.uint64(8) - np.arange(8, dtype=np.uint64))) + (np.uint64(1) << np.arange(8, dtype=np.uint64))) * _STEP
+
+
+class Running:
+    """Some running texts: their distinct words, and for every word of them its number and that of the word before it. A text begins after an end mark."""
+
+    def __init__(self, lists: list[list[bytes]]):
+        index = {END: 0}
+        self.ids = np.fromiter((index.setdefault(w, len(index)) for words in lists for w in words), np.int64)
+        self.words = list(index)
+        self.before = np.concatenate([[0], self.ids[:-1]])  # every text ends with an end mark
+        self.raw, self.lengths = _spell(self.words)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.inner = _beginnings(self.raw, self.lengths)
+        self.whole = (self.inner[self.starts + self.lengths - 1] ^ self.lengths.astype(np.uint64)) * _STEP
+
+    def bits(self, before: np.ndarray, ids: np.ndarray, size: int = 1 << 15) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """About `size` bytes of the words at a time: which words, their lengths, the places of their bytes in raw, and slots [byte, bit] across words."""
+        ends = np.cumsum(self.lengths[ids])
+        cuts = [0, *(np.flatnonzero(np.diff(ends // size)) + 1).tolist(), len(ids)]
+        for i, j in zip(cuts, cuts[1:]):
+            n = self.lengths[ids[i:j]]
+            at = np.arange(int(n.sum())) + np.repeat(self.starts[ids[i:j]] - (np.cumsum(n) - n), n)
+            with np.errstate(over="ignore"):
+                context = (self.inner[at] + np.repeat(self.whole[before[i:j]], n)) * _MIX
+                slots = ((context[:, None] ^ _NODES[self.raw[at]]) * _MIX >> np.uint64(64 - ACROSS_BITS)).astype(np.int64)
+            yield slice(i, j), n, at, slots
+
+
+def stretches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[Running]:
+    """The texts of a column of batches, whole, some STRETCH bytes at a time."""
+    for b in slices(batches, STRETCH):
+        yield Running([tokens(t) for t in b.column(column).to_pylist()])
+
+
 def _pieces(words: list[bytes], size: int = 1 << 15) -> Iterator[list[int]]:
     """Indices of words in groups of about `size` bytes."""
     own, held = [], 0
@@ -112,14 +164,15 @@ def _gate(total: np.ndarray) -> np.ndarray:
 
 
 class Mixer:
-    """Gated weights over the predictors, and the spelling cost of words."""
+    """Gated weights over the predictors, and the spelling cost of words. across: counts by context across words; outer: of each gate the weights of the first layer's sum and of that context."""
 
-    def __init__(self, counts: np.ndarray, weights: np.ndarray | None = None):
-        self.counts = counts
+    def __init__(self, counts: np.ndarray, weights: np.ndarray | None = None, across: np.ndarray | None = None, outer: np.ndarray | None = None):
+        self.counts, self.across = counts, across
         self.weights = np.full((GATES, PREDICTORS), 0.3) if weights is None else weights
+        self.outer = np.tile([1.0, 0.3], (GATES, 1)) if outer is None else outer
 
-    def learn(self, words: list[bytes], rate: float = 0.3) -> None:
-        """Online, a batch of words at a time: each is predicted with one occurrence taken out of the counts, then the weights move."""
+    def learn(self, words: list[bytes], times: np.ndarray, rate: float = 0.3) -> None:
+        """The first layer online, a batch of words at a time: each is predicted with one occurrence taken out of the counts, then the weights move, by how often the words occur."""
         for own in _pieces(words, 1 << 12):
             raw, lengths = _spell([words[i] for i in own])
             slots, bits = bit_slots(raw, lengths)
@@ -131,32 +184,67 @@ class Mixer:
             z = sum(x[p] * weights[..., p] for p in range(PREDICTORS))
             error = bits - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             flat = gate.ravel()
-            n = np.bincount(flat, minlength=GATES)
+            often = np.repeat(times[own], lengths)[:, None]
+            n = np.bincount(flat, np.broadcast_to(often, bits.shape).ravel(), minlength=GATES)
+            error = error * often
             for p in range(PREDICTORS):
                 push = np.bincount(flat, (error * x[p]).ravel(), GATES)
                 self.weights[:, p] += rate * np.minimum(1.0, n / 64) * push / np.maximum(n, 1)
 
+    def learn_running(self, text: Running, rate: float = 0.02) -> None:
+        """The second layer online, over running text bit by bit, a batch of words at a time: each is predicted with its own occurrence taken out of the counts across words, then the weights move."""
+        inner, bits = self.sums(text), np.unpackbits(text.raw[:, None], axis=1)
+        for _, _, at, slots in text.bits(text.before, text.ids, 1 << 13):
+            bit, z = bits[at], inner[at]
+            counts = self.across[slots]
+            ones = np.maximum(counts[..., 1] - bit, 0).astype(np.float32)
+            zeros = np.maximum(counts[..., 0] - (1 - bit.astype(np.int32)), 0).astype(np.float32)
+            gate, x = _gate(ones + zeros), np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4)))
+            outer = self.outer.astype(np.float32)
+            error = bit - 1 / (1 + np.exp(-np.clip(z * outer[gate, 0] + x * outer[gate, 1], -20, 20)))
+            flat = gate.ravel()
+            n = np.bincount(flat, minlength=GATES)
+            for p, part in enumerate((z, x)):
+                self.outer[:, p] += rate * np.minimum(1.0, n / 64) * np.bincount(flat, (error * part).ravel(), GATES) / np.maximum(n, 1)
+
     def prepare(self) -> None:
         self.odds = _stretched(self.counts.astype(np.float32)).astype(np.float32)
         last = self.counts[_BASES[-2] :].sum(1, dtype=np.int64)
         self.gates = _gate(last).astype(np.int8)
         self.fine = self.weights.astype(np.float32)
-
-    def costs(self, words: list[bytes]) -> np.ndarray:
-        """Natural log of the probability of each word's spelling."""
-        out = np.zeros(len(words))
-        for own in _pieces(words):
-            raw, lengths = _spell([words[i] for i in own])
-            slots, bits = bit_slots(raw, lengths)
+        if self.across is not None:
+            self.across_odds = _stretched(self.across.astype(np.float32)).astype(np.float32)
+            self.across_gates = _gate(self.across.sum(1, dtype=np.int64)).astype(np.int8)
+            self.fine_outer = self.outer.astype(np.float32)
+
+    def sums(self, text: Running) -> np.ndarray:
+        """The first layer's log odds [byte, bit] of all distinct words of a text."""
+        out = np.empty((len(text.raw), 8), np.float32)
+        for at in _pieces(text.words):
+            i, j = text.starts[at[0]], text.starts[at[-1]] + text.lengths[at[-1]]
+            slots, _ = bit_slots(text.raw[i:j], text.lengths[at[0] : at[-1] + 1])
             weights = self.fine[self.gates[slots[-1] - _BASES[-2]]]
             z = self.odds[slots[0]] * weights[..., 0]
             for p in range(1, PREDICTORS):
                 z += self.odds[slots[p]] * weights[..., p]
-            np.clip(z, -20, 20, out=z)
-            z[bits == 1] *= -1
-            out[own] = -np.add.reduceat(np.logaddexp(0, z).sum(1, dtype=np.float64), np.cumsum(lengths) - lengths)
+            np.clip(z, -20, 20, out=out[i:j])
         return out
 
+    def costs(self, text: Running) -> np.ndarray:
+        """Natural log of the probability of the spelling of every word of a running text, after the word before it."""
+        inner, ones = self.sums(text), np.unpackbits(text.raw[:, None], axis=1).view(bool)
+        # each distinct pair of words once
+        both, number = np.unique(text.before * len(text.words) + text.ids, return_inverse=True)
+        out = np.empty(len(both))
+        before, ids = np.divmod(both, len(text.words))
+        for own, lengths, at, slots in text.bits(before, ids):
+            gate = self.across_gates[slots]
+            z = inner[at] * self.fine_outer[gate, 0] + self.across_odds[slots] * self.fine_outer[gate, 1]
+            np.clip(z, -20, 20, out=z)
+            np.negative(z, out=z, where=ones[at])
+            out[own] = -np.add.reduceat(np.logaddexp(0, z, dtype=np.float32).sum(1, dtype=np.float64), np.cumsum(lengths) - lengths)
+        return out[number]
+
 
 def word_counts(docs: DataFrame, text_col: str, limit: int = 200_000) -> DataFrame:
     """word (binary), n: occurrences over all rows; the end mark counts once for each row. Combined before the shuffle."""
@@ -178,8 +266,11 @@ def word_counts(docs: DataFrame, text_col: str, limit: int = 200_000) -> DataFra
     return docs.select(text_col).mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def train(spark: SparkSession, vocabulary: DataFrame) -> Mixer:
-    """Sum the tables over all training words, then learn the weights online over all of them, part by part, and average."""
+def train(spark: SparkSession, vocabulary: DataFrame, texts: DataFrame, blocks: int) -> Mixer:
+    """Sum the tables over all training words and running texts, then learn the weights online over all of them, part by part, and average.
+
+    texts: text, block (below `blocks`) and place of the training rows, staged: a block's rows are read in the order of their places.
+    """
 
     def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((SLOTS, 2), np.int64)
@@ -196,64 +287,108 @@ def train(spark: SparkSession, vocabulary: DataFrame) -> Mixer:
                     w = np.broadcast_to(amount[:, None], bits.shape).ravel() if p == PREDICTORS - 1 else 1
                     np.add.at(total.reshape(-1), slots[p].ravel().astype(np.int64) * 2 + bits.ravel(), w)
         if some:
-            for at in range(0, SLOTS, CHUNK):
-                part = total[at : at + CHUNK].ravel()
-                places = np.flatnonzero(part)
-                if not len(places):
-                    continue
-                if 3 * len(places) < 2 * len(part):  # few words fill few slots
-                    places, part = places.astype("<i4").tobytes(), part[places]
-                else:
-                    places = b""
-                yield pa.RecordBatch.from_arrays([pa.array([at // CHUNK], pa.int32()), pa.array([places], pa.binary()), pa.array([part.astype("<i8").tobytes()], pa.binary())], ["chunk", "places", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, chunk = np.zeros(2 * CHUNK, np.int64), 0
-        for b in batches:
-            chunk = b.column(0)[0].as_py()
-            for places, x in zip(b.column(1), b.column(2)):
-                x = np.frombuffer(x.as_buffer(), "<i8")
-                places = np.frombuffer(places.as_buffer(), "<i4")
-                if len(places):
-                    total[places] += x
-                else:
-                    total[: len(x)] += x
-        small = np.minimum(total, (1 << 31) - 1).astype("<i4")
-        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([small.tobytes()], pa.binary())], ["chunk", "counts"])
+            yield from chunks(total)
+
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for text in stretches(batches, 0):
+            total = np.zeros((1 << ACROSS_BITS, 2), np.int32) if total is None else total
+            bits = np.unpackbits(text.raw[:, None], axis=1)
+            for _, _, at, slots in text.bits(text.before, text.ids):
+                np.add.at(total.reshape(-1), (slots * 2 + bits[at]).ravel(), np.int32(1))
+        if total is not None:
+            yield from chunks(total)
+
+    def chunks(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(total), CHUNK):
+            part = total[at : at + CHUNK].ravel()
+            places = np.flatnonzero(part)
+            if not len(places):
+                continue
+            if 3 * len(places) < 2 * len(part):  # few words fill few slots
+                places, part = places.astype("<i4").tobytes(), part[places]
+            else:
+                places = b""
+            yield pa.RecordBatch.from_arrays([pa.array([at // CHUNK], pa.int32()), pa.array([places], pa.binary()), pa.array([part.tobytes()], pa.binary())], ["chunk", "places", "counts"])
+
+    def adder(kind: type) -> Callable:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, chunk = np.zeros(2 * CHUNK, np.int64), 0
+            for b in batches:
+                chunk = b.column(0)[0].as_py()
+                for places, x in zip(b.column(1), b.column(2)):
+                    x = np.frombuffer(x.as_buffer(), kind)
+                    places = np.frombuffer(places.as_buffer(), "<i4")
+                    if len(places):
+                        total[places] += x
+                    else:
+                        total[: len(x)] += x
+            small = np.minimum(total, (1 << 31) - 1).astype("<i4")
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([small.tobytes()], pa.binary())], ["chunk", "counts"])
+
+        return add
 
     # a task per quarter million words: each gives a table of fixed size, so few and large parts shuffle least
     words = vocabulary.select("word", "n")
     parts = max(2, math.ceil(vocabulary.count() / 250_000))
     # in an order of their own: the weights learned do not depend on how the documents lie
     dealt = stage(spark, words.repartition(parts, "word").sortWithinPartitions(F.xxhash64("word"), "word"), "mixing-words")
-    # 37 MB at most, whatever the corpus: the model's fixed size
-    rows = dealt.mapInArrow(tables, "chunk int, places binary, counts binary").groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect()
-    drop(spark, shuffles=True)
-    counts = np.zeros((SLOTS, 2), np.int32)
-    for r in rows:
-        own = counts[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK]
-        own[:] = np.frombuffer(r["counts"], "<i4").reshape(-1, 2)[: len(own)]
-    shared = spark.sparkContext.broadcast(counts)
+
+    def summed(rows: DataFrame, size: int, kind: type) -> np.ndarray:
+        """The tables of all tasks in one, of fixed size: 19 and 34 MB, whatever the corpus."""
+        counts = np.zeros((size, 2), np.int32)
+        for r in rows.groupBy("chunk").applyInArrow(adder(kind), "chunk int, counts binary").collect():
+            own = counts[r["chunk"] * CHUNK : (r["chunk"] + 1) * CHUNK]
+            own[:] = np.frombuffer(r["counts"], "<i4").reshape(-1, 2)[: len(own)]
+        drop(spark, shuffles=True)
+        return counts
+
+    parts_of = "chunk int, places binary, counts binary"
+    counts = summed(dealt.mapInArrow(tables, parts_of), SLOTS, np.int64)
+    pairs = summed(texts.select("text").mapInArrow(across, parts_of), 1 << ACROSS_BITS, np.int32)
+    shared = spark.sparkContext.broadcast((counts, pairs))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, n = Mixer(shared.value), 0
+        mixer, n = Mixer(shared.value[0]), 0
         for b in batches:
-            mixer.learn(b.column(0).to_pylist())
+            mixer.learn(b.column(0).to_pylist(), b.column(1).to_numpy())
             n += b.num_rows
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([mixer.weights.ravel().tolist()], pa.list_(pa.float64())), pa.array([n], pa.int64())], ["w", "n"])
 
-    # sums of weights over parts: one row
-    k = GATES * PREDICTORS
-    total = dealt.mapInArrow(weigh, "w array<double>, n bigint").agg(*[F.sum(F.col("w")[i] * F.col("n")).alias(f"w{i}") for i in range(k)], F.sum("n").alias("n")).first()
+    def averaged(parts: DataFrame, columns: int) -> np.ndarray | None:
+        """Sums of weights over parts: one row."""
+        k = GATES * columns
+        total = parts.agg(*[F.sum(F.col("w")[i] * F.col("n")).alias(f"w{i}") for i in range(k)], F.sum("n").alias("n")).first()
+        return np.array([total[f"w{i}"] for i in range(k)]).reshape(GATES, columns) / total["n"] if total["n"] else None
+
+    weights = averaged(dealt.mapInArrow(weigh, "w array<double>, n bigint"), PREDICTORS)
     drop(spark, dealt, shuffles=True)
+
+    def weigh_running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mixer, n = None, 0
+        for text in stretches(batches, 0):
+            if mixer is None:
+                mixer = Mixer(shared.value[0], weights, shared.value[1])
+                mixer.prepare()
+            mixer.learn_running(text)
+            n += len(text.ids)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([mixer.outer.ravel().tolist()], pa.list_(pa.float64())), pa.array([n], pa.int64())], ["w", "n"])
+
+    # a block to a task, in an order of its own
+    ordered = texts.repartitionById(blocks, "block").sortWithinPartitions("place", "text").select("text")
+    outer = averaged(ordered.mapInArrow(weigh_running, "w array<double>, n bigint"), 2)
+    drop(spark, shuffles=True)
     shared.destroy()
-    weights = np.array([total[f"w{i}"] for i in range(k)]).reshape(GATES, PREDICTORS) / total["n"] if total["n"] else None
-    return Mixer(counts, weights)
+    return Mixer(counts, weights, pairs, outer)
+
 
+def refined(spelled: np.ndarray | None, frequency: np.ndarray, lists: list[np.ndarray], running: np.ndarray | None = None) -> np.ndarray:
+    """Natural log probability of each document: spelling costs and training frequencies (0 if new) of all words, and the ids of its words.
 
-def refined(spelled: np.ndarray, frequency: np.ndarray, lists: list[np.ndarray]) -> np.ndarray:
-    """Natural log probability of each document: spelling costs and training frequencies (0 if new) of all words, and the ids of its words."""
+    running: spelling costs of all words of the documents one after the other, where they depend on the words before.
+    """
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
     ids = np.concatenate(lists)
     ends = np.cumsum(sizes)
@@ -278,7 +413,8 @@ def refined(spelled: np.ndarray, frequency: np.ndarray, lists: list[np.ndarray])
         number[order] = np.cumsum(new) - 1
         return out, number
 
-    before, word = earlier(doc * len(spelled) + ids)
+    running = spelled[ids] if running is None else running
+    before, word = earlier(doc * len(frequency) + ids)
     cache = before / np.maximum(place, 1).astype(np.float32)
     # what has followed the word before, the more so the more often that has come
     after, _ = earlier(np.where(place > 0, np.concatenate([[0], word[:-1]]), len(ids) + doc) * (len(ids) + 1) + word)
@@ -286,9 +422,9 @@ def refined(spelled: np.ndarray, frequency: np.ndarray, lists: list[np.ndarray])
     cache += turns / (turns + 1) * (after / np.maximum(turns, 1) - cache)
     # the first word has nothing before it: no share goes to the document's own frequencies
     own = (place > 0).astype(np.float32)
-    log_s = np.maximum(spelled[ids], -80).astype(np.float32)
+    log_s = np.maximum(running, -80).astype(np.float32)
     plain, freq = np.exp(log_s), frequency[ids].astype(np.float32)
-    rest = np.maximum(spelled - np.maximum(spelled, -80), -1e6)[ids]  # what is below a float's range
+    rest = np.maximum(running - np.maximum(running, -80), -1e6)  # what is below a float's range
     tiny = np.flatnonzero((rest < 0) & (freq == 0) & (before == 0))
     lost = np.zeros(len(ids))
     lost[tiny] = rest[tiny]
@@ -319,28 +455,20 @@ def score(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     are not read; an empty table gives an empty result; with no training rows all counts are zero.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    vocabulary = stage(spark, word_counts(docs.where(~held_out(id_col)), text_col), "mixing-vocabulary")
-    drop(spark, shuffles=True)
-    facts = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")).first()
-    n_train, distinct = int(facts["tokens"]), int(facts["distinct"])
-    model = train(spark, vocabulary)
-    shared = spark.sparkContext.broadcast((model.counts, model.weights))
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer = Mixer(*shared.value)
-        mixer.prepare()
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(mixer.costs(b.column(0).to_pylist()), pa.float32())], ["word", "n", "cost"])
-
-    # a word of the training texts is spelled once, however many blocks hold it
-    priced = stage(spark, vocabulary.select("word", "n").mapInArrow(spell, "word binary, n bigint, cost float"), "mixing-costs")
-    drop(spark, vocabulary, shuffles=True)
+    bounded_batches(spark)
     size = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("s")).first()["s"]
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
-    block = F.pmod(F.xxhash64(id_col, text_col), F.lit(blocks)).cast("int")
-    dealt = stage(spark, docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held_out(id_col).alias("held_out"), block.alias("block")).repartitionById(blocks, "block"), "mixing-dealt")
-
+    place = F.xxhash64(id_col, text_col)
+    dealt = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), held_out(id_col).alias("held_out"), F.pmod(place, F.lit(blocks)).cast("int").alias("block"), place.alias("place"))
+    dealt = stage(spark, dealt.repartitionById(blocks, "block"), "mixing-dealt")
+    drop(spark, shuffles=True)
+    texts = dealt.where("NOT held_out").select("text", "block", "place")
+    vocabulary = stage(spark, word_counts(texts, "text"), "mixing-vocabulary")
     drop(spark, shuffles=True)
+    facts = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct")).first()
+    n_train, distinct = int(facts["tokens"]), int(facts["distinct"])
+    model = train(spark, vocabulary, texts, blocks)
+    shared = spark.sparkContext.broadcast((model.counts, model.weights, model.across, model.outer))
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, set[bytes]] = {}
@@ -355,49 +483,48 @@ def score(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
                 yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in new], pa.int32()), pa.array([w for _, w in new], pa.binary())], ["block", "word"])
 
     asked = dealt.mapInArrow(words_of, "block int, word binary")
-    found = asked.join(priced, "word").select("block", "word", "n", "cost")
+    found = asked.join(vocabulary, "word").select("block", "word", "n")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A block to a task: first the words that training has, with counts and costs, then the documents, some at a time."""
+        """A block to a task: first the words that training has, with counts, then the documents, some at a time."""
         index: dict[bytes, int] = {}
         known = 0
-        seen, spelled, sizes = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
-        counts, costs = [], []
+        seen, counts = np.zeros(0, np.int64), []
         mixer = None
-        for b in slices(batches, 2 << 20):
+        for b in slices(batches, STRETCH):
             side = b.column(0).to_numpy()
             cut = int(np.searchsorted(side, 1))
             if cut:
                 for w in b.column(4).slice(0, cut).to_pylist():
                     index[w] = len(index)
                 counts.append(b.column(5).slice(0, cut).to_numpy(zero_copy_only=False))
-                costs.append(b.column(6).slice(0, cut).to_numpy(zero_copy_only=False))
             if cut == b.num_rows:
                 continue
             if counts:
-                known, counts, costs, seen, spelled = len(index), [], [], np.concatenate(counts).astype(np.int64), np.concatenate(costs).astype(float)
+                known, counts, seen = len(index), [], np.concatenate(counts).astype(np.int64)
+            if mixer is None:
+                mixer = Mixer(*shared.value)
+                mixer.prepare()
             docs = b.slice(cut)
-            lists = [np.fromiter((index.setdefault(w, len(index)) for w in tokens(t)), np.int64) for t in docs.column(2).to_pylist()]
-            words = list(itertools.islice(index, len(sizes), None))
-            sizes = np.concatenate([sizes, np.fromiter((len(w) + (w != END) for w in words), np.int64, len(words))])
-            new = list(itertools.islice(index, len(spelled), None))
-            if new:
-                if mixer is None:
-                    mixer = Mixer(*shared.value)
-                    mixer.prepare()
-                spelled, seen = np.concatenate([spelled, mixer.costs(new)]), np.concatenate([seen, np.zeros(len(new), np.int64)])
-            frequency, base = seen / max(1, n_train), np.log10((seen + 1.0) / (n_train + 1 * (distinct + 1)))
-            logs, batch, held = [], [], 0
-            for k, i in enumerate(lists):
-                batch.append(i)
-                held += len(i)
-                if held >= 1 << 18 or k + 1 == len(lists):
-                    logs += refined(spelled, frequency, batch).tolist()
-                    batch, held = [], 0
-            letters = [int(sizes[i].sum()) for i in lists]
-            if len(index) - known > 1 << 20:  # words that training lacks: forgotten when they are many
-                index = dict(itertools.islice(index.items(), known))
-                seen, spelled, sizes = seen[:known], spelled[:known], sizes[:known]
+            words = [tokens(t) for t in docs.column(2).to_pylist()]
+            text = Running(words)
+            costs, sizes = mixer.costs(text), text.lengths[text.ids]
+            ends = np.cumsum([len(w) for w in words])
+            # numbers of the words as training has them, then of those that it lacks
+            number = np.fromiter((index.get(w, -1) for w in text.words), np.int64, len(text.words))
+            number[number < 0] = known + np.arange((number < 0).sum())
+            n_seen = np.zeros(known + len(text.words), np.int64)
+            n_seen[:known] = seen
+            ids = number[text.ids]
+            lists = np.split(ids, ends[:-1])
+            frequency, base = n_seen / max(1, n_train), np.log10((n_seen + 1.0) / (n_train + 1 * (distinct + 1)))
+            logs, first = [], 0
+            for k, end in enumerate(ends.tolist()):
+                begun = int(ends[first - 1]) if first else 0
+                if end - begun >= 1 << 18 or k + 1 == len(lists):
+                    logs += refined(None, frequency, lists[first : k + 1], costs[begun:end]).tolist()
+                    first = k + 1
+            letters = np.add.reduceat(sizes, ends - [len(w) for w in words]).tolist()
             columns = [
                 docs.column(1),
                 docs.column(3),
@@ -412,8 +539,8 @@ def score(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
 
     schema = f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"
     none = lambda t, name: F.lit(None).cast(t).alias(name)
-    left = found.select("block", F.lit(0).alias("side"), none(kind, "id"), none("string", "text"), none("boolean", "held_out"), "word", "n", "cost")
-    right = dealt.select("block", F.lit(1).alias("side"), "id", "text", "held_out", none("binary", "word"), none("bigint", "n"), none("float", "cost"))
+    left = found.select("block", F.lit(0).alias("side"), none(kind, "id"), none("string", "text"), none("boolean", "held_out"), "word", "n")
+    right = dealt.select("block", F.lit(1).alias("side"), "id", "text", "held_out", none("binary", "word"), none("bigint", "n"))
     # each block is a partition of its own
     both = left.union(right).repartitionById(blocks, "block").sortWithinPartitions("side").drop("block")
     return both.mapInArrow(scored, schema).withColumnRenamed("id", id_col)

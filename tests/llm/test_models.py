@@ -90,6 +90,34 @@ def test_better_than_counts_with_plain_spelling(spark):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got) - spelled
 
 
+def test_training_reads_running_text(spark):
+    """Of two corpora with the same words in other orders, the one in which words follow each other as in a held-out text gives it the higher score."""
+    ids = {out: [i for i in range(400) if (zlib.crc32(str(i).encode()) % 7 == 2) == out] for out in (False, True)}
+    text = lambda shift, start: " ".join(f"key{k % 20} value{(k + shift) % 20}" for k in range(start, start + 10))
+    totals = []
+    for shift in (0, 7):
+        rows = [(i, text(shift, n)) for n, i in enumerate(ids[False][:200])] + [(i, text(0, n)) for n, i in enumerate(ids[True][:20])]
+        got = M.score(spark, spark.createDataFrame(rows, "doc_id long, text string")).where("held_out").collect()
+        totals.append((sum(r["score"] for r in got), sum(r["base_score"] for r in got)))
+    assert totals[0][1] == pytest.approx(totals[1][1])
+    assert totals[0][0] > totals[1][0] + 1
+
+
+def test_spelling_after_a_word_is_a_distribution():
+    """Words of one byte after one and the same word, each with its closing space: their probabilities are those of the bytes, of a space after each."""
+    rng = np.random.default_rng(0)
+    counts, across = rng.integers(0, 5, (M.SLOTS, 2)).astype(np.int32), rng.integers(0, 3, (1 << M.ACROSS_BITS, 2)).astype(np.int32)
+    mixer = M.Mixer(counts, None, across, rng.random((M.GATES, 2)))
+    mixer.prepare()
+    letters = [bytes([b]) for b in range(256) if b not in b" \t\n\x0b\x0c\r"]
+    text = M.Running([[w, b"same", a, M.END] for w in letters for a in letters[:3]])
+    costs = mixer.costs(text).reshape(-1, 4)
+    # the same word after the same word costs the same wherever it stands
+    assert all(len(set(costs[i::3, 2])) == 1 for i in range(3))
+    firsts = M.Running([[w, M.END] for w in letters])
+    assert 0 < np.exp(mixer.costs(firsts).reshape(-1, 2)[:, 0]).sum() <= 1
+
+
 def test_conv_scores(spark):
     docs, labels = queries.table(spark, "/root/testdata/sf0.01", "documents"), queries.table(spark, "/root/testdata/sf0.01", "labels")
     network = conv_quality.fit(docs, labels)
