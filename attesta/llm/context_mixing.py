@@ -2,9 +2,10 @@
 
 A text is the sequence of its lower-cased words, each spelled in bytes with a closing space, and an end mark. Every
 bit of a byte is predicted from several contexts (the last bytes of the word, its whole beginning, and that beginning
-after the word before it), each hashed into a table of counts of zeros and ones; the tables are summed over the running
-training texts. The predictions are combined in the logistic domain by two layers: contexts within the word with weights
-chosen by how often the word's beginning has been seen, and their sum with the context across words, with weights chosen
+after the word before it), each hashed into a table of counts of zeros and ones, where the nodes of half a byte share a
+line of 16 slots; the tables are summed over the running training texts. What words share is computed once: the bits of
+equal beginnings, and, but for learning, equal pairs of words. The predictions are combined in the logistic domain by
+two layers: contexts within the word with weights chosen by how often the word's beginning has been seen, and their sum with the context across words, with weights chosen
 by how often that has been seen. The weights are learned online, each word predicted with its own occurrence taken out of
 the counts and then learned from: the first layer's, which see nothing outside a word, over all distinct words by how
 often they occur, the second layer's over all running training texts bit by bit. Within a document
@@ -20,12 +21,13 @@ in a block are joined to it.
 
 from __future__ import annotations
 
+import functools
 import math
-from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ GATES = 12
 #: Slots of the table across words, as a power of two.
 ACROSS_BITS = 22
 #: Bytes of running text whose distinct words are spelled at a time.
-STRETCH = 4 << 20
+STRETCH = 6 << 20
 #: Slots that one row of the summed tables holds.
 CHUNK = 1 << 14
 #: Bytes of text that a block of documents aims at.
@@ -65,80 +67,176 @@ def _spell(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _powers(n: int, base: int) -> np.ndarray:
+    return _all_powers(max(12, (n - 1).bit_length()), base)[: n + 1]
+
+
+@functools.lru_cache(32)
+def _all_powers(bits: int, base: int) -> np.ndarray:
+    n = 1 << bits
     with np.errstate(over="ignore"):
         return np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, np.uint64(base))]))
 
 
-def bit_slots(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For every byte: slots [predictor, byte, bit] in the joint table, and its bits [byte, bit], highest first."""
-    n = len(raw)
-    start = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    place = np.arange(n) - start
+def _before(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """For every byte, a hash of what stands before it in its word. place: that of every byte in its word."""
+    out = np.empty(len(raw), np.uint64)
+    heads = np.flatnonzero(place == 0)
+    cuts = [*heads[np.flatnonzero(np.diff(heads >> 18, prepend=-1))].tolist(), len(raw)]
+    for i, j in zip(cuts, cuts[1:]):  # whole words, some quarter million bytes at a time
+        own = place[i:j]
+        start = np.arange(j - i) - own
+        up, down = _powers(j - i, _ROLL), _powers(j - i, _UNROLL)
+        with np.errstate(over="ignore"):
+            sums = np.concatenate([[np.uint64(0)], np.cumsum((raw[i:j].astype(np.uint64) + np.uint64(1)) * up[:-1])])
+            out[i:j] = (sums[:-1] - sums[start]) * down[start] + np.minimum(own, 255).astype(np.uint64)
+    return out
+
+
+def _places(lengths: np.ndarray) -> np.ndarray:
+    """Of every byte, its place in its word."""
+    return np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
+#: Of every byte and its bits, highest first: the node among the bits of its half, 1 to 15, and twice that with the bit itself.
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)
+_NODES = np.array([[(1 << k % 4) + (b >> (8 - k) & ((1 << k % 4) - 1)) for k in range(8)] for b in range(256)])
+_NODES_BITS = 2 * _NODES + _BITS
+#: Bits are counted by gate and place in the byte: sums in one place would wait for each other.
+_LANES = 16 * np.arange(8)
+_SIGNS = (2 * _BITS.astype(np.float32)) - 1
+#: What tells the second half of a byte from the first: its first four bits.
+_HIGH = (np.arange(256, dtype=np.uint64) // np.uint64(16) + np.uint64(1)) * _STEP
+
+
+def _halves(context: np.ndarray, raw: np.ndarray, size: int) -> np.ndarray:
+    """For both halves of a byte after a (mixed) context: the slot whose last four bits are turned over by the node. The nodes of a half lie in one line of 16 slots."""
+    out = np.empty((len(raw), 2), np.uint64)
+    with np.errstate(over="ignore"):
+        np.multiply(context, _MIX, out=out[:, 0])
+        np.multiply(context ^ _HIGH[raw], _MIX, out=out[:, 1])
+    out >>= np.uint64(64 - size)
+    return out.view(np.int64)
+
+
+def _along(halves: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """Slots [byte, bit] from those of the halves."""
+    return (halves[:, :, None] ^ nodes.reshape(-1, 2, 4)).reshape(-1, 8)
+
+
+def _contexts(raw: np.ndarray, place: np.ndarray, before: np.ndarray, at: np.ndarray | None = None) -> list[np.ndarray]:
+    """For the bytes at some places of raw, their contexts for each predictor. place: of every byte, that in its word; before: hashes of what stands before it there."""
+    at = np.arange(len(raw)) if at is None else at
+    own = place[at]
     with np.errstate(over="ignore"):
-        contexts, last = [np.minimum(place, 3).astype(np.uint64)], np.zeros(n, np.uint64)
+        contexts, last = [np.minimum(own, 3).astype(np.uint64)], np.zeros(len(at), np.uint64)
         for k in range(1, 5):
-            back = np.zeros(n, np.uint64)
-            back[k:] = raw[:-k].astype(np.uint64) + np.uint64(1)
-            last = last * np.uint64(257) + np.where(place >= k, back, np.uint64(0))
+            back = (raw.take(at - k, mode="clip").astype(np.uint64) + np.uint64(1)) * (own >= k)
+            last = last * np.uint64(257) + back
             contexts.append(last)
-        up, down = _powers(n, _ROLL), _powers(n, _UNROLL)
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:-1])])
-        contexts.append((sums[:-1] - sums[start]) * down[start] + np.minimum(place, 255).astype(np.uint64))
-        bits = np.unpackbits(raw[:, None], axis=1)
-        byte = raw.astype(np.uint64)
-        slots = np.empty((PREDICTORS, n, 8), np.int32)
-        for k in range(8):
-            node = (byte >> np.uint64(8 - k)) + np.uint64(1 << k) if k else np.full(n, np.uint64(1))
-            node = node * _STEP
-            for p, context in enumerate(contexts):
-                slots[p, :, k] = (((context + np.uint64(p + 1)) * _MIX ^ node) * _MIX >> np.uint64(64 - SLOT_BITS[p])).astype(np.int32) + np.int32(_BASES[p])
-    return slots, bits
-
-
-def _beginnings(raw: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """For every byte, a hash of what stands before it in its word."""
-    n = len(raw)
-    start = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    up, down = _powers(n, _ROLL), _powers(n, _UNROLL)
-    with np.errstate(over="ignore"):
-        sums = np.concatenate([[np.uint64(0)], np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:-1])])
-        return ((sums[:-1] - sums[start]) * down[start] + np.minimum(np.arange(n) - start, 255).astype(np.uint64)) * _MIX
+        return [*contexts, before[at]]
 
 
-#: Of every byte, the nodes of its bits: the bits before each, highest first.
-_NODES = ((np.arange(256, dtype=np.uint64)[:, None] >> (np.uint64(8) - np.arange(8, dtype=np.uint64))) + (np.uint64(1) << np.arange(8, dtype=np.uint64))) * _STEP
+def _slots(contexts: list[np.ndarray], raw: np.ndarray, nodes: np.ndarray, each: int = 1) -> Iterator[np.ndarray]:
+    """For each predictor, slots [byte, bit] in the joint table; nodes: those of raw, in a table with `each` entries for a slot."""
+    for p, context in enumerate(contexts):
+        with np.errstate(over="ignore"):
+            halves = _halves((context + np.uint64(p + 1)) * _MIX, raw, SLOT_BITS[p])
+        yield _along((halves + _BASES[p]) * each, nodes)
 
 
-class Running:
-    """Some running texts: their distinct words, and for every word of them its number and that of the word before it. A text begins after an end mark."""
+def bit_slots(raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every byte: slots [predictor, byte, bit] in the joint table, and its bits [byte, bit], highest first."""
+    place = _places(lengths)
+    return np.stack(list(_slots(_contexts(raw, place, _before(raw, place)), raw, _NODES[raw]))), _BITS[raw]
+
 
-    def __init__(self, lists: list[list[bytes]]):
-        index = {END: 0}
-        self.ids = np.fromiter((index.setdefault(w, len(index)) for words in lists for w in words), np.int64)
-        self.words = list(index)
+def _beginnings(raw: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words share what stands at their beginnings: for every byte, a number for it and all before it in its word, and for every number the first such byte. before: hashes of what stands before."""
+    with np.errstate(over="ignore"):
+        key = (before * _MIX + raw) * _STEP
+    number = pa.array(key).dictionary_encode().indices.to_numpy()
+    first = np.empty(int(number.max(initial=-1)) + 1, np.int64)
+    first[number[::-1]] = np.arange(len(raw))[::-1]
+    return number, first
+
+
+def encoded(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """tokens() of many texts: the distinct words but the end mark, in binary; the numbers of all words of all texts, from 1, and 0 for the end mark; how many each text has."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    sizes, words = parts.value_lengths().to_numpy(), parts.flatten()
+    some = pc.binary_length(words).to_numpy() > 0  # white space at an end leaves an empty word
+    words = words.filter(pa.array(some)).dictionary_encode()
+    text = np.repeat(np.arange(len(sizes)), sizes)[some]
+    sizes = np.bincount(text, minlength=len(sizes)).astype(np.int64) + 1
+    ids = np.zeros(int(sizes.sum()), np.int64)
+    ids[np.arange(len(text)) + text] = words.indices.to_numpy() + 1
+    return words.dictionary.cast(pa.binary()), ids, sizes
+
+
+class Running:
+    """Some running texts: their distinct words, and for every word of them its number and that of the word before it. A text begins after an end mark, whose number is 0."""
+
+    def __init__(self, texts: list[list[bytes]] | pa.Array):
+        if isinstance(texts, list):
+            index: dict[bytes, int] = {END: 0}
+            self.ids = np.fromiter((index.setdefault(w, len(index)) for words in texts for w in words), np.int64)
+            words, self.sizes = pa.array(list(index)[1:], pa.binary()), np.fromiter(map(len, texts), np.int64, len(texts))
+        else:
+            words, self.ids, self.sizes = encoded(texts)
+        #: The distinct words but the end mark.
+        self.words = words
         self.before = np.concatenate([[0], self.ids[:-1]])  # every text ends with an end mark
-        self.raw, self.lengths = _spell(self.words)
+        sizes = np.concatenate([[0], pc.binary_length(words).to_numpy()]).astype(np.int64)
+        self.lengths = sizes + 1
+        self.lengths[0] = len(END)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.inner = _beginnings(self.raw, self.lengths)
-        self.whole = (self.inner[self.starts + self.lengths - 1] ^ self.lengths.astype(np.uint64)) * _STEP
-
-    def bits(self, before: np.ndarray, ids: np.ndarray, size: int = 1 << 15) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
-        """About `size` bytes of the words at a time: which words, their lengths, the places of their bytes in raw, and slots [byte, bit] across words."""
+        self.raw = np.full(int(self.lengths.sum()), ord(" "), np.uint8)
+        self.raw[0] = ord(END)
+        if len(words):
+            flat = pa.concat_arrays([words])  # without an offset
+            _, ends, letters = flat.buffers()
+            at = np.frombuffer(ends, np.int32)[flat.offset : flat.offset + len(flat) + 1]
+            self.raw[np.arange(at[-1] - at[0]) + np.repeat(np.arange(1, len(flat) + 1), sizes[1:])] = np.frombuffer(letters, np.uint8)[at[0] : at[-1]] if letters else 0
+        self.place = _places(self.lengths)
+        self.hashes = _before(self.raw, self.place)
+        last = self.starts + self.lengths - 1
+        with np.errstate(over="ignore"):
+            whole = (self.hashes[last] * _MIX ^ self.lengths.astype(np.uint64)) * _STEP
+        #: Of every word, what a pair with it needs, side by side.
+        self.facts = np.stack([self.starts, self.lengths, whole.view(np.int64)], 1)
+
+    def bits(self, before: np.ndarray, ids: np.ndarray, nodes: np.ndarray, each: int = 1, size: int = 1 << 15) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """About `size` bytes of words after others at a time: which words, their lengths, the places of their bytes in raw, and slots [byte, bit] across words, in a table with `each` entries for a slot."""
         ends = np.cumsum(self.lengths[ids])
         cuts = [0, *(np.flatnonzero(np.diff(ends // size)) + 1).tolist(), len(ids)]
         for i, j in zip(cuts, cuts[1:]):
-            n = self.lengths[ids[i:j]]
-            at = np.arange(int(n.sum())) + np.repeat(self.starts[ids[i:j]] - (np.cumsum(n) - n), n)
+            facts = self.facts.take(ids[i:j], 0)
+            n, whole = facts[:, 1], self.facts.take(before[i:j], 0)[:, 2].view(np.uint64)
+            at = np.arange(int(n.sum())) + np.repeat(facts[:, 0] - (np.cumsum(n) - n), n)
+            raw = self.raw[at]
             with np.errstate(over="ignore"):
-                context = (self.inner[at] + np.repeat(self.whole[before[i:j]], n)) * _MIX
-                slots = ((context[:, None] ^ _NODES[self.raw[at]]) * _MIX >> np.uint64(64 - ACROSS_BITS)).astype(np.int64)
-            yield slice(i, j), n, at, slots
+                halves = _halves((self.hashes[at] * _MIX + np.repeat(whole, n)) * _MIX, raw, ACROSS_BITS)
+            yield slice(i, j), n, at, _along(halves * each, nodes.take(raw, 0))
+
+
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Batches of some `size` bytes, made of smaller ones."""
+    held, n = [], 0
+    for b in slices(batches, size):
+        if held and n + b.nbytes > size:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+        held.append(b)
+        n += b.nbytes
+    if held:
+        yield pa.concat_batches(held)
 
 
 def stretches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[Running]:
     """The texts of a column of batches, whole, some STRETCH bytes at a time."""
-    for b in slices(batches, STRETCH):
-        yield Running([tokens(t) for t in b.column(column).to_pylist()])
+    for b in gathered(batches, STRETCH):
+        if b.num_rows:
+            yield Running(b.column(column))
 
 
 def _pieces(words: list[bytes], size: int = 1 << 15) -> Iterator[list[int]]:
@@ -163,105 +261,153 @@ def _gate(total: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(total + np.float32(1)).astype(np.int64), GATES - 1)
 
 
+#: Log odds in coded tables are whole numbers of this, sixteen times, with the gate added.
+_UNIT = np.float32(2.0**-22)
+
+
+def _coded(counts: np.ndarray, own: bool) -> np.ndarray:
+    """Log odds and gate of every slot in one number: of a one, or, with own, of either bit with one occurrence of it taken out, zeros first."""
+    n = len(counts) * (1 + own)
+    room = np.empty(n + 32, np.int32)
+    out = room[-room.ctypes.data % 128 // 4 :][:n]  # lines of slots are lines of the cache
+    for at in range(0, len(counts), 1 << 16):
+        c = counts[at : at + (1 << 16)].astype(np.float32)
+        if own:
+            this, other = np.maximum(c - 1, 0), c[:, ::-1]
+        else:
+            this, other = c[:, 1], c[:, 0]
+        x = np.log((this + np.float32(0.4)) / (other + np.float32(0.4)))
+        out[at * (1 + own) :][: x.size] = ((np.rint(x / _UNIT).astype(np.int32) << 4) + _gate(this + other)).ravel()
+    return out
+
+
+def _uncoded(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds, and gates with their lanes."""
+    x = (code >> 4).astype(np.float32)
+    x *= _UNIT
+    return x, (code & 15) + _LANES
+
+
+def _by_lane(weights: np.ndarray) -> np.ndarray:
+    """Weights of the gates, in single precision, where _uncoded points."""
+    return np.tile(np.concatenate([weights, np.zeros(16 - GATES)]).astype(np.float32), 8)
+
+
+def _per_gate(lanes: np.ndarray, amounts: np.ndarray | None = None) -> np.ndarray:
+    return np.bincount(lanes, amounts, 128).reshape(8, 16).sum(0)[:GATES]
+
+
 class Mixer:
-    """Gated weights over the predictors, and the spelling cost of words. across: counts by context across words; outer: of each gate the weights of the first layer's sum and of that context."""
+    """Gated weights over the predictors, and the spelling cost of words. across: counts by context across words; outer: of each gate the weights of the first layer's sum and of that context.
+
+    Log odds are signed by the bit that is there: what is positive favours it.
+    """
 
     def __init__(self, counts: np.ndarray, weights: np.ndarray | None = None, across: np.ndarray | None = None, outer: np.ndarray | None = None):
         self.counts, self.across = counts, across
         self.weights = np.full((GATES, PREDICTORS), 0.3) if weights is None else weights
         self.outer = np.tile([1.0, 0.3], (GATES, 1)) if outer is None else outer
+        self.without = self.without_across = self.coded = None
 
     def learn(self, words: list[bytes], times: np.ndarray, rate: float = 0.3) -> None:
         """The first layer online, a batch of words at a time: each is predicted with one occurrence taken out of the counts, then the weights move, by how often the words occur."""
+        if self.without is None:
+            self.without = _coded(self.counts, True)
         for own in _pieces(words, 1 << 12):
             raw, lengths = _spell([words[i] for i in own])
-            slots, bits = bit_slots(raw, lengths)
-            ones = np.maximum(self.counts[..., 1][slots] - bits, 0).astype(np.float32)
-            zeros = np.maximum(self.counts[..., 0][slots] - (1 - bits), 0).astype(np.float32)
-            gate = _gate(ones[-1] + zeros[-1])
-            x = np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4)))
-            weights = self.weights.astype(np.float32)[gate]
-            z = sum(x[p] * weights[..., p] for p in range(PREDICTORS))
-            error = bits - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            place = _places(lengths)
+            codes = [self.without.take(s) for s in _slots(_contexts(raw, place, _before(raw, place)), raw, _NODES_BITS[raw], 2)]
+            x, gate = [(c >> 4).astype(np.float32) * _UNIT for c in codes], (codes[-1] & 15) + _LANES
+            z = sum(x[p] * _by_lane(self.weights[:, p]).take(gate, mode="clip") for p in range(PREDICTORS))
+            error = 1 / (1 + np.exp(np.clip(z, -30, 30)))
             flat = gate.ravel()
-            often = np.repeat(times[own], lengths)[:, None]
-            n = np.bincount(flat, np.broadcast_to(often, bits.shape).ravel(), minlength=GATES)
+            often = np.repeat(times[own], lengths).astype(np.float64)[:, None]
+            n = _per_gate(flat, np.broadcast_to(often, gate.shape).ravel())
             error = error * often
             for p in range(PREDICTORS):
-                push = np.bincount(flat, (error * x[p]).ravel(), GATES)
-                self.weights[:, p] += rate * np.minimum(1.0, n / 64) * push / np.maximum(n, 1)
+                self.weights[:, p] += rate * np.minimum(1.0, n / 64) * _per_gate(flat, (error * x[p]).ravel()) / np.maximum(n, 1)
 
     def learn_running(self, text: Running, rate: float = 0.02) -> None:
         """The second layer online, over running text bit by bit, a batch of words at a time: each is predicted with its own occurrence taken out of the counts across words, then the weights move."""
-        inner, bits = self.sums(text), np.unpackbits(text.raw[:, None], axis=1)
-        for _, _, at, slots in text.bits(text.before, text.ids, 1 << 13):
-            bit, z = bits[at], inner[at]
-            counts = self.across[slots]
-            ones = np.maximum(counts[..., 1] - bit, 0).astype(np.float32)
-            zeros = np.maximum(counts[..., 0] - (1 - bit.astype(np.int32)), 0).astype(np.float32)
-            gate, x = _gate(ones + zeros), np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4)))
-            outer = self.outer.astype(np.float32)
-            error = bit - 1 / (1 + np.exp(-np.clip(z * outer[gate, 0] + x * outer[gate, 1], -20, 20)))
+        number, inner = self.sums(text)
+        if self.without_across is None:
+            self.without_across = _coded(self.across, True)
+        for _, _, at, slots in text.bits(text.before, text.ids, _NODES_BITS, 2, 1 << 13):
+            z = inner.take(number[at], 0)
+            x, gate = _uncoded(self.without_across.take(slots))
+            t = z * _by_lane(self.outer[:, 0]).take(gate, mode="clip")
+            t += x * _by_lane(self.outer[:, 1]).take(gate, mode="clip")
+            np.clip(t, -20, 20, out=t)
+            error = np.exp(t, out=t)
+            error += 1
+            np.divide(1, error, out=error)
             flat = gate.ravel()
-            n = np.bincount(flat, minlength=GATES)
+            n = _per_gate(flat)
             for p, part in enumerate((z, x)):
-                self.outer[:, p] += rate * np.minimum(1.0, n / 64) * np.bincount(flat, (error * part).ravel(), GATES) / np.maximum(n, 1)
+                part *= error
+                self.outer[:, p] += rate * np.minimum(1.0, n / 64) * _per_gate(flat, part.ravel()) / np.maximum(n, 1)
 
     def prepare(self) -> None:
         self.odds = _stretched(self.counts.astype(np.float32)).astype(np.float32)
         last = self.counts[_BASES[-2] :].sum(1, dtype=np.int64)
         self.gates = _gate(last).astype(np.int8)
         self.fine = self.weights.astype(np.float32)
-        if self.across is not None:
-            self.across_odds = _stretched(self.across.astype(np.float32)).astype(np.float32)
-            self.across_gates = _gate(self.across.sum(1, dtype=np.int64)).astype(np.int8)
-            self.fine_outer = self.outer.astype(np.float32)
-
-    def sums(self, text: Running) -> np.ndarray:
-        """The first layer's log odds [byte, bit] of all distinct words of a text."""
-        out = np.empty((len(text.raw), 8), np.float32)
-        for at in _pieces(text.words):
-            i, j = text.starts[at[0]], text.starts[at[-1]] + text.lengths[at[-1]]
-            slots, _ = bit_slots(text.raw[i:j], text.lengths[at[0] : at[-1] + 1])
-            weights = self.fine[self.gates[slots[-1] - _BASES[-2]]]
-            z = self.odds[slots[0]] * weights[..., 0]
-            for p in range(1, PREDICTORS):
-                z += self.odds[slots[p]] * weights[..., p]
-            np.clip(z, -20, 20, out=out[i:j])
-        return out
+
+    def sums(self, text: Running) -> tuple[np.ndarray, np.ndarray]:
+        """The first layer's log odds [number, bit] of all beginnings of a text's distinct words, and the number of each byte of these."""
+        number, first = _beginnings(text.raw, text.hashes)
+        out, fine = np.empty((len(first), 8), np.float32), [_by_lane(w) for w in self.fine.T]
+        for at in range(0, len(first), 1 << 15):
+            part = first[at : at + (1 << 15)]
+            raw = text.raw[part]
+            slots = list(_slots(_contexts(text.raw, text.place, text.hashes, part), raw, _NODES[raw]))
+            gate = self.gates.take(slots[-1] - _BASES[-2]).astype(np.int64)
+            z = np.zeros(gate.shape, np.float32)
+            for p, w in enumerate(fine):
+                z += self.odds.take(slots[p]) * w.take(gate, mode="clip")
+            np.multiply(np.clip(z, -20, 20), _SIGNS[raw], out=out[at : at + (1 << 15)])
+        return number, out
 
     def costs(self, text: Running) -> np.ndarray:
         """Natural log of the probability of the spelling of every word of a running text, after the word before it."""
-        inner, ones = self.sums(text), np.unpackbits(text.raw[:, None], axis=1).view(bool)
+        number, inner = self.sums(text)
+        if self.coded is None:
+            self.coded = _coded(self.across, False)
         # each distinct pair of words once
-        both, number = np.unique(text.before * len(text.words) + text.ids, return_inverse=True)
-        out = np.empty(len(both))
-        before, ids = np.divmod(both, len(text.words))
-        for own, lengths, at, slots in text.bits(before, ids):
-            gate = self.across_gates[slots]
-            z = inner[at] * self.fine_outer[gate, 0] + self.across_odds[slots] * self.fine_outer[gate, 1]
+        both = pa.array(text.before * len(text.lengths) + text.ids).dictionary_encode()
+        before, ids = np.divmod(both.dictionary.to_numpy(), len(text.lengths))
+        out = np.empty(len(ids))
+        for own, lengths, at, slots in text.bits(before, ids, _NODES):
+            x, gate = _uncoded(self.coded.take(slots))
+            x *= _by_lane(self.outer[:, 1]).take(gate, mode="clip")
+            x *= _SIGNS.take(text.raw[at], 0)
+            z = inner.take(number[at], 0)
+            z *= _by_lane(self.outer[:, 0]).take(gate, mode="clip")
+            z += x
             np.clip(z, -20, 20, out=z)
-            np.negative(z, out=z, where=ones[at])
-            out[own] = -np.add.reduceat(np.logaddexp(0, z, dtype=np.float32).sum(1, dtype=np.float64), np.cumsum(lengths) - lengths)
-        return out[number]
+            np.exp(np.negative(z, out=z), out=z)
+            z += 1
+            # of a half of a byte the product of the inverse probabilities: at most e^80, within single precision
+            half = np.multiply(*np.multiply(z[:, 0::2], z[:, 1::2]).reshape(-1, 2, 2).transpose(2, 0, 1))
+            out[own] = -np.add.reduceat(np.log(half).sum(1, dtype=np.float64), np.cumsum(lengths) - lengths)
+        return out[both.indices.to_numpy()]
 
 
-def word_counts(docs: DataFrame, text_col: str, limit: int = 200_000) -> DataFrame:
+def word_counts(docs: DataFrame, text_col: str, limit: int = 400_000) -> DataFrame:
     """word (binary), n: occurrences over all rows; the end mark counts once for each row. Combined before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
-
-        counts: Counter[bytes] = Counter()
-        for b in slices(batches):
-            for text in b.column(0).to_pylist():
-                counts.update(tokens(text))
-            if len(counts) > limit:
-                yield out()
-                counts.clear()
-        if counts:
-            yield out()
+        held: list[pa.Table] = []
+        for text in gathered(batches, STRETCH):
+            words, ids, _ = encoded(text.column(0))
+            n = np.bincount(ids, minlength=len(words) + 1)
+            held.append(pa.table({"word": pa.concat_arrays([words, pa.array([END], pa.binary())]), "n": pa.array(np.append(n[1:], n[0]))}))
+            if sum(map(len, held)) > limit:
+                held = [pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).combine_chunks()]
+                if len(held[0]) > limit:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from pa.concat_tables(held).group_by("word").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"}).combine_chunks().to_batches()
 
     return docs.select(text_col).mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -277,15 +423,21 @@ def train(spark: SparkSession, vocabulary: DataFrame, texts: DataFrame, blocks:
         some = False
         for b in batches:
             words, seen = b.column(0).to_pylist(), b.column(1).to_numpy()
-            for own in _pieces(words):
+            for own in _pieces(words, 1 << 20):
                 some = True
                 raw, lengths = _spell([words[i] for i in own])
-                slots, bits = bit_slots(raw, lengths)
-                amount = np.repeat(seen[own], lengths)
-                for p in range(PREDICTORS):
-                    # the beginnings count occurrences, the shorter contexts each word once, as new words do
-                    w = np.broadcast_to(amount[:, None], bits.shape).ravel() if p == PREDICTORS - 1 else 1
-                    np.add.at(total.reshape(-1), slots[p].ravel().astype(np.int64) * 2 + bits.ravel(), w)
+                place = _places(lengths)
+                before = _before(raw, place)
+                number, first = _beginnings(raw, before)
+                # the beginnings count occurrences, the shorter contexts each word once, as new words do
+                once, often = np.bincount(number), np.zeros(len(first), np.int64)
+                np.add.at(often, number, np.repeat(seen[own], lengths))
+                for at in range(0, len(first), 1 << 15):
+                    part = first[at : at + (1 << 15)]
+                    slots = _slots(_contexts(raw, place, before, part), raw[part], _NODES_BITS[raw[part]], 2)
+                    for p, places in enumerate(slots):
+                        amount = (often if p == PREDICTORS - 1 else once)[at : at + (1 << 15)]
+                        np.add.at(total.reshape(-1), places.ravel(), np.repeat(amount, 8))
         if some:
             yield from chunks(total)
 
@@ -293,9 +445,13 @@ def train(spark: SparkSession, vocabulary: DataFrame, texts: DataFrame, blocks:
         total = None
         for text in stretches(batches, 0):
             total = np.zeros((1 << ACROSS_BITS, 2), np.int32) if total is None else total
-            bits = np.unpackbits(text.raw[:, None], axis=1)
-            for _, _, at, slots in text.bits(text.before, text.ids):
-                np.add.at(total.reshape(-1), (slots * 2 + bits[at]).ravel(), np.int32(1))
+            # each distinct pair of words once, with how often it comes
+            both = np.sort(text.before * len(text.lengths) + text.ids)
+            new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+            times = np.diff([*new, len(both)]).astype(np.int32)
+            before, ids = np.divmod(both[new], len(text.lengths))
+            for own, n, _, slots in text.bits(before, ids, _NODES_BITS, 2):
+                np.add.at(total.reshape(-1), slots.ravel(), np.repeat(times[own], 8 * n))
         if total is not None:
             yield from chunks(total)
 
@@ -471,50 +627,46 @@ def score(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     shared = spark.sparkContext.broadcast((model.counts, model.weights, model.across, model.outer))
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, set[bytes]] = {}
+        known: dict[int, list[pa.Array]] = {}
         for b in slices(batches):
-            new: list[tuple[int, bytes]] = []
-            for text, block in zip(b.column(1).to_pylist(), b.column(3).to_pylist()):
-                own = known.setdefault(block, set())
-                more = set(tokens(text)) - own
-                own |= more
-                new += [(block, w) for w in more]
-            if new:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in new], pa.int32()), pa.array([w for _, w in new], pa.binary())], ["block", "word"])
+            of = b.column(3).to_numpy()
+            cuts = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+            for i, j in zip(cuts, cuts[1:]) if len(of) else []:
+                own = known.setdefault(int(of[i]), [pa.array([END], pa.binary())])
+                own[:] = [pa.chunked_array([*own, encoded(b.column(1).slice(i, j - i))[0]]).unique()]
+        for block, own in known.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own[0]), block, np.int32)), own[0]], ["block", "word"])
 
     asked = dealt.mapInArrow(words_of, "block int, word binary")
     found = asked.join(vocabulary, "word").select("block", "word", "n")
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A block to a task: first the words that training has, with counts, then the documents, some at a time."""
-        index: dict[bytes, int] = {}
-        known = 0
-        seen, counts = np.zeros(0, np.int64), []
+        words, counts = [pa.array([], pa.binary())], [np.zeros(0, np.int64)]
         mixer = None
-        for b in slices(batches, STRETCH):
+        for b in gathered(batches, STRETCH):
             side = b.column(0).to_numpy()
             cut = int(np.searchsorted(side, 1))
             if cut:
-                for w in b.column(4).slice(0, cut).to_pylist():
-                    index[w] = len(index)
-                counts.append(b.column(5).slice(0, cut).to_numpy(zero_copy_only=False))
+                words.append(b.column(4).slice(0, cut))
+                counts.append(b.column(5).slice(0, cut).to_numpy(zero_copy_only=False).astype(np.int64))
             if cut == b.num_rows:
                 continue
-            if counts:
-                known, counts, seen = len(index), [], np.concatenate(counts).astype(np.int64)
+            words, counts = [pa.concat_arrays(words)], [np.concatenate(counts)]
+            known = len(counts[0])
             if mixer is None:
                 mixer = Mixer(*shared.value)
                 mixer.prepare()
             docs = b.slice(cut)
-            words = [tokens(t) for t in docs.column(2).to_pylist()]
-            text = Running(words)
+            text = Running(docs.column(2))
             costs, sizes = mixer.costs(text), text.lengths[text.ids]
-            ends = np.cumsum([len(w) for w in words])
+            ends = np.cumsum(text.sizes)
             # numbers of the words as training has them, then of those that it lacks
-            number = np.fromiter((index.get(w, -1) for w in text.words), np.int64, len(text.words))
+            own = pa.concat_arrays([pa.array([END], pa.binary()), text.words])
+            number = pc.index_in(own, words[0]).fill_null(-1).to_numpy().astype(np.int64)
             number[number < 0] = known + np.arange((number < 0).sum())
-            n_seen = np.zeros(known + len(text.words), np.int64)
-            n_seen[:known] = seen
+            n_seen = np.zeros(known + len(own), np.int64)
+            n_seen[:known] = counts[0]
             ids = number[text.ids]
             lists = np.split(ids, ends[:-1])
             frequency, base = n_seen / max(1, n_train), np.log10((n_seen + 1.0) / (n_train + 1 * (distinct + 1)))
@@ -524,12 +676,12 @@ def score(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
                 if end - begun >= 1 << 18 or k + 1 == len(lists):
                     logs += refined(None, frequency, lists[first : k + 1], costs[begun:end]).tolist()
                     first = k + 1
-            letters = np.add.reduceat(sizes, ends - [len(w) for w in words]).tolist()
+            letters = np.add.reduceat(sizes, ends - text.sizes).tolist()
             columns = [
                 docs.column(1),
                 docs.column(3),
-                pa.array([len(i) for i in lists], pa.int64()),
-                pa.array([int((i < known).sum()) for i in lists], pa.int64()),
+                pa.array(text.sizes, pa.int64()),
+                pa.array(np.add.reduceat((ids < known).astype(np.int64), ends - text.sizes), pa.int64()),
                 pa.array([n_train] * len(lists), pa.int64()),
                 pa.array([float(base[i].sum()) for i in lists], pa.float64()),
                 pa.array([x / math.log(10) for x in logs], pa.float64()),

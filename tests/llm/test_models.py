@@ -11,6 +11,7 @@ import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,6 +119,47 @@ def test_spelling_after_a_word_is_a_distribution():
     assert 0 < np.exp(mixer.costs(firsts).reshape(-1, 2)[:, 0]).sum() <= 1
 
 
+def test_running_texts_from_a_column():
+    """A column of texts, cut into words at once, is what tokens() makes of each, null and odd ones included."""
+    texts = ["A b a", None, "", " \t", " \xc9\x0b a  \xa0\x1c", "x" * 300 + " \x00B\nend\n", "b a"]
+    column, lists = M.Running(pa.array(["left out", *texts], pa.string()).slice(1)), M.Running([M.tokens(t) for t in texts])
+    assert column.sizes.tolist() == lists.sizes.tolist() == [len(M.tokens(t)) for t in texts]
+    words = [M.END, *column.words.to_pylist()]
+    assert [words[i] for i in column.ids] == [w for t in texts for w in M.tokens(t)]
+    assert all((a == b).all() for a, b in ((column.ids, lists.ids), (column.before, lists.before), (column.raw, lists.raw), (column.lengths, lists.lengths)))
+    assert len(M.Running(pa.array([None], pa.string())).words) == 0
+
+
+def test_spelling_equals_a_plain_one():
+    """The costs of words, whose beginnings and pairs are computed once, against a plain computation for each word and bit."""
+    rng = np.random.default_rng(1)
+    counts, across = rng.integers(0, 5, (M.SLOTS, 2)).astype(np.int32), rng.integers(0, 3, (1 << M.ACROSS_BITS, 2)).astype(np.int32)
+    mixer = M.Mixer(counts, rng.random((M.GATES, M.PREDICTORS)), across, rng.random((M.GATES, 2)))
+    mixer.prepare()
+    texts = ["The then there them", "then the the then there", None, "a there"]
+    text = M.Running(pa.array(texts, pa.string()))
+    got, at = mixer.costs(text), 0
+    gate = lambda total: min(int(math.log2(total + 1)), M.GATES - 1)
+    odds = lambda c: math.log((c[1] + 0.4) / (c[0] + 0.4))
+    for t in texts:
+        before = 0
+        for w in M.tokens(t):
+            raw, lengths = M._spell([w])
+            slots, bits = M.bit_slots(raw, lengths)
+            own = int(text.ids[at])
+            *_, over = next(text.bits(np.array([before]), np.array([own]), M._NODES))
+            cost = 0.0
+            for i, k in np.ndindex(bits.shape):
+                g = gate(counts[slots[-1, i, k]].sum())
+                z = np.clip(sum(odds(counts[slots[p, i, k]]) * mixer.weights[g, p] for p in range(M.PREDICTORS)), -20, 20)
+                h = gate(across[over[i, k]].sum())
+                z = np.clip(z * mixer.outer[h, 0] + odds(across[over[i, k]]) * mixer.outer[h, 1], -20, 20)
+                cost -= np.logaddexp(0, -z if bits[i, k] else z)
+            assert got[at] == pytest.approx(cost, rel=1e-5)
+            before, at = own, at + 1
+    assert at == len(got)
+
+
 def test_conv_scores(spark):
     docs, labels = queries.table(spark, "/root/testdata/sf0.01", "documents"), queries.table(spark, "/root/testdata/sf0.01", "labels")
     network = conv_quality.fit(docs, labels)
