@@ -203,8 +203,9 @@ def whole(c: Column) -> Column:
     return F.bround(c, 0).cast("bigint").cast("string")
 
 
-def one_decimal(c: Column) -> Column:
-    return F.format_string("%.1f", F.bround(c, 1))
+def one_decimal(c: Column, whole: bool = False) -> Column:
+    """A number with one decimal. whole: c is an integer and keeps all its digits."""
+    return c.cast("decimal(20,1)").cast("string") if whole else F.format_string("%.1f", F.bround(c, 1))
 
 
 def shorten(c: Column, limit: int = 200) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from attesta.functions import text as T
 
@@ -62,18 +63,24 @@ def diagrams_of_claims(claims: DataFrame, vision: DataFrame, key: str) -> DataFr
     return kept.withColumn("pos", F.row_number().over(Window.partitionBy(key).orderBy("_first"))).drop("_first")
 
 
-def segment_payload(segments: DataFrame) -> DataFrame:
-    """Topic segments (video_id, ts_start, ts_end, title, segments) as text for an extractor: payload."""
-    span = lambda a, b: F.concat(F.lit("["), T.one_decimal(a), F.lit("-"), T.one_decimal(b), F.lit("]"))
+def segment_payload(segments: DataFrame, empty_text: bool = False) -> DataFrame:
+    """Topic segments (video_id, ts_start, ts_end, title, segments) as text for an extractor: payload.
+
+    Times are all doubles or all whole numbers. empty_text: an extracted text that is empty, not null, has its line too.
+    """
+    time = lambda c: T.one_decimal(c, segments.schema["ts_start"].dataType == LongType())
+    span = lambda a, b: F.concat(F.lit("["), time(a), F.lit("-"), time(b), F.lit("]"))
 
     def visual(v: Column) -> Column:
         code = F.when(v["code"].isNotNull(), F.concat_ws("\n", F.concat(F.lit("    code ("), F.coalesce(v["code"]["language"], F.lit("")), F.lit("):")), F.transform(F.split(F.coalesce(v["code"]["content"], F.lit("")), "\n"), lambda x: F.concat(F.lit("      "), x))))
         line = lambda name, c: F.when(F.coalesce(c, F.lit("")) != "", F.concat(F.lit(f"    {name}: "), c))
+        text = F.substring(v["extracted_text"], 1, 500)
+        text = F.concat(F.lit("    text: "), text) if empty_text else line("text", text)
         math = F.transform(F.coalesce(v["math"], F.array().cast("array<string>")), lambda m: F.concat(F.lit("    math: "), m))
-        return F.concat_ws("\n", F.concat(F.lit("  FRAME "), v["frame_id"], F.lit(" ("), F.coalesce(v["category"], F.lit("?")), F.lit("):")), line("title", v["title"]), line("text", F.substring(v["extracted_text"], 1, 500)), code, math, line("diagram", v["diagram_summary"]), F.when(F.size(F.coalesce(v["diagram_elements"], F.array().cast("array<string>"))) > 0, line("elements", F.array_join(v["diagram_elements"], ", "))))
+        return F.concat_ws("\n", F.concat(F.lit("  FRAME "), v["frame_id"], F.lit(" ("), F.coalesce(v["category"], F.lit("?")), F.lit("):")), line("title", v["title"]), text, code, math, line("diagram", v["diagram_summary"]), F.when(F.size(F.coalesce(v["diagram_elements"], F.array().cast("array<string>"))) > 0, line("elements", F.array_join(v["diagram_elements"], ", "))))
 
     body = F.transform("segments", lambda s: F.concat_ws("\n", F.concat_ws(" ", span(s["ts_start"], s["ts_end"]), s["text"]), F.transform(s["visuals"], visual)))
-    head = [F.concat(F.lit("# Segment from video "), F.col("video_id")), F.concat(F.lit("# ts: "), T.one_decimal(F.col("ts_start")), F.lit(" - "), T.one_decimal(F.col("ts_end"))), F.concat(F.lit("# title (if any): "), F.coalesce("title", F.lit(""))), F.lit(""), F.lit("## Aligned transcript + visuals")]
+    head = [F.concat(F.lit("# Segment from video "), F.col("video_id")), F.concat(F.lit("# ts: "), time(F.col("ts_start")), F.lit(" - "), time(F.col("ts_end"))), F.concat(F.lit("# title (if any): "), F.coalesce("title", F.lit(""))), F.lit(""), F.lit("## Aligned transcript + visuals")]
     return segments.withColumn("payload", F.concat_ws("\n", *head, body))
 
 
